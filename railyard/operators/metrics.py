@@ -21,11 +21,13 @@ def _distinct(col: str, exact: bool, rsd: float) -> F.Column:
 
 def station_window_metrics(enriched: DataFrame, window: str = WINDOW_DURATION,
                            slide: str | None = None, exact: bool = False,
-                           rsd: float = APPROX_RSD) -> DataFrame:
+                           rsd: float = APPROX_RSD, with_last_seen: bool = False) -> DataFrame:
     """One row per (window, station_id, station_name, latitude, longitude).
 
     on_time_pct / delay_pct divide record-level flag sums by distinct trips and
     so may exceed 100 (kept, Q1). Values are unrounded; see `round_metrics`.
+    `with_last_seen` adds the group's latest collection time (`last_seen`),
+    which replays use as the write time of the window.
     """
     win = F.window("collected_at_ts", window, slide) if slide else F.window("collected_at_ts", window)
     agg = (enriched
@@ -37,7 +39,8 @@ def station_window_metrics(enriched: DataFrame, window: str = WINDOW_DURATION,
                 F.sum("is_on_time").cast("long").alias("on_time_departures"),
                 F.sum("is_significant_delay").cast("long").alias("significant_delays"),
                 F.count(F.lit(1)).alias("total_records"),
-                _distinct("line_id", exact, rsd).alias("unique_lines")))
+                _distinct("line_id", exact, rsd).alias("unique_lines"),
+                *([F.max("collected_at_ts").alias("last_seen")] if with_last_seen else [])))
     pct = lambda c: F.try_divide(F.col(c).cast("double"), F.col("total_departures").cast("double")) * 100.0
     return agg.select(
         "station_id", "station_name",
@@ -45,7 +48,7 @@ def station_window_metrics(enriched: DataFrame, window: str = WINDOW_DURATION,
         "avg_delay", "max_delay", "total_departures", "delayed_departures",
         "on_time_departures", "significant_delays", "total_records", "unique_lines",
         pct("on_time_departures").alias("on_time_pct"), pct("delayed_departures").alias("delay_pct"),
-        "latitude", "longitude",
+        "latitude", "longitude", *(["last_seen"] if with_last_seen else []),
     )
 
 

@@ -16,8 +16,14 @@ from pyspark.sql.types import TimestampType
 
 from railyard.operators import enrich as EN
 from railyard.operators import metrics as M
+from railyard.operators import rollup as R
+from railyard.operators import store as ST
+from railyard.plans import board as B
 from railyard.sources import fixtures as FX
 
+RECENT_MINUTES = 120
+LIVE_TTL_SECONDS = 60
+
 
 def report(df: DataFrame) -> DataFrame:
     """Timestamps -> UTC wall-clock `timestamp_ntz` for comparison and display."""
@@ -26,20 +32,157 @@ def report(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def enriched_rows(spark: SparkSession, sf_dir: str, perturbed: bool = True) -> DataFrame:
-    """Fixture departures -> envelope -> decode -> enrich (the live processing path)."""
+# ---------------------------------------------------------------------------
+# Shared inputs
+# ---------------------------------------------------------------------------
+
+def perturbed_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat departures with the processing perturbations (FL1, FL2, C4, C7, FL8)."""
     flat = FX.flat_departures(FX.departures(spark, sf_dir))
-    if perturbed:
-        flat = FX.perturb_for_enrich(flat)
+    return FX.perturb_zero_latitude(FX.perturb_for_enrich(flat))
+
+
+def enriched_from_flat(flat: DataFrame) -> DataFrame:
+    """Flat departures -> envelope -> decode -> enrich (the live processing path)."""
     return EN.enrich(EN.decode_envelopes(EN.encode_envelopes(flat)), watermark=None)
 
 
+def enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched_from_flat(perturbed_flat(spark, sf_dir))
+
+
+def snapshot_rows(enriched: DataFrame, batch_id: int = 0) -> DataFrame:
+    """Stored metric rows as a replay writes them: A1 (exact) -> P16 -> FL9.
+
+    In a replay every window is written as soon as its last observation
+    arrives, so `updated_at` is the window's latest collection time.
+    """
+    m = M.round_metrics(M.station_window_metrics(enriched, exact=True, with_last_seen=True))
+    return ST.metric_rows(M.storable(m), batch_id, F.col("last_seen")).drop("last_seen")
+
+
+def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.departure_records(EN.departure_view(enriched_rows(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Processing
+# ---------------------------------------------------------------------------
+
 def q_station_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1-A9 + P16 in batch, exact distinct counts."""
     e = enriched_rows(spark, sf_dir)
     return report(M.round_metrics(M.station_window_metrics(e, exact=True)))
 
 
+# ---------------------------------------------------------------------------
+# Store (T5-T12)
+# ---------------------------------------------------------------------------
+
+def q_metrics_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: batch 0 writes the even events' windows, batch 1 all windows; last write wins."""
+    flat = perturbed_flat(spark, sf_dir)
+    b0 = snapshot_rows(enriched_from_flat(flat.filter(F.col("event_id") % 2 == 0)), 0)
+    b1 = snapshot_rows(enriched_from_flat(flat), 1)
+    cur = ST.current_metrics(b0.unionByName(b1), as_of=None)
+    return report(cur.drop("metric_date"))
+
+
+def q_station_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexed stations at as_of = latest collection time."""
+    e = enriched_rows(spark, sf_dir)
+    return report(ST.station_index(snapshot_rows(e), ST.as_of_from(e)))
+
+
+def q_recent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 + FL6 + TTL: every station's live windows of the last two hours."""
+    e = enriched_rows(spark, sf_dir)
+    return report(ST.recent_metrics(snapshot_rows(e), ST.as_of_from(e), RECENT_MINUTES)
+                  .drop("metric_date"))
+
+
+def q_recent_departures_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 50 stored departures per station."""
+    return report(ST.recent_departures(departure_records(spark, sf_dir)))
+
+
+def q_recent_departures_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations written within the TTL (60 s here), newest 50 each."""
+    rec = departure_records(spark, sf_dir)
+    return report(ST.live_departures(rec, ST.as_of_from(rec), LIVE_TTL_SECONDS))
+
+
+def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth event delivered twice; identical members kept once."""
+    flat = perturbed_flat(spark, sf_dir)
+    doubled = flat.unionByName(flat.filter(F.col("event_id") % 10 == 0))
+    rec = ST.departure_records(EN.departure_view(enriched_from_flat(doubled)))
+    return report(ST.exact_dedup(rec))
+
+
+def q_latest_per_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stored departure per (station, dedup hash), newest poll wins."""
+    return report(ST.latest_per_hash(departure_records(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Roll-up and board
+# ---------------------------------------------------------------------------
+
+def rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up over every stored window (no lookback, no expiry)."""
+    e = enriched_rows(spark, sf_dir)
+    return R.station_rollup(ST.current_metrics(snapshot_rows(e), as_of=None))
+
+
+def rollup_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up as the live board reads it: TTL + two-hour lookback at as_of."""
+    e = enriched_rows(spark, sf_dir)
+    return R.station_rollup(ST.recent_metrics(snapshot_rows(e), ST.as_of_from(e), RECENT_MINUTES))
+
+
+def q_station_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(rollup_all(spark, sf_dir))
+
+
+def q_station_rollup_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(rollup_recent(spark, sf_dir))
+
+
+def q_network_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(B.network_kpis(rollup_all(spark, sf_dir)))
+
+
+def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(B.coverage(rollup_recent(spark, sf_dir), RECENT_MINUTES))
+
+
+def q_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(B.leaders(rollup_all(spark, sf_dir)))
+
+
+def q_station_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(B.station_table(rollup_all(spark, sf_dir)))
+
+
+def q_map_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(B.map_markers(rollup_all(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_window_metrics": q_station_window_metrics,
+    "metrics_upsert_latest": q_metrics_upsert_latest,
+    "station_index": q_station_index,
+    "recent_metrics": q_recent_metrics,
+    "recent_departures_top50": q_recent_departures_top50,
+    "recent_departures_live": q_recent_departures_live,
+    "exact_dedup": q_exact_dedup,
+    "latest_per_hash": q_latest_per_hash,
+    "station_rollup": q_station_rollup,
+    "station_rollup_recent": q_station_rollup_recent,
+    "network_kpis": q_network_kpis,
+    "coverage": q_coverage,
+    "leaders": q_leaders,
+    "station_table": q_station_table,
+    "map_markers": q_map_markers,
 }

@@ -59,10 +59,12 @@ f AS (
   FROM d)"""
 
 # Perturbed, enriched rows: FL1 (line_id null), FL2 (collected_at garbage),
-# C4 (delay null), C7 (name null); then the not-null filters.
+# C4 (delay null), C7 (name null), FL8 (latitude 0 for station 9); then the
+# not-null filters.
 _ENRICHED = """,
 fp AS (
   SELECT * REPLACE (
+           CASE WHEN station_id = '900000009' THEN 0::double ELSE latitude END AS latitude,
            CASE WHEN event_id % 40 = 0 THEN NULL ELSE line_id END AS line_id,
            CASE WHEN event_id % 60 = 0 THEN 'garbage' ELSE collected_at END AS collected_at,
            CASE WHEN event_id % 30 = 0 THEN NULL ELSE delay_minutes END AS delay_minutes,
@@ -97,10 +99,10 @@ def _r(x: str, dp: int) -> str:
     return f"cast(round(cast({x} AS decimal(20,6)), {dp}) AS double)"
 
 
-def _window_metrics(src: str = "e", extra_where: str = "") -> str:
-    """A1-A9 + P16 over enriched rows `src` (exact distinct)."""
+def _window_metrics(src: str = "e", extra_where: str = "", sfx: str = "") -> str:
+    """A1-A9 + P16 over enriched rows `src` (exact distinct) -> `m{sfx}`."""
     return f""",
-wm AS (
+wm{sfx} AS (
   SELECT station_id, station_name,
          time_bucket(INTERVAL '15 minutes', collected_at_ts) AS window_start,
          time_bucket(INTERVAL '15 minutes', collected_at_ts) + INTERVAL '15 minutes' AS window_end,
@@ -111,18 +113,18 @@ wm AS (
          cast(sum(is_significant_delay) AS bigint) AS significant_delays,
          count(*) AS total_records,
          count(DISTINCT line_id) AS unique_lines,
-         latitude, longitude
+         latitude, longitude, max(collected_at_ts) AS last_seen
   FROM {src} {extra_where}
   GROUP BY ALL),
-m AS (
+m{sfx} AS (
   SELECT station_id, station_name, window_start, window_end,
          {_r('avg_delay_raw', 2)} AS avg_delay, {_r('max_delay_raw', 2)} AS max_delay,
          total_departures, delayed_departures, on_time_departures, significant_delays,
          total_records, unique_lines,
          {_r('on_time_departures::double / total_departures::double * 100', 1)} AS on_time_pct,
          {_r('delayed_departures::double / total_departures::double * 100', 1)} AS delay_pct,
-         latitude, longitude
-  FROM wm)"""
+         latitude, longitude, last_seen
+  FROM wm{sfx})"""
 
 
 METRIC_COLS = ("station_id, station_name, window_start, window_end, avg_delay, max_delay, "
@@ -130,11 +132,157 @@ METRIC_COLS = ("station_id, station_name, window_start, window_end, avg_delay, m
                "total_records, unique_lines, on_time_pct, delay_pct, latitude, longitude")
 
 
-def station_window_metrics() -> str:
-    return "WITH" + _OBS + _ENRICHED + _window_metrics() + f"\nSELECT {METRIC_COLS} FROM m"
+# Stored metric rows of one replay batch (FL9 applied), `snap`.
+def _snap(batch_id: int = 0, src: str = "m", name: str = "snap") -> str:
+    return f""",
+{name} AS (
+  SELECT {METRIC_COLS}, epoch(window_start)::bigint AS window_key, {batch_id}::bigint AS batch_id,
+         last_seen AS updated_at
+  FROM {src}
+  WHERE station_name IS NOT NULL AND avg_delay IS NOT NULL AND max_delay IS NOT NULL)"""
+
+
+_AS_OF = "(SELECT max(collected_at_ts) FROM e)"
+
+
+def _recent(minutes_back: int, ttl: int = 7200) -> str:
+    """TTL from last update, index alive, lookback on window start."""
+    return f""",
+cur AS (
+  SELECT * FROM snap
+  WHERE updated_at > {_AS_OF} - INTERVAL '{ttl} seconds'
+    AND window_start >= {_AS_OF} - INTERVAL '{minutes_back} minutes'
+    AND (SELECT max(updated_at) FROM snap) > {_AS_OF} - INTERVAL '{ttl} seconds')"""
+
+
+def _rollup(src: str) -> str:
+    """A10-A15 over stored windows `src` -> `r`."""
+    r = _r
+    return f""",
+rg AS (
+  SELECT station_id,
+         arg_max({{'n': station_name, 'lat': latitude, 'lon': longitude, 'u': updated_at}}, window_start) AS latest,
+         count(*) FILTER (WHERE avg_delay IS NOT NULL) AS windows_count,
+         cast(sum(total_departures) FILTER (WHERE avg_delay IS NOT NULL) AS bigint) AS total_departures,
+         cast(sum(delayed_departures) FILTER (WHERE avg_delay IS NOT NULL) AS bigint) AS delayed_departures,
+         cast(sum(on_time_departures) FILTER (WHERE avg_delay IS NOT NULL) AS bigint) AS on_time_departures,
+         cast(sum(significant_delays) FILTER (WHERE avg_delay IS NOT NULL) AS bigint) AS significant_delays,
+         sum(avg_delay * total_departures) FILTER (WHERE avg_delay IS NOT NULL AND total_departures > 0) AS weighted_delay,
+         max(max_delay) FILTER (WHERE avg_delay IS NOT NULL) AS max_delay,
+         min(window_start) FILTER (WHERE avg_delay IS NOT NULL) AS window_start,
+         max(window_start) FILTER (WHERE avg_delay IS NOT NULL) AS window_end,
+         max(window_end) FILTER (WHERE avg_delay IS NOT NULL) AS last_window_end
+  FROM {src} GROUP BY station_id),
+rc AS (
+  SELECT *, least(on_time_departures, total_departures) AS on_c,
+         least(delayed_departures, total_departures) AS dl_c
+  FROM rg
+  WHERE windows_count > 0 AND latest.lat IS NOT NULL AND latest.lon IS NOT NULL
+    AND latest.lat <> 0 AND latest.lon <> 0),
+rs AS (
+  SELECT *, CASE WHEN on_c + dl_c > total_departures
+                 THEN total_departures::double / (on_c + dl_c) ELSE 1.0::double END AS scale
+  FROM rc),
+r AS (
+  SELECT station_id, latest.n AS station_name, latest.lat AS lat, latest.lon AS lon,
+         {r('CASE WHEN total_departures > 0 THEN weighted_delay / total_departures ELSE 0.0 END', 1)} AS avg_delay,
+         {r('max_delay', 1)} AS max_delay,
+         total_departures, delayed_departures, on_time_departures, significant_delays,
+         {r('CASE WHEN total_departures > 0 THEN on_c * scale / total_departures * 100.0 ELSE 100.0 END', 1)} AS on_time_pct,
+         {r('CASE WHEN total_departures > 0 THEN dl_c * scale / total_departures * 100.0 ELSE 0.0 END', 1)} AS delay_pct,
+         window_start, window_end, last_window_end, windows_count, latest.u AS updated_at
+  FROM rs)"""
+
+
+ROLLUP_COLS = ("station_id, station_name, lat, lon, avg_delay, max_delay, total_departures, "
+               "delayed_departures, on_time_departures, significant_delays, on_time_pct, delay_pct, "
+               "window_start, window_end, last_window_end, windows_count, updated_at")
+
+_PROC = "WITH" + _OBS + _ENRICHED
+_ROLL_ALL = _PROC + _window_metrics() + _snap() + _rollup("snap")
+_ROLL_RECENT = _PROC + _window_metrics() + _snap() + _recent(120) + _rollup("cur")
+
+
+def _records(src: str = "e") -> str:
+    """F6 stored departures from enriched rows `src` -> `rec`."""
+    return f""",
+rec AS (
+  SELECT trip_id, station_id, station_name, line_id, line_name, transport_mode, direction,
+         planned_departure, actual_departure, delay_minutes, platform, planned_platform,
+         collected_at, longitude, latitude, collected_at_ts,
+         substr(md5(concat_ws(':', coalesce(station_id, 'None'), coalesce(planned_departure, 'None'),
+                coalesce(direction, 'None'), coalesce(line_id, 'None'), coalesce(platform, 'None'))), 1, 8) AS dedup_hash,
+         epoch_us(collected_at_ts)::double / 1e6 AS score
+  FROM {src})"""
+
+
+_NEWEST = ("collected_at_ts DESC, dedup_hash DESC, trip_id DESC, line_id DESC NULLS LAST, "
+           "direction DESC NULLS LAST, planned_departure DESC NULLS LAST, platform DESC NULLS LAST")
+REC_COLS = ("trip_id, station_id, station_name, line_id, line_name, transport_mode, direction, "
+            "planned_departure, actual_departure, delay_minutes, platform, planned_platform, "
+            "collected_at, longitude, latitude, collected_at_ts, dedup_hash, score")
 
 
 def all_sql() -> dict[str, str]:
+    top50 = (f"SELECT {REC_COLS}, rank FROM (SELECT *, row_number() OVER (PARTITION BY station_id "
+             f"ORDER BY {_NEWEST}) AS rank FROM {{src}}) WHERE rank <= 50")
+    leaders = " UNION ALL ".join(
+        f"(SELECT '{role}' AS role, station_id, station_name, avg_delay, on_time_pct, total_departures "
+        f"FROM r ORDER BY {order}, station_id LIMIT 1)"
+        for role, order in (("best", "avg_delay ASC"), ("worst", "avg_delay DESC"),
+                            ("busiest", "total_departures DESC")))
+    doubled = _OBS.replace("d AS (SELECT * FROM obs WHERE enabled)",
+                           "d AS (SELECT * FROM obs WHERE enabled UNION ALL "
+                           "SELECT * FROM obs WHERE enabled AND event_id % 10 = 0)")
     return {
-        "station_window_metrics": station_window_metrics(),
+        "station_window_metrics": _PROC + _window_metrics() + f"\nSELECT {METRIC_COLS} FROM m",
+        "metrics_upsert_latest": (
+            _PROC + _window_metrics(extra_where="WHERE event_id % 2 = 0", sfx="0") + _snap(0, "m0", "s0")
+            + _window_metrics(sfx="1") + _snap(1, "m1", "s1") + f"""
+SELECT {METRIC_COLS}, window_key, batch_id, updated_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id, window_start
+            ORDER BY batch_id DESC, total_records DESC, station_name DESC NULLS LAST) AS rn
+  FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1)) WHERE rn = 1"""),
+        "station_index": _PROC + _window_metrics() + _snap() + f"""
+SELECT DISTINCT station_id FROM snap
+WHERE (SELECT max(updated_at) FROM snap) > {_AS_OF} - INTERVAL '7200 seconds'""",
+        "recent_metrics": _PROC + _window_metrics() + _snap() + _recent(120)
+        + f"\nSELECT {METRIC_COLS}, window_key, batch_id, updated_at FROM cur",
+        "recent_departures_top50": _PROC + _records() + "\n" + top50.format(src="rec"),
+        "recent_departures_live": _PROC + _records() + """,
+live AS (
+  SELECT * FROM rec WHERE station_id IN (
+    SELECT station_id FROM rec GROUP BY station_id
+    HAVING max(collected_at_ts) > (SELECT max(collected_at_ts) FROM rec) - INTERVAL '60 seconds'))
+""" + top50.format(src="live"),
+        "exact_dedup": "WITH" + doubled + _ENRICHED + _records() + f"\nSELECT DISTINCT {REC_COLS} FROM rec",
+        "latest_per_hash": _PROC + _records() + f"""
+SELECT {REC_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY station_id, dedup_hash
+  ORDER BY {_NEWEST}) AS rn FROM rec) WHERE rn = 1""",
+        "station_rollup": _ROLL_ALL + f"\nSELECT {ROLLUP_COLS} FROM r",
+        "station_rollup_recent": _ROLL_RECENT + f"\nSELECT {ROLLUP_COLS} FROM r",
+        "network_kpis": _ROLL_ALL + f"""
+SELECT count(*) AS active_stations, {_r('avg(avg_delay)', 2)} AS avg_delay,
+       CASE WHEN avg(avg_delay) < 2 THEN 'green' WHEN avg(avg_delay) < 5 THEN 'yellow' ELSE 'red' END AS delay_status,
+       cast(sum(total_departures) AS bigint) AS total_departures
+FROM r HAVING count(*) > 0""",
+        "coverage": _ROLL_RECENT + f"""
+SELECT 120 AS minutes_back, 8 AS expected_windows, count(*) AS stations,
+       {_r('avg(windows_count)', 1)} AS avg_windows, min(windows_count) AS min_windows,
+       max(windows_count) AS max_windows, cast(sum(total_departures) AS bigint) AS total_departures
+FROM r HAVING count(*) > 0""",
+        "leaders": _ROLL_ALL + "\n" + leaders,
+        "station_table": _ROLL_ALL + f"""
+SELECT CASE WHEN a < 2 THEN 'green' WHEN a < 5 THEN 'yellow' ELSE 'red' END AS status,
+       station_name AS station, a AS avg_delay_min, {_r('max_delay', 1)} AS max_delay_min,
+       CASE WHEN o > 80 THEN 'green' WHEN o > 60 THEN 'yellow' ELSE 'red' END AS performance,
+       o AS on_time_pct, total_departures, delayed_departures, station_id
+FROM (SELECT *, {_r('avg_delay', 1)} AS a, {_r('on_time_pct', 1)} AS o FROM r)""",
+        "map_markers": _ROLL_ALL + """
+SELECT station_id, station_name, lat, lon, avg_delay,
+       CASE WHEN avg_delay <= 0 THEN 'On Time' WHEN avg_delay <= 2 THEN 'Minor Delay'
+            WHEN avg_delay <= 5 THEN 'Moderate Delay' WHEN avg_delay <= 10 THEN 'Major Delay'
+            WHEN avg_delay IS NOT NULL THEN 'Severe Delay' END AS delay_category,
+       max_delay, total_departures, delayed_departures, on_time_pct, delay_pct, windows_count
+FROM r""",
     }
