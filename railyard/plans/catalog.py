@@ -14,12 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from railyard.functions import columns as C
 from railyard.operators import enrich as EN
+from railyard.operators import ingest as IN
 from railyard.operators import metrics as M
 from railyard.operators import rollup as R
 from railyard.operators import store as ST
 from railyard.plans import board as B
 from railyard.sources import fixtures as FX
+from railyard.sources import responses as RS
 
 RECENT_MINUTES = 120
 LIVE_TTL_SECONDS = 60
@@ -169,7 +172,110 @@ def q_map_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(B.map_markers(rollup_all(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------------------
+# Ingest (S3, P1-P6, FL3-FL5, A20, A21)
+# ---------------------------------------------------------------------------
+
+def polled_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of the polled (enabled) stations, with the FL3/FL4 perturbation."""
+    obs = FX.perturb_for_validation(FX.observations(spark, sf_dir))
+    return IN.enabled_only(RS.responses_from_observations(obs), FX.stations(spark),
+                           key="requested_station_id")
+
+
+def q_flatten_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(IN.flatten_departures(polled_responses(spark, sf_dir)))
+
+
+def q_quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(IN.quarantine(polled_responses(spark, sf_dir)))
+
+
+def q_enabled_station_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FL5 over all twelve stations' observations (two are not polled)."""
+    flat = FX.flat_departures(FX.observations(spark, sf_dir))
+    return report(IN.enabled_only(flat, FX.stations(spark)))
+
+
+def q_ingest_cycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(IN.ingest_cycle_summary(polled_responses(spark, sf_dir), FX.stations(spark)))
+
+
+def q_ingest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(IN.ingest_quality(polled_responses(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Envelope, enrich and metric variants
+# ---------------------------------------------------------------------------
+
+def q_envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + P8: decode(encode(x)) over the clean departures, nulls included."""
+    flat = FX.flat_departures(FX.departures(spark, sf_dir))
+    return EN.decode_envelopes(EN.encode_envelopes(flat)).drop("kafka_timestamp")
+
+
+def q_enriched_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8-P13 + FL1/FL2 over the perturbed envelopes (P10 clock left out)."""
+    return report(enriched_rows(spark, sf_dir).drop("kafka_timestamp"))
+
+
+def q_dedup_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 for every stored departure."""
+    rec = departure_records(spark, sf_dir)
+    return report(rec.select("trip_id", "station_id", "planned_departure", "direction", "line_id",
+                             "platform", "collected_at", "dedup_hash"))
+
+
+def q_station_window_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 / A7 as the stream computes them: HLL++ at rsd 0.01."""
+    e = enriched_rows(spark, sf_dir)
+    return report(M.round_metrics(M.station_window_metrics(e, exact=False)))
+
+
+def q_sliding_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-minute windows sliding by 1 minute (the configured, unused setting)."""
+    e = enriched_rows(spark, sf_dir)
+    return report(M.round_metrics(M.station_window_metrics(e, "5 minutes", "1 minute", exact=True)))
+
+
+def q_mode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(M.mode_metrics(enriched_rows(spark, sf_dir)))
+
+
+def q_delay_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(M.delay_distribution(enriched_rows(spark, sf_dir)))
+
+
+def q_delay_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(M.delay_percentiles(enriched_rows(spark, sf_dir)))
+
+
+def q_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store key, ISO text of the window bounds and update time, parsed back."""
+    snap = snapshot_rows(enriched_rows(spark, sf_dir))
+    text = snap.select("station_id", "window_key",
+                       C.iso_text("window_start").alias("window_start_text"),
+                       C.iso_text("window_end").alias("window_end_text"),
+                       C.iso_text("updated_at").alias("updated_at_text"))
+    return report(text.withColumn("window_start_parsed", C.parse_ts("window_start_text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "flatten_departures": q_flatten_departures,
+    "quarantine_reasons": q_quarantine_reasons,
+    "enabled_station_filter": q_enabled_station_filter,
+    "ingest_cycle_summary": q_ingest_cycle_summary,
+    "ingest_quality": q_ingest_quality,
+    "envelope_roundtrip": q_envelope_roundtrip,
+    "enriched_departures": q_enriched_departures,
+    "dedup_hash": q_dedup_hash,
+    "station_window_metrics_approx": q_station_window_metrics_approx,
+    "sliding_window_metrics": q_sliding_window_metrics,
+    "mode_metrics": q_mode_metrics,
+    "delay_distribution": q_delay_distribution,
+    "delay_percentiles": q_delay_percentiles,
+    "metrics_json": q_metrics_json,
     "station_window_metrics": q_station_window_metrics,
     "metrics_upsert_latest": q_metrics_upsert_latest,
     "station_index": q_station_index,

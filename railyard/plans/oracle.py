@@ -223,7 +223,121 @@ REC_COLS = ("trip_id, station_id, station_name, line_id, line_name, transport_mo
             "collected_at, longitude, latitude, collected_at_ts, dedup_hash, score")
 
 
+# Validation perturbation (FL3/FL4) over polled stations -> `ov` with reason.
+_VALIDATED = """,
+op AS (
+  SELECT * REPLACE (
+           CASE WHEN event_id % 50 = 0 THEN 95::double ELSE latitude END AS latitude,
+           CASE WHEN event_id % 70 = 0 THEN NULL ELSE direction END AS direction)
+  FROM obs WHERE enabled),
+ov AS (
+  SELECT *,
+         CASE WHEN trip_id IS NULL THEN 'tripId: missing'
+              WHEN station_id IS NULL THEN 'stop.id: missing'
+              WHEN station_name IS NULL THEN 'stop.name: missing'
+              WHEN latitude IS NULL THEN 'latitude: missing'
+              WHEN longitude IS NULL THEN 'longitude: missing'
+              WHEN direction IS NULL THEN 'direction: missing'
+              WHEN line_id IS NULL THEN 'line.id: missing'
+              WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude: out of range'
+              WHEN longitude NOT BETWEEN -180 AND 180 THEN 'longitude: out of range' END AS reason
+  FROM op)"""
+
+_TRANSPORT = ("CASE WHEN lower(product) IN ('suburban','subway','regional','express','tram','bus','ferry') "
+              "THEN lower(product) ELSE 'not defined' END")
+
+F2_COLS = ("trip_id, station_id, station_name, line_id, line_name, transport_mode, direction, "
+           "planned_departure, actual_departure, delay_minutes, platform, planned_platform, "
+           "collected_at, longitude, latitude")
+
+
+def _other_sql() -> dict[str, str]:
+    val = "WITH" + _OBS + _VALIDATED
+    return {
+        "flatten_departures": val + f"""
+SELECT trip_id, station_id, station_name, line_id, line_name, {_TRANSPORT} AS transport_mode,
+       direction, planned_ts AS planned_departure,
+       CASE WHEN actual_when IS NULL THEN planned_ts ELSE actual_ts END AS actual_departure,
+       delay_minutes, platform, planned_platform, cancelled, collected_at_ts AS collected_at,
+       longitude, latitude
+FROM ov WHERE reason IS NULL""",
+        "quarantine_reasons": val + """
+SELECT station_id AS requested_station_id, collected_at_ts AS fetched_at, trip_id, reason
+FROM ov WHERE reason IS NOT NULL""",
+        "enabled_station_filter": "WITH" + _OBS + f""",
+fa AS (SELECT *, {_TRANSPORT} AS transport_mode, planned_when AS planned_departure,
+              coalesce(actual_when, planned_when) AS actual_departure FROM obs WHERE enabled)
+SELECT event_id, trip_id, station_id, station_name, line_id, line_name, transport_mode, direction,
+       planned_departure, actual_departure, delay_minutes, platform, planned_platform, cancelled,
+       collected_at, longitude, latitude
+FROM fa""",
+        "ingest_quality": val + """
+SELECT station_id AS requested_station_id, collected_at_ts AS fetched_at,
+       count(*)::int AS records_found, (count(*) FILTER (WHERE reason IS NULL))::int AS records_parsed
+FROM ov GROUP BY station_id, collected_at_ts""",
+        "ingest_cycle_summary": val + """,
+resp AS (
+  SELECT station_id, collected_at_ts AS fetched_at, count(*) FILTER (WHERE reason IS NULL) AS parsed
+  FROM ov GROUP BY station_id, collected_at_ts)
+SELECT date_trunc('minute', fetched_at) AS cycle_start,
+       10::bigint AS stations_polled,
+       count(DISTINCT CASE WHEN parsed > 0 THEN station_id END) AS stations_ok,
+       10::bigint - count(DISTINCT CASE WHEN parsed > 0 THEN station_id END) AS stations_failed,
+       count(*) AS responses,
+       cast(sum(parsed) AS bigint) AS departures,
+       (epoch_us(max(fetched_at)) - epoch_us(min(fetched_at))) / 1e6 AS duration_sec
+FROM resp GROUP BY ALL""",
+        "envelope_roundtrip": "WITH" + _OBS + f"""
+SELECT station_id AS kafka_key, 'departure_update' AS event_type, {ENV_COLS} FROM f""",
+        "enriched_departures": _PROC + f"""
+SELECT station_id AS kafka_key, 'departure_update' AS event_type, {ENV_COLS},
+       planned_departure_ts, actual_departure_ts, collected_at_ts,
+       is_delayed, is_on_time, is_significant_delay
+FROM e""",
+        "dedup_hash": _PROC + _records() + """
+SELECT trip_id, station_id, planned_departure, direction, line_id, platform, collected_at, dedup_hash
+FROM rec""",
+        "sliding_window_metrics": _PROC + """,
+es AS (
+  SELECT e.*, time_bucket(INTERVAL '1 minute', collected_at_ts) - to_minutes(s.i) AS ws
+  FROM e, (SELECT unnest(range(0, 5)) AS i) s)""" + _window_metrics("es").replace(
+            "time_bucket(INTERVAL '15 minutes', collected_at_ts) + INTERVAL '15 minutes'", "ws + INTERVAL '5 minutes'"
+        ).replace("time_bucket(INTERVAL '15 minutes', collected_at_ts)", "ws") + f"\nSELECT {METRIC_COLS} FROM m",
+        "mode_metrics": _PROC + f"""
+SELECT time_bucket(INTERVAL '15 minutes', collected_at_ts) AS window_start,
+       time_bucket(INTERVAL '15 minutes', collected_at_ts) + INTERVAL '15 minutes' AS window_end,
+       transport_mode, count(DISTINCT trip_id) AS total_departures, count(*) AS total_records,
+       cast(sum(is_delayed) AS bigint) AS delayed_departures,
+       cast(sum(is_on_time) AS bigint) AS on_time_departures,
+       {_r('avg(delay_minutes)', 2)} AS avg_delay
+FROM e GROUP BY ALL""",
+        "delay_distribution": _PROC + f"""
+SELECT station_id,
+       CASE WHEN delay_minutes <= 0 THEN 'On Time' WHEN delay_minutes <= 2 THEN 'Minor Delay'
+            WHEN delay_minutes <= 5 THEN 'Moderate Delay' WHEN delay_minutes <= 10 THEN 'Major Delay'
+            WHEN delay_minutes IS NOT NULL THEN 'Severe Delay' ELSE 'Unknown' END AS delay_category,
+       count(*) AS records, {_r('avg(delay_minutes)', 2)} AS avg_delay
+FROM e GROUP BY ALL""",
+        "metrics_json": _PROC + _window_metrics() + _snap() + """
+SELECT station_id, window_key,
+       strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS window_start_text,
+       strftime(window_end, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS window_end_text,
+       strftime(updated_at, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS updated_at_text,
+       window_start AS window_start_parsed
+FROM snap""",
+    }
+
+
+ENV_COLS = ("trip_id, station_id, station_name, line_id, line_name, transport_mode, direction, "
+            "planned_departure, actual_departure, delay_minutes, longitude, latitude, platform, "
+            "planned_platform, collected_at")
+
+
 def all_sql() -> dict[str, str]:
+    return {**_other_sql(), **_store_board_sql()}
+
+
+def _store_board_sql() -> dict[str, str]:
     top50 = (f"SELECT {REC_COLS}, rank FROM (SELECT *, row_number() OVER (PARTITION BY station_id "
              f"ORDER BY {_NEWEST}) AS rank FROM {{src}}) WHERE rank <= 50")
     leaders = " UNION ALL ".join(
