@@ -21,6 +21,7 @@ from railyard.operators import metrics as M
 from railyard.operators import rollup as R
 from railyard.operators import store as ST
 from railyard.plans import board as B
+from railyard.plans import streams as SM
 from railyard.sources import fixtures as FX
 from railyard.sources import responses as RS
 
@@ -276,6 +277,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_distribution": q_delay_distribution,
     "delay_percentiles": q_delay_percentiles,
     "metrics_json": q_metrics_json,
+    "stream_station_metrics": lambda spark, sf: report(SM.stream_station_metrics(spark, sf)),
+    "stream_station_metrics_approx": lambda spark, sf: report(SM.stream_station_metrics_approx(spark, sf)),
+    "stream_departures": lambda spark, sf: report(SM.stream_departures(spark, sf)),
+    "stream_late_data": lambda spark, sf: report(SM.stream_late_data(spark, sf)),
+    "batch_audit": lambda spark, sf: SM.batch_audit(spark, sf),
+    "replay_metrics": lambda spark, sf: report(SM.replay_metrics(spark, sf)),
+    "export_board": lambda spark, sf: SM.export_board(spark, sf),
     "station_window_metrics": q_station_window_metrics,
     "metrics_upsert_latest": q_metrics_upsert_latest,
     "station_index": q_station_index,

@@ -333,8 +333,26 @@ ENV_COLS = ("trip_id, station_id, station_name, line_id, line_name, transport_mo
             "planned_platform, collected_at")
 
 
+EXACT_COLS = ("station_id, station_name, window_start, window_end, avg_delay, max_delay, "
+              "delayed_departures, on_time_departures, significant_delays, total_records, "
+              "latitude, longitude")
+
+
+def _stream_sql() -> dict[str, str]:
+    stored = "WHERE station_name IS NOT NULL AND avg_delay IS NOT NULL AND max_delay IS NOT NULL"
+    late = ("WHERE NOT (collected_at_ts < TIMESTAMP '2024-01-01 12:00:00' AND event_id % 25 = 0)")
+    return {
+        "stream_station_metrics": _PROC + _window_metrics() + f"\nSELECT {EXACT_COLS} FROM m {stored}",
+        "stream_late_data": _PROC + _window_metrics(extra_where=late) + f"\nSELECT {EXACT_COLS} FROM m {stored}",
+        "stream_departures": _PROC + _records() + f"\nSELECT {REC_COLS} FROM rec",
+        "replay_metrics": _PROC + _window_metrics() + f"\nSELECT {METRIC_COLS} FROM m",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**_other_sql(), **_store_board_sql()}
+    sql = {**_other_sql(), **_store_board_sql(), **_stream_sql()}
+    sql["export_board"] = sql["station_table"]
+    return sql
 
 
 def _store_board_sql() -> dict[str, str]:
