@@ -32,6 +32,7 @@ EXACT_METRIC_COLUMNS = [
 ]
 
 _RUNS: dict[tuple, J.StreamDirs] = {}
+_PROGRESS: dict[str, list[dict]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, scenario: str) -> tuple:
@@ -56,7 +57,9 @@ def _run(spark: SparkSession, deliveries: list[DataFrame], label: str) -> J.Stre
     try:
         for part in deliveries:
             publish(part, dirs)
-            J.run_available_now(spark, dirs)
+            for q in J.run_available_now(spark, dirs):
+                _PROGRESS.setdefault(dirs.base, []).extend(
+                    {"query": q.name, **p} for p in (q.recentProgress or []))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
     return dirs
@@ -101,6 +104,22 @@ def late_run(spark: SparkSession, sf_dir: str) -> J.StreamDirs:
     return _RUNS[k]
 
 
+def progress_summary(dirs: J.StreamDirs) -> dict:
+    """Rows in, batches, final state rows / bytes and watermark drops per query."""
+    out: dict = {}
+    for p in _PROGRESS.get(dirs.base, []):
+        q = out.setdefault(p["query"], {"batches": 0, "input_rows": 0, "state_rows": 0,
+                                        "state_bytes": 0, "dropped_by_watermark": 0})
+        q["batches"] += 1
+        q["input_rows"] += int(p.get("numInputRows") or 0)
+        ops = p.get("stateOperators") or []
+        if ops:
+            q["state_rows"] = sum(int(o.get("numRowsTotal") or 0) for o in ops)
+            q["state_bytes"] = sum(int(o.get("memoryUsedBytes") or 0) for o in ops)
+            q["dropped_by_watermark"] += sum(int(o.get("numRowsDroppedByWatermark") or 0) for o in ops)
+    return out
+
+
 def _latest_metrics(spark: SparkSession, dirs: J.StreamDirs) -> DataFrame:
     return ST.current_metrics(J.read_metrics_changelog(spark, dirs), as_of=None)
 
