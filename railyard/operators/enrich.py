@@ -34,13 +34,13 @@ def envelope_fields(flat: DataFrame) -> DataFrame:
     return flat.select(*_field_columns(flat))
 
 
-def encode_envelopes(flat: DataFrame, record_ts=None) -> DataFrame:
+def encode_envelopes(flat: DataFrame, record_ts=None, keep: tuple[str, ...] = ()) -> DataFrame:
     """F2 -> topic records (key = station_id, value = JSON envelope).
 
     Nulls stay in the JSON as `null` (the default writer would drop them). The
     envelope's `timestamp` is the collection time, so replays are
     deterministic; the record timestamp defaults to append time, as a broker
-    assigns it.
+    assigns it. `keep` passes columns through unchanged (a record id, say).
     """
     fields = _field_columns(flat)
     envelope = F.struct(
@@ -52,6 +52,7 @@ def encode_envelopes(flat: DataFrame, record_ts=None) -> DataFrame:
         F.col("station_id").cast("binary").alias("key"),
         F.to_json(envelope, {"ignoreNullFields": "false"}).cast("binary").alias("value"),
         (record_ts if record_ts is not None else F.current_timestamp()).alias("timestamp"),
+        *keep,
     )
 
 
@@ -60,16 +61,20 @@ def decode_envelopes(records: DataFrame) -> DataFrame:
 
     Malformed JSON gives null fields (PERMISSIVE parse); such rows fall to the
     not-null filters of `enrich`. A NaN delay becomes null (Q21).
+
+    The parsed envelope comes out of a one-element `inline` generator rather
+    than a projection: the optimizer would otherwise push each not-null
+    filter of `enrich` below the parse, re-parsing every message once per
+    predicate (measured: 25% of the decode + enrich time).
     """
     parsed = records.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(F.col("value").cast("string"), ENVELOPE).alias("m"),
+        F.inline(F.array(F.from_json(F.col("value").cast("string"), ENVELOPE))),
     )
     return parsed.select(
-        "kafka_key", "kafka_timestamp",
-        F.col("m.event_type").alias("event_type"),
-        *[(C.nan_to_null(F.col(f"m.data.{f}")) if f == "delay_minutes" else F.col(f"m.data.{f}")).alias(f)
+        "kafka_key", "kafka_timestamp", "event_type",
+        *[(C.nan_to_null(F.col(f"data.{f}")) if f == "delay_minutes" else F.col(f"data.{f}")).alias(f)
           for f in ENVELOPE_DATA_FIELDS],
     )
 

@@ -53,11 +53,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A small table stored as one row group scans as a single partition, and
+    every expression above it (JSON, time parsing) then runs in one task. When
+    the scan has fewer splits than the cluster's default parallelism, a
+    round-robin repartition of the narrow input spreads that work; a large
+    table already has more splits than cores and is left as it is (no
+    shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All mapped rows (twelve stations, `enabled` marks the ten polled ones)."""
     ensure_utc(spark)
-    ev = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"))
     ev = ev.select("*", *[F.expr(v).alias(k) for k, v in _HELPERS.items()])
     ev = ev.select("*", *[F.expr(v).alias(k) for k, v in _HELPERS2.items()])
     return ev.select(*[F.expr(v).alias(k) for k, v in _COLUMNS.items()])
