@@ -356,7 +356,7 @@ def all_sql() -> dict[str, str]:
 
 
 def _store_board_sql() -> dict[str, str]:
-    top50 = (f"SELECT {REC_COLS}, rank FROM (SELECT *, row_number() OVER (PARTITION BY station_id "
+    top50 = (f"SELECT {REC_COLS}, cast(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY station_id "
              f"ORDER BY {_NEWEST}) AS rank FROM {{src}}) WHERE rank <= 50")
     leaders = " UNION ALL ".join(
         f"(SELECT '{role}' AS role, station_id, station_name, avg_delay, on_time_pct, total_departures "
