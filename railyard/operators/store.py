@@ -127,11 +127,16 @@ def recent_metrics(changelog: DataFrame, as_of, minutes_back: int | None = 15,
     return cur.join(idx, "station_id", "left_semi")
 
 
-def station_history(changelog: DataFrame, station_id: str, as_of, minutes_back: int | None = 15,
+def station_history(changelog: DataFrame, station_id: str | None, as_of, minutes_back: int | None = 15,
                     ttl_seconds: int | None = METRICS_TTL_SECONDS) -> DataFrame:
-    """T7 + O2: one station's live windows, ordered by window start."""
-    cur = current_metrics(changelog.filter(F.col("station_id") == station_id), as_of, ttl_seconds)
-    return lookback(cur, as_of, minutes_back).orderBy("window_start")
+    """T7 + O2: a station's live windows in the lookback, ordered by window start.
+
+    `station_id=None` reads every station's history (ordered by station, then
+    window start); the filter on one id prunes the scan otherwise.
+    """
+    src = changelog if station_id is None else changelog.filter(F.col("station_id") == station_id)
+    cur = lookback(current_metrics(src, as_of, ttl_seconds), as_of, minutes_back)
+    return cur.orderBy("station_id", "window_start")
 
 
 # ---------------------------------------------------------------------------

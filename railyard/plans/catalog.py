@@ -131,6 +131,13 @@ def q_recent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .drop("metric_date"))
 
 
+def q_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 + O2 for every station: live windows of the last two hours, in order."""
+    e = enriched_rows(spark, sf_dir)
+    return report(ST.station_history(snapshot_rows(e), None, ST.as_of_from(e), RECENT_MINUTES)
+                  .drop("metric_date"))
+
+
 def q_recent_departures_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest 50 stored departures per station."""
     return report(ST.recent_departures(departure_records(spark, sf_dir)))
@@ -314,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_upsert_latest": q_metrics_upsert_latest,
     "station_index": q_station_index,
     "recent_metrics": q_recent_metrics,
+    "station_history": q_station_history,
     "recent_departures_top50": q_recent_departures_top50,
     "recent_departures_live": q_recent_departures_live,
     "exact_dedup": q_exact_dedup,

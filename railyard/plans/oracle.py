@@ -380,6 +380,9 @@ SELECT DISTINCT station_id FROM snap
 WHERE (SELECT max(updated_at) FROM snap) > {_AS_OF} - INTERVAL '7200 seconds'""",
         "recent_metrics": _PROC + _window_metrics() + _snap() + _recent(120)
         + f"\nSELECT {METRIC_COLS}, window_key, batch_id, updated_at FROM cur",
+        "station_history": _PROC + _window_metrics() + _snap() + _recent(120).replace(
+            "\n    AND (SELECT max(updated_at) FROM snap) > " + _AS_OF + " - INTERVAL '7200 seconds'", "")
+        + f"\nSELECT {METRIC_COLS}, window_key, batch_id, updated_at FROM cur ORDER BY station_id, window_start",
         "recent_departures_top50": _PROC + _records() + "\n" + top50.format(src="rec"),
         "recent_departures_live": _PROC + _records() + """,
 live AS (

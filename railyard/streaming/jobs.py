@@ -145,14 +145,17 @@ def start(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
     return queries
 
 
-def run(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until any query ends; then stop the rest in start order.
+def run(spark: SparkSession, queries: list[StreamingQuery], poll_seconds: int = 5) -> None:
+    """Wait until any of these queries ends; then stop the rest in start order.
 
-    Waiting on all queries (not only the first) means a failure in either is
-    seen and re-raised.
+    Waiting on all of them (not only the first) means a failure in either is
+    seen and re-raised. Terminations of unrelated queries in the session are
+    reset and ignored.
     """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination(poll_seconds)
+            spark.streams.resetTerminated()
     finally:
         for q in queries:
             if q.isActive:

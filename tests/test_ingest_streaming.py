@@ -111,3 +111,40 @@ def test_restart_resumes_from_checkpoint(spark):
     assert len(cur) == 1 and cur[0]["total_records"] == 2
     audit = J.read_audit(spark, dirs).filter("query = 'departures'").agg(F.sum("rows_in")).first()[0]
     assert audit == 2
+
+
+def test_stream_hll_counts_close_to_exact(spark):
+    from railyard.plans import catalog as K
+    from railyard.operators import metrics as M
+    sf = "/root/testdata/sf0.01"
+    ap = SM.stream_station_metrics_approx(spark, sf)
+    ex = M.storable(M.round_metrics(M.station_window_metrics(K.enriched_rows(spark, sf), exact=True))).select(
+        "station_id", "window_start", F.col("total_departures").alias("x"))
+    j = ap.join(ex, ["station_id", "window_start"])
+    assert j.count() == ap.count() > 0
+    assert j.filter(F.abs(F.col("x") - F.col("total_departures")) > 5).count() == 0
+
+
+def test_replay_bounds_and_lifecycle(spark):
+    from railyard.streaming import topic as TP
+    dirs = J.StreamDirs.fresh(spark, "replay-unit")
+    SM.publish(flat_df(spark, [dep(trip="a"), dep(trip="b")]), dirs)
+    assert TP.replay(spark, path=dirs.topic).count() == 2
+    assert TP.replay(spark, path=dirs.topic, end="2000-01-01 00:00:00").count() == 0
+    qs = J.start(spark, dirs, departures_trigger="availableNow", which=("departures",))
+    J.run(spark, qs)                     # T18: returns when the query ends, nothing left active
+    assert all(not q.isActive for q in qs)
+    assert J.read_departures(spark, dirs).count() == 2
+
+
+def test_clock_column_and_station_history(spark):
+    from railyard.operators import enrich as EN
+    from railyard.operators import store as ST
+    from railyard.operators import metrics as M
+    from helpers import records
+    e = EN.enrich(EN.decode_envelopes(records(spark, [dep(), dep(station="900000002")])),
+                  with_clock=True, watermark=None)
+    assert e.filter(F.col("current_time").isNull()).count() == 0
+    snap = ST.metric_rows(M.round_metrics(M.station_window_metrics(e, exact=True)), 0, F.col("window_end"))
+    h = ST.station_history(snap, "900000002", BASE + minutes(10), minutes_back=15).collect()
+    assert [r["station_id"] for r in h] == ["900000002"]
