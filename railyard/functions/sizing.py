@@ -1,0 +1,20 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound (rows) for a side we broadcast on purpose: a station list or a
+# per-station index, far below executor memory at a few hundred bytes a row.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when `df` has at most `max_rows` rows.
+
+    The check reads at most max_rows + 1 rows (a limited count), so it stays
+    cheap even when the side turns out to be large; beyond the bound the side
+    is left unhinted and the join plans as a shuffle join.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

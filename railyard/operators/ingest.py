@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
+from railyard.functions.sizing import broadcast_if_small
 
 
 def _missing(c: Column) -> Column:
@@ -102,11 +103,13 @@ def quarantine(responses: DataFrame) -> DataFrame:
 def enabled_only(df: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
     """FL5: keep rows of enabled stations.
 
-    The station list is configuration (one row per polled station), so it is
-    broadcast: the semi-join then runs map-side with no shuffle of `df`.
+    The station list is configuration (one row per polled station); it is
+    broadcast when its estimated size is within the limit, so the semi-join
+    runs map-side with no shuffle of `df`, and planned as a shuffle join
+    otherwise.
     """
     allow = stations.filter("enabled").select(F.col("station_id").alias(key))
-    return df.join(F.broadcast(allow), key, "left_semi")
+    return df.join(broadcast_if_small(allow), key, "left_semi")
 
 
 def ingest_quality(responses: DataFrame) -> DataFrame:
