@@ -148,3 +148,22 @@ def test_clock_column_and_station_history(spark):
     snap = ST.metric_rows(M.round_metrics(M.station_window_metrics(e, exact=True)), 0, F.col("window_end"))
     h = ST.station_history(snap, "900000002", BASE + minutes(10), minutes_back=15).collect()
     assert [r["station_id"] for r in h] == ["900000002"]
+
+
+def test_entry_a_ingest_stream_feeds_processing(spark):
+    """responses (JSON files) -> ingest stream -> topic -> departures + metrics streams."""
+    from railyard.streaming import ingest_job as IJ
+    from railyard.plans import catalog as K
+    from railyard.operators import metrics as M
+    sf = "/root/testdata/sf0.001"
+    obs = FX.perturb_for_validation(FX.observations(spark, sf))
+    resp_dir = new_work_dir(spark, "responses-in")
+    RS.write_responses(RS.responses_from_observations(obs), resp_dir)
+    dirs = J.StreamDirs.fresh(spark, "entry-a")
+    IJ.run_ingest_available_now(spark, resp_dir, dirs, FX.stations(spark))
+    J.run_available_now(spark, dirs)
+    want = IN.flatten_departures(K.polled_responses(spark, sf))
+    assert J.read_departures(spark, dirs).count() == want.count()
+    assert spark.read.parquet(IJ.quarantine_dir(dirs)).count() == IN.quarantine(K.polled_responses(spark, sf)).count()
+    got = SM._latest_metrics(spark, dirs).agg(F.sum("total_records")).first()[0]
+    assert got == want.count()
