@@ -45,6 +45,18 @@ def as_of_from(df: DataFrame, col: str = "collected_at_ts") -> Column:
     return df.select(F.max(col)).scalar()
 
 
+def as_of_value(df: DataFrame, col: str = "collected_at_ts") -> Column:
+    """`as_of` taken from the data once, as a literal.
+
+    One job computes max(col) (a single scalar reaches the driver); the views
+    then use a literal, so the bound is evaluated once instead of once per
+    reference, and `metric_date >= ...` prunes partitions at planning time.
+    A live reader passes its wall clock instead.
+    """
+    micros = df.select(F.max(F.unix_micros(col))).first()[0]
+    return F.timestamp_micros(F.lit(micros)) if micros is not None else F.lit(None).cast("timestamp")
+
+
 # ---------------------------------------------------------------------------
 # Metrics store (T5-T8, FL6, P17, P25)
 # ---------------------------------------------------------------------------

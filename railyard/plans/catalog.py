@@ -91,6 +91,23 @@ def snapshot_rows(enriched: DataFrame, batch_id: int = 0) -> DataFrame:
     return ST.metric_rows(M.storable(m), batch_id, F.col("last_seen")).drop("last_seen")
 
 
+_STORES: dict[tuple, str] = {}
+
+
+def metrics_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics store as the replay leaves it: a table in the shared folder.
+
+    Written once per session (partitioned by metric_date, P25); the store
+    queries read it, as live readers read the streaming sink's changelog.
+    """
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _STORES:
+        path = new_work_dir(spark, "metrics-store")
+        snapshot_rows(enriched_rows(spark, sf_dir)).write.partitionBy("metric_date").parquet(path)
+        _STORES[k] = path
+    return spark.read.parquet(_STORES[k])
+
+
 def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.departure_records(EN.departure_view(enriched_rows(spark, sf_dir)))
 
@@ -121,20 +138,20 @@ def q_metrics_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_station_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indexed stations at as_of = latest collection time."""
     e = enriched_rows(spark, sf_dir)
-    return report(ST.station_index(snapshot_rows(e), ST.as_of_from(e)))
+    return report(ST.station_index(metrics_store(spark, sf_dir), ST.as_of_value(e)))
 
 
 def q_recent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T8 + FL6 + TTL: every station's live windows of the last two hours."""
     e = enriched_rows(spark, sf_dir)
-    return report(ST.recent_metrics(snapshot_rows(e), ST.as_of_from(e), RECENT_MINUTES)
+    return report(ST.recent_metrics(metrics_store(spark, sf_dir), ST.as_of_value(e), RECENT_MINUTES)
                   .drop("metric_date"))
 
 
 def q_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 + O2 for every station: live windows of the last two hours, in order."""
     e = enriched_rows(spark, sf_dir)
-    return report(ST.station_history(snapshot_rows(e), None, ST.as_of_from(e), RECENT_MINUTES)
+    return report(ST.station_history(metrics_store(spark, sf_dir), None, ST.as_of_value(e), RECENT_MINUTES)
                   .drop("metric_date"))
 
 
@@ -146,7 +163,7 @@ def q_recent_departures_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_recent_departures_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations written within the TTL (60 s here), newest 50 each."""
     rec = departure_records(spark, sf_dir)
-    return report(ST.live_departures(rec, ST.as_of_from(rec), LIVE_TTL_SECONDS))
+    return report(ST.live_departures(rec, ST.as_of_value(rec), LIVE_TTL_SECONDS))
 
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,14 +185,13 @@ def q_latest_per_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roll-up over every stored window (no lookback, no expiry)."""
-    e = enriched_rows(spark, sf_dir)
-    return R.station_rollup(ST.current_metrics(snapshot_rows(e), as_of=None))
+    return R.station_rollup(ST.current_metrics(metrics_store(spark, sf_dir), as_of=None))
 
 
 def rollup_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roll-up as the live board reads it: TTL + two-hour lookback at as_of."""
     e = enriched_rows(spark, sf_dir)
-    return R.station_rollup(ST.recent_metrics(snapshot_rows(e), ST.as_of_from(e), RECENT_MINUTES))
+    return R.station_rollup(ST.recent_metrics(metrics_store(spark, sf_dir), ST.as_of_value(e), RECENT_MINUTES))
 
 
 def q_station_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
