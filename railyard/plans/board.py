@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
 from railyard.operators import rollup as R
+from railyard.operators import store as ST
 
 
 def network_kpis(rollup: DataFrame) -> DataFrame:
@@ -60,3 +61,21 @@ def export_board(table: DataFrame, path: str, fmt: str = "csv") -> None:
         w.option("header", "true").csv(path)
     else:
         w.format(fmt).save(path)
+
+
+def board_views(changelog: DataFrame, as_of, minutes_back: int = 15) -> dict[str, DataFrame]:
+    """Entry C: what one board refresh reads, as DataFrames.
+
+    Metrics store at `as_of` (TTL, index, lookback) -> per-station roll-up ->
+    KPIs, markers, leaders, table, coverage. The roll-up has one row per
+    station; callers that show several views can `persist()` it.
+    """
+    roll = R.station_rollup(ST.recent_metrics(changelog, as_of, minutes_back))
+    return {
+        "rollup": roll,
+        "network_kpis": network_kpis(roll),
+        "map_markers": map_markers(roll),
+        "leaders": leaders(roll),
+        "station_table": station_table(roll),
+        "coverage": coverage(roll, minutes_back),
+    }

@@ -167,3 +167,18 @@ def test_entry_a_ingest_stream_feeds_processing(spark):
     assert spark.read.parquet(IJ.quarantine_dir(dirs)).count() == IN.quarantine(K.polled_responses(spark, sf)).count()
     got = SM._latest_metrics(spark, dirs).agg(F.sum("total_records")).first()[0]
     assert got == want.count()
+
+
+def test_entry_c_board_over_streamed_store(spark):
+    from railyard.plans import board as B
+    dirs = J.StreamDirs.fresh(spark, "board-unit")
+    rows = [dep(trip=f"t{i}", station=f"90000000{i % 3}", delay=float(i % 7), collected=BASE + minutes(i))
+            for i in range(30)]
+    SM.publish(flat_df(spark, rows), dirs)
+    J.run_available_now(spark, dirs)
+    views = B.board_views(J.read_metrics_changelog(spark, dirs), BASE + minutes(30), minutes_back=60)
+    assert views["rollup"].count() == 3
+    assert views["network_kpis"].first()["active_stations"] == 3
+    assert views["leaders"].count() == 3 and views["station_table"].count() == 3
+    cov = views["coverage"].first()
+    assert (cov["expected_windows"], cov["min_windows"], cov["max_windows"]) == (4, 2, 2)
