@@ -47,11 +47,6 @@ def perturbed_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.perturb_zero_latitude(FX.perturb_for_enrich(flat))
 
 
-def enriched_from_flat(flat: DataFrame) -> DataFrame:
-    """Flat departures -> envelope -> decode -> enrich, in one plan."""
-    return EN.enrich(EN.decode_envelopes(EN.encode_envelopes(flat)), watermark=None)
-
-
 _TOPICS: dict[tuple, str] = {}
 
 

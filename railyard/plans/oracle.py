@@ -82,18 +82,6 @@ e AS (
   WHERE station_id IS NOT NULL AND trip_id IS NOT NULL AND line_id IS NOT NULL
     AND collected_at_ts IS NOT NULL)"""
 
-# Clean enriched rows (no perturbation).
-_ENRICHED_CLEAN = """,
-e AS (
-  SELECT *,
-         planned_ts AS planned_departure_ts,
-         CASE WHEN actual_when IS NULL THEN planned_ts ELSE actual_ts END AS actual_departure_ts,
-         CASE WHEN delay_minutes > 2 THEN 1 ELSE 0 END AS is_delayed,
-         CASE WHEN delay_minutes <= 2 THEN 1 ELSE 0 END AS is_on_time,
-         CASE WHEN delay_minutes > 5 THEN 1 ELSE 0 END AS is_significant_delay
-  FROM f)"""
-
-
 def _r(x: str, dp: int) -> str:
     """Decimal-canonical rounding, as on the Spark side."""
     return f"cast(round(cast({x} AS decimal(20,6)), {dp}) AS double)"
