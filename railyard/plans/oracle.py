@@ -321,6 +321,22 @@ ENV_COLS = ("trip_id, station_id, station_name, line_id, line_name, transport_mo
             "planned_platform, collected_at")
 
 
+# Brute-force percentile (value at rank ceil(q * n) of the non-null delays):
+# equal to percentile_approx only while its sketch keeps every value, so it is
+# a small-fixture test, not a registered oracle.
+PERCENTILE_BRUTE_FORCE = _PROC + """,
+pr AS (
+  SELECT station_id, delay_minutes,
+         row_number() OVER (PARTITION BY station_id ORDER BY delay_minutes) AS rn,
+         count(*) OVER (PARTITION BY station_id) AS n
+  FROM e WHERE delay_minutes IS NOT NULL)
+SELECT station_id,
+       min(delay_minutes) FILTER (WHERE rn >= ceil(0.5::double * n)) AS p50,
+       min(delay_minutes) FILTER (WHERE rn >= ceil(0.9::double * n)) AS p90,
+       min(delay_minutes) FILTER (WHERE rn >= ceil(0.99::double * n)) AS p99
+FROM pr GROUP BY station_id"""
+
+
 EXACT_COLS = ("station_id, station_name, window_start, window_end, avg_delay, max_delay, "
               "delayed_departures, on_time_departures, significant_delays, total_records, "
               "latitude, longitude")

@@ -30,3 +30,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.schema == entry.entry(spark).schema
+
+
+def test_percentiles_equal_brute_force_on_small_fixture(spark):
+    """percentile_approx keeps every value below its compression threshold."""
+    from railyard.plans.oracle import PERCENTILE_BRUTE_FORCE
+    sf = "/root/testdata/sf0.01"
+    a = entry.queries()["delay_percentiles"](spark, sf).toPandas()
+    b = duck(sf).execute(PERCENTILE_BRUTE_FORCE).df()
+    r = compare(a, b)
+    assert r["ok"], r
