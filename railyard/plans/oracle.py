@@ -356,6 +356,7 @@ def _stream_sql() -> dict[str, str]:
 def all_sql() -> dict[str, str]:
     sql = {**_other_sql(), **_store_board_sql(), **_stream_sql()}
     sql["export_board"] = sql["station_table"]
+    sql["stream_recent_departures"] = sql["recent_departures_top50"]
     return sql
 
 

@@ -141,6 +141,12 @@ def stream_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.drop("batch_id")
 
 
+def stream_recent_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 as the departures sink maintains it: newest 50 per station, read from
+    the last incremental snapshot (late rows included)."""
+    return J.read_recent_departures(spark, late_run(spark, sf_dir))
+
+
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: windows after the late delivery; the late rows are not in them."""
     return _latest_metrics(spark, late_run(spark, sf_dir)).select(*EXACT_METRIC_COLUMNS)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,6 +57,10 @@ class StreamDirs:
     def audit(self) -> str:
         return f"{self.base}/audit"
 
+    @property
+    def recent(self) -> str:
+        return f"{self.base}/recent_departures"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
@@ -81,14 +86,37 @@ def _audit(spark: SparkSession, dirs: StreamDirs, query: str, batch_id: int, met
        .write.mode("overwrite").parquet(f"{dirs.audit}/query={query}/batch_id={batch_id}"))
 
 
-def departures_writer(dirs: StreamDirs):
-    """foreachBatch function writing stored departures (F6) of one batch."""
+def _read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def departures_writer(dirs: StreamDirs, k: int = 50):
+    """foreachBatch function writing stored departures (F6) of one batch.
+
+    Besides the full history it maintains the recent-k list per station (T9)
+    incrementally: snapshot(N) = top-k(snapshot(N-1) + batch N). The snapshot
+    holds at most k rows per station, the top-k runs as a window-group limit,
+    and each batch id has its own directory, so a retried batch recomputes
+    the same snapshot from the same inputs.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         obs = Observation(f"departures_{batch_id}")
         rec = ST.departure_records(batch).observe(
             obs, F.count(F.lit(1)).alias("rows_in"), F.count(F.lit(1)).alias("rows_stored"))
-        rec.write.mode("overwrite").parquet(f"{dirs.departures}/batch_id={batch_id}")
-        _audit(batch.sparkSession, dirs, "departures", batch_id, obs.get)
+        out = f"{dirs.departures}/batch_id={batch_id}"
+        rec.write.mode("overwrite").parquet(out)
+        _audit(spark, dirs, "departures", batch_id, obs.get)
+        # Recent-k from what was just written (no second pass over the source).
+        merged = spark.read.parquet(out)
+        prev = _read_snapshot(spark, f"{dirs.recent}/batch_id={batch_id - 1}")
+        if prev is not None:
+            merged = merged.unionByName(prev.drop("rank"))
+        (ST.recent_departures(merged, k).drop("rank")
+         .write.mode("overwrite").parquet(f"{dirs.recent}/batch_id={batch_id}"))
     return write
 
 
@@ -185,3 +213,10 @@ def read_metrics_changelog(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
 
 def read_audit(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
     return spark.read.parquet(dirs.audit)
+
+
+def read_recent_departures(spark: SparkSession, dirs: StreamDirs, k: int = 50) -> DataFrame:
+    """T9 from the newest snapshot only (k rows per station at most)."""
+    snaps = spark.read.parquet(dirs.recent)
+    latest = snaps.filter(F.col("batch_id") == snaps.select(F.max("batch_id")).scalar())
+    return ST.recent_departures(latest.drop("batch_id"), k)
