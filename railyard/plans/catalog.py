@@ -326,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_departures": lambda spark, sf: report(SM.stream_departures(spark, sf)),
     "stream_late_data": lambda spark, sf: report(SM.stream_late_data(spark, sf)),
     "stream_recent_departures": lambda spark, sf: report(SM.stream_recent_departures(spark, sf)),
+    "stream_live_departures": lambda spark, sf: report(SM.stream_live_departures(spark, sf)),
     "batch_audit": lambda spark, sf: SM.batch_audit(spark, sf),
     "replay_metrics": lambda spark, sf: report(SM.replay_metrics(spark, sf)),
     "export_board": lambda spark, sf: SM.export_board(spark, sf),

@@ -357,6 +357,7 @@ def all_sql() -> dict[str, str]:
     sql = {**_other_sql(), **_store_board_sql(), **_stream_sql()}
     sql["export_board"] = sql["station_table"]
     sql["stream_recent_departures"] = sql["recent_departures_top50"]
+    sql["stream_live_departures"] = sql["recent_departures_live"]
     return sql
 
 

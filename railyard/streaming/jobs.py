@@ -79,9 +79,12 @@ def enriched_stream(spark: SparkSession, dirs: StreamDirs, kafka: dict | None =
 
 
 def _audit(spark: SparkSession, dirs: StreamDirs, query: str, batch_id: int, metrics: dict) -> None:
-    """One row of per-batch counts (query and batch id are directory partitions)."""
-    row = [(int(metrics.get("rows_in", 0) or 0), int(metrics.get("rows_stored", 0) or 0))]
-    df = spark.createDataFrame(row, "rows_in long, rows_stored long")
+    """One row of per-batch counts and event-time bounds (query and batch id
+    are directory partitions)."""
+    row = [(int(metrics.get("rows_in", 0) or 0), int(metrics.get("rows_stored", 0) or 0),
+            metrics.get("min_event_time"), metrics.get("max_event_time"))]
+    df = spark.createDataFrame(
+        row, "rows_in long, rows_stored long, min_event_time timestamp, max_event_time timestamp")
     (df.withColumn("rows_rejected", F.col("rows_in") - F.col("rows_stored"))
        .write.mode("overwrite").parquet(f"{dirs.audit}/query={query}/batch_id={batch_id}"))
 
@@ -106,7 +109,8 @@ def departures_writer(dirs: StreamDirs, k: int = 50):
         spark = batch.sparkSession
         obs = Observation(f"departures_{batch_id}")
         rec = ST.departure_records(batch).observe(
-            obs, F.count(F.lit(1)).alias("rows_in"), F.count(F.lit(1)).alias("rows_stored"))
+            obs, F.count(F.lit(1)).alias("rows_in"), F.count(F.lit(1)).alias("rows_stored"),
+            F.min("collected_at_ts").alias("min_event_time"), F.max("collected_at_ts").alias("max_event_time"))
         out = f"{dirs.departures}/batch_id={batch_id}"
         rec.write.mode("overwrite").parquet(out)
         _audit(spark, dirs, "departures", batch_id, obs.get)
@@ -132,7 +136,8 @@ def metrics_writer(dirs: StreamDirs):
         ok = (F.col("station_name").isNotNull() & F.col("avg_delay").isNotNull()
               & F.col("max_delay").isNotNull())
         rounded = M.round_metrics(batch).observe(
-            obs, F.count(F.lit(1)).alias("rows_in"), F.count_if(ok).alias("rows_stored"))
+            obs, F.count(F.lit(1)).alias("rows_in"), F.count_if(ok).alias("rows_stored"),
+            F.min("window_start").alias("min_event_time"), F.max("window_end").alias("max_event_time"))
         # batch_id is the directory partition, so it is not repeated in the files.
         rows = ST.metric_rows(M.storable(rounded), batch_id, F.current_timestamp()).drop("batch_id")
         (rows.write.mode("overwrite").partitionBy("metric_date")
@@ -220,3 +225,15 @@ def read_recent_departures(spark: SparkSession, dirs: StreamDirs, k: int = 50) -
     snaps = spark.read.parquet(dirs.recent)
     latest = snaps.filter(F.col("batch_id") == snaps.select(F.max("batch_id")).scalar())
     return ST.recent_departures(latest.drop("batch_id"), k)
+
+
+def read_live_departures(spark: SparkSession, dirs: StreamDirs, as_of,
+                         ttl_seconds: int = 3600, k: int = 50) -> DataFrame:
+    """T12 from the newest snapshot: stations whose last write is within the TTL.
+
+    The newest entry of a station's list is its last write, so the snapshot
+    alone answers the expiry test.
+    """
+    snaps = spark.read.parquet(dirs.recent)
+    latest = snaps.filter(F.col("batch_id") == snaps.select(F.max("batch_id")).scalar())
+    return ST.live_departures(latest.drop("batch_id"), as_of, ttl_seconds, k)
