@@ -16,6 +16,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Several streaming queries share the executors; FAIR pools (one per
+    # query, see streaming.jobs) keep the 10 s departures query from queueing
+    # behind the metrics aggregation.
+    "spark.scheduler.mode": "FAIR",
     # The decode/enrich projections carry many aliases over one parsed struct;
     # constraint inference over them is exponential (86 s of planning for a
     # filter on the aggregate). Plain predicate pushdown is unaffected.

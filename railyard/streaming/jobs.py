@@ -146,6 +146,17 @@ def metrics_writer(dirs: StreamDirs):
     return write
 
 
+def _in_pool(spark: SparkSession, name: str, start):
+    """Start a query with its jobs in scheduler pool `name` (used under FAIR)."""
+    sc = spark.sparkContext
+    prev = sc.getLocalProperty("spark.scheduler.pool")
+    sc.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return start()
+    finally:
+        sc.setLocalProperty("spark.scheduler.pool", prev)
+
+
 def _trigger(writer, trigger):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -168,13 +179,13 @@ def start(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
         w = (EN.departure_view(enriched).writeStream.queryName("departures")
              .outputMode("append").foreachBatch(departures_writer(dirs))
              .option("checkpointLocation", dirs.checkpoint("departures")))
-        queries.append(_trigger(w, departures_trigger).start())
+        queries.append(_in_pool(spark, "departures", _trigger(w, departures_trigger).start))
     if "metrics" in which:
         agg = M.station_window_metrics(enriched, exact=False, rsd=rsd)
         w = (agg.writeStream.queryName("metrics").outputMode("update")
              .foreachBatch(metrics_writer(dirs))
              .option("checkpointLocation", dirs.checkpoint("metrics")))
-        queries.append(_trigger(w, metrics_trigger).start())
+        queries.append(_in_pool(spark, "metrics", _trigger(w, metrics_trigger).start))
     return queries
 
 
