@@ -248,3 +248,45 @@ def read_live_departures(spark: SparkSession, dirs: StreamDirs, as_of,
     snaps = spark.read.parquet(dirs.recent)
     latest = snaps.filter(F.col("batch_id") == snaps.select(F.max("batch_id")).scalar())
     return ST.live_departures(latest.drop("batch_id"), as_of, ttl_seconds, k)
+
+
+def _compacted_dir(dirs: StreamDirs) -> str:
+    return f"{dirs.base}/metrics_compacted"
+
+
+def _latest_compaction(spark: SparkSession, dirs: StreamDirs) -> tuple[DataFrame | None, int]:
+    snaps = _read_snapshot(spark, _compacted_dir(dirs))
+    if snaps is None:
+        return None, -1
+    upto = snaps.select(F.max("upto_batch")).first()[0]
+    return snaps.filter(F.col("upto_batch") == upto).drop("upto_batch"), int(upto)
+
+
+def read_metrics(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
+    """The metrics store: latest compaction plus the changelog batches after it.
+
+    Feed it to `store.current_metrics` / `recent_metrics` like the raw
+    changelog; the result is the same, but the scan stops growing with the
+    number of batches.
+    """
+    log = read_metrics_changelog(spark, dirs)
+    base, upto = _latest_compaction(spark, dirs)
+    newer = log.filter(F.col("batch_id") > upto)
+    return newer if base is None else base.unionByName(newer)
+
+
+def compact_metrics(spark: SparkSession, dirs: StreamDirs, as_of, ttl_seconds: int = 7200) -> int:
+    """Fold the changelog into one row per live key (T5 + TTL) and store it.
+
+    compacted(B) = current(compacted(previous) + batches <= B) at `as_of`,
+    written under `upto_batch=B` (overwrite, so a rerun is idempotent).
+    Rows past the TTL are dropped here; later reads use `read_metrics`.
+    Returns B.
+    """
+    log = read_metrics_changelog(spark, dirs)
+    upto = int(log.select(F.max("batch_id")).first()[0])
+    src = read_metrics(spark, dirs).filter(F.col("batch_id") <= upto)
+    cur = ST.current_metrics(src, as_of, ttl_seconds)
+    (cur.write.mode("overwrite").partitionBy("metric_date")
+        .parquet(f"{_compacted_dir(dirs)}/upto_batch={upto}"))
+    return upto
