@@ -63,10 +63,12 @@ def spread(df: DataFrame) -> DataFrame:
     table already has more splits than cores and is left as it is (no
     shuffle).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:   # no RDD view (e.g. a Connect session): leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
