@@ -166,10 +166,13 @@ def _trigger(writer, trigger):
 def start(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
           departures_trigger: str = DEPARTURES_TRIGGER, metrics_trigger: str = METRICS_TRIGGER,
           rsd: float = 0.01, which: tuple[str, ...] = ("departures", "metrics"),
-          max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+          max_files_per_trigger: int | None = None, window: str = "15 minutes",
+          slide: str | None = None) -> list[StreamingQuery]:
     """Start the departures and metrics queries over one enriched stream.
 
-    State partitions of the metrics query are fixed at its first checkpoint
+    `window` / `slide` set the metrics windows (tumbling 15 minutes by
+    default; a slide gives the sliding variant, T3). State partitions of the
+    metrics query are fixed at its first checkpoint
     from `spark.sql.shuffle.partitions`; size that to the state (windows x
     stations) before the first start.
     """
@@ -181,7 +184,7 @@ def start(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
              .option("checkpointLocation", dirs.checkpoint("departures")))
         queries.append(_in_pool(spark, "departures", _trigger(w, departures_trigger).start))
     if "metrics" in which:
-        agg = M.station_window_metrics(enriched, exact=False, rsd=rsd)
+        agg = M.station_window_metrics(enriched, window, slide, exact=False, rsd=rsd)
         w = (agg.writeStream.queryName("metrics").outputMode("update")
              .foreachBatch(metrics_writer(dirs))
              .option("checkpointLocation", dirs.checkpoint("metrics")))

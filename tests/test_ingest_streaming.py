@@ -218,3 +218,11 @@ def test_sink_batch_retry_is_idempotent(spark):
     assert J.read_recent_departures(spark, dirs).count() == 2
     assert J.read_metrics_changelog(spark, dirs).count() == 1
     assert J.read_audit(spark, dirs).count() == 2        # one row per (query, batch)
+
+
+def test_sliding_windows_in_stream(spark):
+    dirs = J.StreamDirs.fresh(spark, "sliding-unit")
+    SM.publish(flat_df(spark, [dep(collected=BASE + minutes(2.5))]), dirs)
+    J.run_available_now(spark, dirs, which=("metrics",), window="5 minutes", slide="1 minute")
+    cur = SM._latest_metrics(spark, dirs)
+    assert cur.count() == 5 and cur.agg(F.sum("total_records")).first()[0] == 5
