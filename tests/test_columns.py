@@ -66,3 +66,13 @@ def test_broadcast_only_below_row_bound(spark):
     large = broadcast_if_small(spark.range(50), max_rows=10)
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+
+
+def test_spread_only_when_scan_has_too_few_splits(spark):
+    from railyard.sources.fixtures import read_table, spread
+    ev = read_table(spark, "/root/testdata/sf0.001", "events")
+    want = spark.sparkContext.defaultParallelism
+    assert ev.rdd.getNumPartitions() < want
+    assert spread(ev).rdd.getNumPartitions() == want
+    wide = spark.range(0, 1000, numPartitions=want * 2)
+    assert spread(wide) is wide                       # enough splits: no shuffle added
