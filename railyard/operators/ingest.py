@@ -86,10 +86,16 @@ def project_departure(validated: DataFrame) -> DataFrame:
     )
 
 
-def flatten_departures(responses: DataFrame) -> DataFrame:
-    """P1-P6 + FL3/FL4: valid departures of all responses as flat F2 rows."""
+def flatten_departures(responses: DataFrame, include_cancelled: bool = True) -> DataFrame:
+    """P1-P6 + FL3/FL4: valid departures of all responses as flat F2 rows.
+
+    Cancelled trips are kept by default (Q14: the topic never carried the
+    flag, so a cancelled trip with no delay counted as on time); pass
+    `include_cancelled=False` to leave them out before they reach the topic.
+    """
     v = with_validation(explode_departures(responses))
-    return project_departure(v.filter(F.col("reason").isNull()))
+    flat = project_departure(v.filter(F.col("reason").isNull()))
+    return flat if include_cancelled else flat.filter(~F.col("cancelled"))
 
 
 def quarantine(responses: DataFrame) -> DataFrame:

@@ -226,3 +226,11 @@ def test_sliding_windows_in_stream(spark):
     J.run_available_now(spark, dirs, which=("metrics",), window="5 minutes", slide="1 minute")
     cur = SM._latest_metrics(spark, dirs)
     assert cur.count() == 5 and cur.agg(F.sum("total_records")).first()[0] == 5
+
+
+def test_q14_cancelled_kept_by_default_excludable(spark):
+    resp = [{"requested_station_id": "900000001", "fetched_at": "2024-01-01T10:00:00Z",
+             "departures": [_raw("gone"), dict(_raw("runs"), cancelled=False)]}]
+    df = _responses(spark, resp)
+    assert {r["trip_id"] for r in IN.flatten_departures(df).collect()} == {"gone", "runs"}
+    assert [r["trip_id"] for r in IN.flatten_departures(df, include_cancelled=False).collect()] == ["runs"]
