@@ -17,22 +17,26 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write `df` to a fresh table in the shared folder and read it back.
 
     Cuts the lineage and survives lost executors: every executor reads the
-    table, no machine-local copy is involved.
+    table, no machine-local copy is involved. `rows`, if known, keeps a small
+    result from being written as very many small files.
     """
-    path = new_work_dir(df.sparkSession, f"llm-{label}")
+    spark = df.sparkSession
+    path = new_work_dir(spark, f"llm-{label}")
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, rows // 250_000))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", rounds: int | None = None) -> DataFrame:
     """Connected components of undirected `edges` (columns a, b of any orderable type).
 
     Returns ``node, component`` for every node that is not the smallest of its
@@ -42,24 +46,27 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     component holding a third of all nodes needs no task that sees all of it:
     the joins are plain shuffle joins, which the adaptive skew split divides.
     Self-loops, repeated edges and null ends are ignored.
+
+    With `rounds` it stops early: nodes with the same name are then connected,
+    but a component may still have several names.
     """
     e = (edges.where("a <> b")
          .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     e = materialise(e, label)
-    state = _fingerprint(e)
-    while state[0]:
+    state, done = _fingerprint(e), 0
+    while state[0] and (rounds is None or done < rounds):
         low = e.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "u")
-        large = (e.join(low, F.col("lo") == F.col("u"), "left")
-                 .select("hi", F.coalesce("m", "lo").alias("lo")).distinct())
+        large = e.join(low, F.col("lo") == F.col("u"), "left").select("hi", F.coalesce("m", "lo").alias("lo"))
         low = large.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "u")
         both = large.join(low, F.col("hi") == F.col("u")).select(
             F.explode(F.array(F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
                               F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x"))
-        e = materialise(both.select("x.hi", "x.lo").where("hi <> lo").distinct(), label)
-        before, state = state, _fingerprint(e)
+        e = materialise(both.select("x.hi", "x.lo").where("hi <> lo").distinct(), label, state[0])
+        before, state, done = state, _fingerprint(e), done + 1
         if before == state:
             break
-    return e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+    out = e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+    return out if rounds is None else out.groupBy("node").agg(F.min("component").alias("component"))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

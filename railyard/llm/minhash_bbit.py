@@ -42,8 +42,8 @@ _MASK = (1 << 64) - 1
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.Generator(np.random.PCG64(20240229))
-    a = rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return a, rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+    a = rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return a[:, None], rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
 
 
 class WordHash(dict):
@@ -76,29 +76,36 @@ def shingle_set(text: bytes | None, size: int, words: WordHash) -> np.ndarray:
 
 
 def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.full(HASHES, np.uint64(_MASK), np.uint64)
-    for i in range(0, len(shingles), 512):  # bounded memory for very long texts
-        x = shingles[i:i + 512, None] * a[None, :] + b[None, :]
-        np.minimum(out, x.min(0), out)
-    return _mix(out)
+    """The minimum of each hash function over a set, mixed once more."""
+    x = (shingles >> np.uint64(32)).astype(np.uint32)
+    out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(x), 1024):  # bounded memory for very long texts
+        h = a * x[None, i:i + 1024]
+        h += b
+        np.minimum(out, h.min(1), out)
+    return _mix(out.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+
+#: Bytes of a bit plane, padded to whole 64-bit words.
+PLANE = -(-HASHES // 64) * 8
 
 
 def pack_bits(m: np.ndarray) -> bytes:
     """The low bits of every minimum: one bit plane after the other."""
-    return b"".join(np.packbits(((m >> np.uint64(j)) & np.uint64(1)).astype(np.uint8)).tobytes()
+    return b"".join(np.packbits(((m >> np.uint64(j)) & np.uint64(1)).astype(np.uint8)).tobytes().ljust(PLANE, b"\0")
                     for j in range(BITS))
 
 
 def equal_fields(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Equal b-bit fields of every row of x with every row of y (packed signatures)."""
-    n = x.shape[1] // BITS
-    differ = np.zeros((len(x), len(y)), np.int32)
-    for byte in range(0, n):
-        d = x[:, None, byte] ^ y[None, :, byte]
+    """Equal b-bit fields of every row of x with every row of y (packed signatures, as 64-bit words)."""
+    n = PLANE // 8
+    differ = np.zeros((len(x), len(y)), np.uint8 if HASHES < 256 else np.int32)
+    for w in range(n):
+        d = x[:, None, w] ^ y[None, :, w]
         for j in range(1, BITS):
-            d = d | (x[:, None, j * n + byte] ^ y[None, :, j * n + byte])
+            d |= x[:, None, j * n + w] ^ y[None, :, j * n + w]
         differ += np.bitwise_count(d)
-    return HASHES - differ
+    return HASHES - differ.astype(np.int32)
 
 
 def estimated_similarity(equal):
@@ -146,23 +153,24 @@ def _signer(size: int):
 
 def _sets(size: int):
     def run(batches):
-        words = WordHash()
+        words, seen = WordHash(), set()
         for rb in batches:
-            s = [shingle_set(t, size, words) for t in rb.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in s], pa.binary()),
-                 pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))], ["cls", "shingles"])
+            out, ids = [], []
+            for i, cls, t in zip(*(rb.column(c).to_pylist() for c in (0, 1)), rb.column(2).cast(pa.binary()).to_pylist()):
+                if i in seen:  # a further row of the same document
+                    continue
+                s = shingle_set(t, size, words)
+                if xxhash.xxh3_128_digest(s.tobytes()) == cls:
+                    seen.add(i)
+                    ids.append(i), out.append(s.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "shingles"])
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of `pairs` (a, b: classes) whose full sets are similar enough."""
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-              .join(reps.select("cls", "doc_id"), "cls").select("doc_id").distinct())
-    sets = (docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "cls binary, shingles array<bigint>")
-            .dropDuplicates(["cls"]))
-    sa = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
-    sb = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
+    sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    sb = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     # First the many-sided end, then the end that may be one class for many
     # pairs: its set is joined last, so it is not carried through a shuffle.
     inter = F.size(F.array_intersect("sa", "sb"))
@@ -174,56 +182,50 @@ def _best_partners(limit: int, least: int):
     """Per task of active rows against all rows of a bucket: the best candidates of each active row."""
     def run(key, t):
         act = np.asarray(t.column("active").to_numpy(zero_copy_only=False), bool)
-        cls, comp = t.column("cls").to_pylist(), t.column("comp").to_pylist()
-        names = {c: i for i, c in enumerate(dict.fromkeys(comp))}
-        comp = np.array([names[c] for c in comp])
-        sig = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint8).reshape(len(cls), -1)
+        ids, comp = t.column("id").to_numpy(), t.column("comp").to_numpy()
+        sig = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
         x, y = np.flatnonzero(act), np.flatnonzero(~act)
-        a, b, more = [], [], []
+        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
         for i in range(0, len(x), 256):
             xi = x[i:i + 256]
             eq = equal_fields(sig[xi], sig[y])
             eq[comp[xi][:, None] == comp[y][None, :]] = -1
-            for r, row in zip(xi, eq):
-                good = np.flatnonzero(row >= least)
-                cut = len(good) > limit
-                if cut:
-                    good = good[np.argsort(-row[good], kind="stable")[:limit]]
-                for j in good:
-                    a.append(cls[r]), b.append(cls[y[j]]), more.append(cut)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()),
-                         "more": pa.array(more, pa.bool_())})
+            many = np.flatnonzero((eq >= least).sum(1) > limit)
+            for r in many:  # only the best ones of this row now
+                eq[r, np.argsort(-eq[r], kind="stable")[limit:]] = -1
+            r, c = np.nonzero(eq >= least)
+            a.append(ids[xi[r]]), b.append(ids[y[c]]), more.append(np.isin(r, many))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b), "more": np.concatenate(more)})
     return run
 
 
-def _between_components(mem: DataFrame, comps: DataFrame, reps: DataFrame, limit: int, least: int) -> DataFrame:
+def _between_components(mem: DataFrame, comps: DataFrame, classes: DataFrame, limit: int, least: int) -> DataFrame:
     """Candidate pairs of classes that share a bucket but not yet a component."""
-    m = (mem.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
-         .select("key", "cls", F.coalesce("component", "cls").alias("comp")))
+    m = (mem.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
+         .select("key", "id", F.coalesce("component", "id").alias("comp")))
     per = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     # of every bucket with several components: the main one, and how many rows are in and outside it
-    open_ = (per.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("inside"),
-                                    F.sum("c").alias("all"), F.count(F.lit(1)).alias("n_comps"))
-             .where("n_comps > 1").drop("n_comps"))
-    rows = (m.join(open_, "key").join(reps.select("cls", "bits"), "cls")
-            .withColumn("nx", F.ceil((F.col("all") - F.col("inside")) / BLOCK).cast("int"))
-            .withColumn("ny", F.ceil(F.col("all") / BLOCK).cast("int"))
-            .withColumn("h", F.abs(F.xxhash64("cls") % 1_000_003)))
+    open_ = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("main"), F.sum("c").alias("all"))
+             .where("main.c < all").select("key", "all", F.col("main.c").alias("inside"), F.col("main.comp").alias("main")))
+    rows = (m.join(open_, "key").join(classes.select("id", "bits"), "id")
+            .withColumn("nx", F.ceil((F.col("all") - F.col("inside")) / BLOCK).cast("bigint"))
+            .withColumn("ny", F.ceil(F.col("all") / BLOCK).cast("bigint"))
+            .withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1_000_003))))
     # active rows (outside the main component) meet every block of the bucket,
     # and every row of the bucket meets every block of active rows
     active = (rows.where("comp <> main")
-              .select("key", "cls", "comp", "bits", (F.col("h") % F.col("nx")).alias("bx"),
-                      F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("by"), F.lit(True).alias("active")))
-    others = (rows.select("key", "cls", "comp", "bits", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("bx"),
+              .select("key", "id", "comp", "bits", (F.col("h") % F.col("nx")).alias("bx"),
+                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ny") - 1)).alias("by"), F.lit(True).alias("active")))
+    others = (rows.select("key", "id", "comp", "bits", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nx") - 1)).alias("bx"),
                           (F.col("h") % F.col("ny")).alias("by"), F.lit(False).alias("active")))
-    both = active.select(*others.columns).unionByName(others)
-    found = both.groupBy("key", "bx", "by").applyInArrow(_best_partners(limit, least), "a binary, b binary, more boolean")
+    found = (active.select(*others.columns).unionByName(others)
+             .groupBy("key", "bx", "by").applyInArrow(_best_partners(limit, least), "a bigint, b bigint, more boolean"))
     return (found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "more")
             .groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 5, percent: int = 80, first_partners: int = 4) -> DataFrame:
+                    shingle: int = 5, percent: int = 80, first_partners: int = 8) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
     Links rows whose sets of `shingle`-word shingles have 100 * intersection >=
@@ -239,40 +241,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sigs = materialise(docs.mapInArrow(_signer(shingle), "doc_id bigint, n bigint, cls binary, bits binary, bands array<bigint>"), "signatures")
-    rows = sigs.where("cls is not null and doc_id is not null").select("doc_id", "cls")
-    classes = rows.groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    reps = materialise(sigs.join(classes, ["cls", "doc_id"]).dropDuplicates(["cls"]).select("cls", "doc_id", "bits", "bands"), "classes")
-
-    mem = reps.select("cls", F.explode("bands").alias("key"))
-    heads = mem.groupBy("key").agg(F.min("cls").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    rows = sigs.where("cls is not null and doc_id is not null")
+    # Equal sets have equal signatures. A class is numbered as the table is
+    # written, so its number stays the same for every later reader.
+    classes = (rows.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.any_value("bits").alias("bits"), F.any_value("bands").alias("bands"))
+               .withColumn("id", F.monotonically_increasing_id()))
+    classes = materialise(classes, "classes")
+
+    mem = classes.select("id", F.explode("bands").alias("key"))
+    heads = mem.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
     mem = materialise(mem.join(heads, "key"), "buckets")
+    wanted = mem.select("id").distinct().join(classes.select("id", "cls", "doc_id"), "id")
+    sets = materialise(docs.join(wanted, "doc_id").select("id", "cls", "text").mapInArrow(_sets(shingle), "id bigint, shingles array<bigint>"), "sets")
+
     least = least_equal(percent / 100)
     equal = F.lit(HASHES) - _differing("x", "y")
-    bits = reps.select("cls", "bits")
-    pairs = (mem.where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-             .join(bits.select(F.col("cls").alias("b"), F.col("bits").alias("y")), "b")
-             .join(bits.select(F.col("cls").alias("a"), F.col("bits").alias("x")), "a")
+    bits = classes.select("id", "bits")
+    pairs = (mem.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+             .join(bits.select(F.col("id").alias("b"), F.col("bits").alias("y")), "b")
+             .join(bits.select(F.col("id").alias("a"), F.col("bits").alias("x")), "a")
              .where(equal >= least).select("a", "b"))
     # rows of one id with different texts are one node
-    spread = rows.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z").drop("z")
-    links = materialise(_confirmed(materialise(pairs, "pairs"), docs, reps, shingle, percent)
-                        .unionByName(rows.join(spread, "doc_id").select("a", F.col("cls").alias("b")).where("a <> b").distinct()), "links")
-    comps = components(links)
-    limit = first_partners
+    spread = rows.groupBy("doc_id").agg(F.min("cls").alias("one"), F.max("cls").alias("other")).where("one <> other").select("doc_id")
+    same = rows.select("doc_id", "cls").join(spread, "doc_id").join(classes.select("cls", "id"), "cls").select("doc_id", "id")
+    same = same.groupBy("doc_id").agg(F.min("id").alias("a")).join(same, "doc_id").select("a", F.col("id").alias("b"))
+    links = materialise(_confirmed(pairs, sets, percent).unionByName(same.where("a <> b")), "links")
+
+    limit, several = first_partners, mem.where("m > 2").select("key", "id")
     while True:
-        more = materialise(_between_components(mem, comps, reps, limit, least), "between")
-        n, cut = more.agg(F.count(F.lit(1)), F.coalesce(F.max("more"), F.lit(False))).first()
-        if not n:
-            break
-        new = materialise(_confirmed(more.select("a", "b"), docs, reps, shingle, percent), "links")
-        if new.limit(1).count():
-            comps = components(new.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        # names from a few rounds are enough to skip what is connected already
+        more = materialise(_between_components(several, components(links, rounds=2), classes, limit, least), "between")
+        n, cut = more.agg(F.count(F.lit(1)), F.max("more")).first()
+        if n:
+            links = links.unionByName(materialise(_confirmed(more.select("a", "b"), sets, percent), "links"))
         if not cut:
             break
-        limit *= 16
+        limit *= 64
+    comps = components(links)
 
-    named = (classes.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
-             .select("cls", "doc_id", F.coalesce("component", "cls").alias("component")))
+    named = (classes.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
+             .select("cls", "doc_id", F.coalesce("component", "id").alias("component")))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(smallest, "component").select("cls", "component_id")
     comp = F.coalesce("component_id", "doc_id")
@@ -285,15 +293,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _differing(x: str, y: str) -> F.Column:
     """Number of b-bit fields in which two packed signatures differ, with built-in functions.
 
-    The planes are compared as hexadecimal words of 15 digits.
+    The planes are compared as hexadecimal words of 14 digits.
     """
-    plane = (HASHES + 7) // 8
     total = F.lit(0)
-    for at in range(1, plane + 1, 7):
-        n = min(7, plane + 1 - at)
+    for at in range(1, (HASHES + 7) // 8 + 1, 7):
+        n = min(7, (HASHES + 7) // 8 + 1 - at)
         d = None
         for j in range(BITS):
-            w = [F.conv(F.hex(F.substring(c, j * plane + at, n)), 16, 10).cast("long") for c in (x, y)]
+            w = [F.conv(F.hex(F.substring(c, j * PLANE + at, n)), 16, 10).cast("long") for c in (x, y)]
             v = w[0].bitwiseXOR(w[1])
             d = v if d is None else d.bitwiseOR(v)
         total = total + F.bit_count(d)
