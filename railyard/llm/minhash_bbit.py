@@ -14,11 +14,12 @@ Every remaining candidate is confirmed on the full sets (64-bit shingle
 hashes), so no link below the threshold is ever reported.
 
 Candidates are never listed as all pairs of a bucket. Equal sets are one class
-from the start. Round one compares every bucket member with the bucket's
-smallest class only. What is then still in another component than the bucket's
-main one is compared with the others by signature, in blocks, and each such
-member sends its best candidates to the exact check; the number sent grows from
-round to round until no candidate between two components is left untested.
+from the start. First every bucket member is compared with the bucket's
+smallest class only. Where a bucket still holds several components, the
+members outside its main one are compared with the others by signature, in
+blocks, and their candidates are confirmed there, from the likeliest on, until
+they are connected or none is left. Only links that connect components leave a
+task.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from railyard.llm.common import components, materialise
 HASHES, ROWS, BITS = 200, 5, 4
 BANDS = HASHES // ROWS
 #: Rows of one side of a signature comparison.
-BLOCK = 1024
+BLOCK = 512
 _MASK = (1 << 64) - 1
 
 
@@ -178,54 +179,91 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"))
 
 
-def _best_partners(limit: int, least: int):
-    """Per task of active rows against all rows of a bucket: the best candidates of each active row."""
+def _overlaps(one: np.ndarray, others: list) -> np.ndarray:
+    """Sizes of the intersections of one sorted set with others."""
+    size = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    return np.add.reduceat((one[at] == flat).astype(np.int64), np.concatenate(([0], np.cumsum(size)[:-1])))
+
+
+def _missing_links(least: int, percent: int):
+    """Per task of active rows against other rows: links that connect two components.
+
+    A row's candidates are tried from the likeliest on, and not beyond the
+    point where they are connected; each is confirmed on the full sets.
+    """
     def run(key, t):
         act = np.asarray(t.column("active").to_numpy(zero_copy_only=False), bool)
         ids, comp = t.column("id").to_numpy(), t.column("comp").to_numpy()
         sig = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+        column = t.column("shingles").combine_chunks()
+        flat, cut = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+        sets = [np.sort(flat[cut[i]:cut[i + 1]]) for i in range(len(ids))]
+        size = np.diff(cut)
+        names = dict(zip(comp.tolist(), comp.tolist()))
+
+        def name(c):
+            while names[c] != c:
+                names[c] = c = names[names[c]]
+            return c
+
         x, y = np.flatnonzero(act), np.flatnonzero(~act)
-        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+        a, b = [], []
         for i in range(0, len(x), 256):
             xi = x[i:i + 256]
             eq = equal_fields(sig[xi], sig[y])
             eq[comp[xi][:, None] == comp[y][None, :]] = -1
-            many = np.flatnonzero((eq >= least).sum(1) > limit)
-            for r in many:  # only the best ones of this row now
-                eq[r, np.argsort(-eq[r], kind="stable")[limit:]] = -1
-            r, c = np.nonzero(eq >= least)
-            a.append(ids[xi[r]]), b.append(ids[y[c]]), more.append(np.isin(r, many))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b), "more": np.concatenate(more)})
+            for r, row in zip(xi, eq):
+                c = np.flatnonzero(row >= least)
+                c = y[c[np.argsort(-row[c], kind="stable")]]
+                done, step = 0, 8
+                while done < len(c):
+                    some = [j for j in c[done:done + step] if name(int(comp[j])) != name(int(comp[r]))]
+                    done, step = done + step, 512
+                    if not some:
+                        continue
+                    both = _overlaps(sets[r], [sets[j] for j in some])
+                    for j in np.array(some)[100 * both >= percent * (size[r] + size[some] - both)]:
+                        p, q = name(int(comp[j])), name(int(comp[r]))
+                        if p != q:
+                            names[max(p, q)] = min(p, q)
+                            a.append(ids[r]), b.append(ids[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
 
-def _between_components(mem: DataFrame, comps: DataFrame, classes: DataFrame, limit: int, least: int) -> DataFrame:
-    """Candidate pairs of classes that share a bucket but not yet a component."""
+def _between_components(mem: DataFrame, comps: DataFrame, classes: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
+    """Links between classes that share a bucket but are in different components.
+
+    All open buckets (with several components) that have the same main
+    component are searched together, so a class's set is shipped once for
+    them, not once for each bucket.
+    """
     m = (mem.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
          .select("key", "id", F.coalesce("component", "id").alias("comp")))
     per = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    # of every bucket with several components: the main one, and how many rows are in and outside it
     open_ = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("main"), F.sum("c").alias("all"))
-             .where("main.c < all").select("key", "all", F.col("main.c").alias("inside"), F.col("main.comp").alias("main")))
-    rows = (m.join(open_, "key").join(classes.select("id", "bits"), "id")
-            .withColumn("nx", F.ceil((F.col("all") - F.col("inside")) / BLOCK).cast("bigint"))
-            .withColumn("ny", F.ceil(F.col("all") / BLOCK).cast("bigint"))
+             .where("main.c < all").select("key", F.col("main.comp").alias("main")))
+    near = materialise(m.join(open_, "key").select("main", "id", "comp").distinct(), "neighbourhoods")
+    count = near.groupBy("main").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("comp") != F.col("main")).alias("active"))
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("bigint").alias("n" + c)
+    rows = (near.join(count.select("main", blocks("all"), blocks("active")), "main")
             .withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1_000_003))))
-    # active rows (outside the main component) meet every block of the bucket,
-    # and every row of the bucket meets every block of active rows
-    active = (rows.where("comp <> main")
-              .select("key", "id", "comp", "bits", (F.col("h") % F.col("nx")).alias("bx"),
-                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ny") - 1)).alias("by"), F.lit(True).alias("active")))
-    others = (rows.select("key", "id", "comp", "bits", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nx") - 1)).alias("bx"),
-                          (F.col("h") % F.col("ny")).alias("by"), F.lit(False).alias("active")))
-    found = (active.select(*others.columns).unionByName(others)
-             .groupBy("key", "bx", "by").applyInArrow(_best_partners(limit, least), "a bigint, b bigint, more boolean"))
-    return (found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "more")
-            .groupBy("a", "b").agg(F.max("more").alias("more")))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n" + c) - 1))
+    # active rows (outside the main component) meet every block of all rows, and
+    # every row meets every block of active rows
+    active = rows.where("comp <> main").select("main", "id", "comp", (F.col("h") % F.col("nactive")).alias("bx"),
+                                               upto("all").alias("by"), F.lit(True).alias("active"))
+    others = rows.select("main", "id", "comp", upto("active").alias("bx"), (F.col("h") % F.col("nall")).alias("by"),
+                         F.lit(False).alias("active"))
+    return (active.select(*others.columns).unionByName(others)
+            .join(sets.join(classes.select("id", "bits"), "id"), "id")
+            .groupBy("main", "bx", "by").applyInArrow(_missing_links(least, percent), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 5, percent: int = 80, first_partners: int = 8) -> DataFrame:
+                    shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
     Links rows whose sets of `shingle`-word shingles have 100 * intersection >=
@@ -267,17 +305,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = same.groupBy("doc_id").agg(F.min("id").alias("a")).join(same, "doc_id").select("a", F.col("id").alias("b"))
     links = materialise(_confirmed(pairs, sets, percent).unionByName(same.where("a <> b")), "links")
 
-    limit, several = first_partners, mem.where("m > 2").select("key", "id")
-    while True:
-        # names from a few rounds are enough to skip what is connected already
-        more = materialise(_between_components(several, components(links, rounds=2), classes, limit, least), "between")
-        n, cut = more.agg(F.count(F.lit(1)), F.max("more")).first()
-        if n:
-            links = links.unionByName(materialise(_confirmed(more.select("a", "b"), sets, percent), "links"))
-        if not cut:
-            break
-        limit *= 64
     comps = components(links)
+    several = mem.where("m > 2").select("key", "id")
+    new = materialise(_between_components(several, comps, classes, sets, least, percent), "links")
+    if new.limit(1).count():
+        comps = components(new.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     named = (classes.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
              .select("cls", "doc_id", F.coalesce("component", "id").alias("component")))
