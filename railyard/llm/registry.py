@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from railyard.llm import (chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pairwise_quality, sharding,
-                          token_counts)
+from railyard.llm import (chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pairwise_quality, recompression,
+                          sharding, token_counts)
 from railyard.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,7 +65,7 @@ def op10_string_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_int8_near_dup, op2_pairwise_quality, op3_token_counts, op5_template_decontamination, op6_minhash_bbit,
+    op1_int8_near_dup, op2_pairwise_quality, op3_token_counts, op4_recompression, op5_template_decontamination, op6_minhash_bbit,
     op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid)}
 
 ORACLE: dict[str, str] = {}
