@@ -96,9 +96,8 @@ def _tile(threshold: float):
         weight = t.column("copies").to_numpy()[order]
         x = np.asarray(pc.list_flatten(t.column("v")).to_numpy(), np.float64).reshape(len(ids), -1)[order]
         u, q, scale, err = quantise(x)
-        same = not (side == 1).any()
         rows = np.flatnonzero(side == 0)
-        cols = rows if same else np.flatnonzero(side == 1)
+        cols = rows if key[1] == key[2] else np.flatnonzero(side == 1)  # a group with itself, or with another
         links, parent = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for i, j in linked_pairs(u, q, scale, err, rows, cols, threshold):
             np.add.at(links, i, weight[j])
