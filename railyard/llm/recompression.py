@@ -242,8 +242,8 @@ def _second_pass(window: int):
                     later = _own_repeats(h1)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h1.view(np.int64), mask=later), pa.array(pre.hash(i, i + window, 1).view(np.int64), mask=later),
-                         pa.array(np.full(len(i), first[k], np.int64)), pa.array([sha[k]] * len(i), pa.string()),
-                         pa.array((i - cut[j]).astype(np.int32))], ["h1", "h2", "first", "sha", "at"])
+                         pa.array(np.full(len(i), first[k], np.int64)), pa.array(np.full(len(i), int(sha[k][:15], 16), np.int64)),
+                         pa.array((i - cut[j]).astype(np.int32))], ["h1", "h2", "first", "row", "at"])
     return run
 
 
@@ -254,9 +254,10 @@ def _third_pass(window: int):
         for rb in batches:
             texts = rb.column("text").cast(pa.binary()).to_pylist()
             rows = []
-            for sha, at, t in zip(rb.column("sha").to_pylist(), rb.column("at").to_pylist(), texts):
+            for row, at, t in zip(rb.column("row").to_pylist(), rb.column("at").to_pylist(), texts):
                 w = (t or b"").split()
-                if sha in seen or _digest(w) != sha:
+                sha = _digest(w)
+                if sha in seen or int(sha[:15], 16) != row:
                     continue
                 seen.add(sha)
                 edge = np.zeros(len(w) + 1, np.int64)
@@ -304,13 +305,13 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
 
     chosen = firsts.withColumn("row", short).join(keys, "row").select("first", "sha", "keys")
     windows = materialise(base.join(chosen, F.col("doc_id") == F.col("first")).select("first", "sha", "keys", "text")
-                          .mapInArrow(_second_pass(window), "h1 bigint, h2 bigint, first bigint, sha string, at int"), "windows")
+                          .mapInArrow(_second_pass(window), "h1 bigint, h2 bigint, first bigint, row bigint, at int"), "windows")
     named = windows.where("h1 is not null")
     earliest = named.groupBy("h1", "h2").agg(F.min("first").alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    gone = (named.join(earliest, ["h1", "h2"]).where("first > f").select("first", "sha", "at")
-            .unionByName(windows.where("h1 is null").select("first", "sha", "at")))
-    gone = gone.groupBy("first", "sha").agg(F.collect_list("at").alias("at"))
-    cut = (base.join(gone, F.col("doc_id") == F.col("first")).select("sha", "at", "text")
+    gone = (named.join(earliest, ["h1", "h2"]).where("first > f").select("first", "row", "at")
+            .unionByName(windows.where("h1 is null").select("first", "row", "at")))
+    gone = gone.groupBy("first", "row").agg(F.collect_list("at").alias("at"))
+    cut = (base.join(gone, F.col("doc_id") == F.col("first")).select("row", "at", "text")
            .mapInArrow(_third_pass(window), "sha string, n_removed bigint, kept_sha256 string, kept string"))
 
     empty = hashlib.sha256(b"").hexdigest()
