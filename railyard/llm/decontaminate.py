@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import SPACE, materialise
+from railyard.llm.common import materialise
 
 #: Units of measure recognised after a number.
 UNITS = ("%", "°c", "°f", "c", "cm", "days", "dollars", "eur", "euros", "f", "ft", "g", "h", "hours", "hz", "inches", "kg",
@@ -23,39 +23,44 @@ UNITS = ("%", "°c", "°f", "c", "cm", "days", "dollars", "eur", "euros", "f", "
          "pounds", "s", "seconds", "t", "usd", "v", "w", "weeks", "yards", "years", "$", "€", "£")
 #: Marks written in place of, and in front of, slot values: control characters that count as no white space.
 NAME, NUMBER, UNIT, MARK = "\x01", "\x02", "\x03", "\x04"
-PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”‘’„¿¡…"
+#: What stands between words: ASCII white space and punctuation, inside a character class.
+BETWEEN = r"\x20\x09-\x0D.,;:!?\"'()\[\]{}<>«»“”‘’„¿¡…"
+#: Template words of a probe; see matches().
+PROBE = 5
 
 
 def marked(text) -> F.Column:
-    """The text with names marked, punctuation and the marks' own characters removed.
+    """The text's words, joined by single spaces, each name with a mark in front.
 
     A name is a capitalised word that follows, on the same line, a word which
     ends in a lower-case letter, a digit, a comma, a semicolon or a colon:
     a capital at the start of a sentence, line or text is not one.
     """
-    clean = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT + MARK, "")
-    names = F.regexp_replace(clean, r"(?<=[\p{Ll}\p{Nd},;:] )(?=\p{Lu})", MARK)
-    return F.translate(names, PUNCTUATION, "")
+    text = F.coalesce(text, F.lit(""))
+    marks = f"[{NAME}{NUMBER}{UNIT}{MARK}]"
+    clean = F.when(text.rlike(marks), F.regexp_replace(text, marks, "")).otherwise(text)
+    names = F.regexp_replace(clean, r" (?=\p{Lu})(?<=[\p{Ll}\p{Nd},;:] )", " " + MARK)
+    return F.regexp_replace(names, f"[{BETWEEN}]+", " ")
 
 
 def words(marked_text) -> F.Column:
-    return F.filter(F.split(marked_text, SPACE), lambda w: w != "")
+    return F.array_remove(F.split(marked_text, " "), "")
 
 
 def template(marked_text) -> F.Column:
     """Template words of a marked text, one for each of its words()."""
-    t = F.regexp_replace(marked_text, MARK + r"[^\x20\x09-\x0D]*", NAME)
+    t = F.regexp_replace(marked_text, MARK + "[^ ]*", NAME)
     # digits are rare: texts without one skip both passes
-    digits = F.regexp_replace(t, r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{Nd}]*\p{Nd}[^\x20\x09-\x0D]*", NUMBER)
     unit = "|".join(u.replace("$", r"\$") for u in sorted(UNITS, key=len, reverse=True))
-    units = F.regexp_replace(digits, "(?i)(?<=" + NUMBER + " )(?:" + unit + r")(?![^\x20\x09-\x0D])", UNIT)
+    numbers = F.regexp_replace(t, r"[^ \p{Nd}]*\p{Nd}[^ ]*", NUMBER)
+    units = F.regexp_replace(numbers, f"(?i)(?<={NUMBER} )(?:{unit})(?![^ ])", UNIT)
     return words(F.lower(F.when(t.rlike(r"\p{Nd}"), units).otherwise(t)))
 
 
-def _window_hashes(tokens: str, size: int) -> F.Column:
-    """Hashes of all windows of `size` words, in order; empty for shorter texts."""
+def _window_hashes(tokens: str, size: int, stride: int = 1) -> F.Column:
+    """Hashes of the windows of `size` words at every `stride`-th place; empty for shorter texts."""
     return F.when(F.size(tokens) >= size, F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - (size - 1)),
+        F.sequence(F.lit(1), F.size(tokens) - (size - 1), F.lit(stride)),
         lambda i: F.xxhash64(F.slice(tokens, i, size)))).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -86,24 +91,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     grams = (items.select("item_id", "raw", "t", size.alias("k"))
              .select("item_id", "raw", "t", "k", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("k") + 1)).alias("at"))
              .select("item_id", "k", "at", F.slice("t", F.col("at"), F.col("k")).alias("w"), F.slice("raw", F.col("at"), F.col("k")).alias("v")))
+    items = materialise(items, "benchmark-templates")
     grams = materialise(grams.select("item_id", "k", "at", F.xxhash64("w").alias("h"), "w", "v"), "benchmark-windows")
     lengths = sorted(r.k for r in grams.select("k").distinct().collect())  # at most `window` - `min_words` + 1 numbers
+    empty = docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, n_windows bigint, share double, n_slots bigint")
+    if not lengths:
+        return empty
     keys = grams.select("k", "h").distinct()
     small = keys.count() <= max_broadcast
 
+    # Any k words in a row hold a run of `probe` words that starts at a multiple of
+    # k - probe + 1. So a document without a probe of the benchmark at these
+    # places has no window of it either.
+    probe = min(PROBE, lengths[0])
+    stride = lengths[0] - probe + 1
+    own = materialise(items.select(F.explode(_window_hashes("t", probe)).alias("h")).distinct(), "benchmark-probes")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tok = base.select("doc_id", template(marked(F.col("text"))).alias("t"))
-    hits = None
-    for k in lengths:
-        own = keys.where(F.col("k") == k).select("h")
-        h = tok.select("doc_id", F.explode(_window_hashes("t", k)).alias("h"))
-        some = h.join(F.broadcast(own) if small else own, "h", "left_semi").select("doc_id")
-        hits = some if hits is None else hits.unionByName(some)
-    if hits is None:
-        return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, n_windows bigint, share double, n_slots bigint")
-    found = materialise(hits.distinct(), "suspects")
-
-    # the few documents with a matching window: words and values of those windows
+    probes = tok.select("doc_id", F.explode(_window_hashes("t", probe, stride)).alias("h"))
+    own = F.broadcast(own) if own.count() <= max_broadcast else own
+    found = materialise(probes.join(own, "h", "left_semi").select("doc_id").distinct(), "suspects")
+
+    # the few documents with a matching probe: words and values of their windows
     sus = base.join(found, base.doc_id.eqNullSafe(found.doc_id), "left_semi").select("doc_id", marked(F.col("text")).alias("m"))
     sus = sus.select("doc_id", words(F.col("m")).alias("raw"), template(F.col("m")).alias("t"))
     at = None
