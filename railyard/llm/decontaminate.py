@@ -113,7 +113,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     found = materialise(probes.join(own, "h", "left_semi").select("doc_id").distinct(), "suspects")
 
     # the few documents with a matching probe: words and values of their windows
-    sus = base.join(found, base.doc_id.eqNullSafe(found.doc_id), "left_semi").select("doc_id", marked(F.col("text")).alias("m"))
+    # (written, so that no later filter is computed on the texts of all documents)
+    sus = materialise(base.join(found, base.doc_id.eqNullSafe(found.doc_id), "left_semi"), "suspect-texts")
+    sus = sus.select("doc_id", marked(F.col("text")).alias("m"))
     sus = sus.select("doc_id", words(F.col("m")).alias("raw"), template(F.col("m")).alias("t"))
     at = None
     for k in lengths:
