@@ -68,4 +68,30 @@ QUERIES = {f.__name__: f for f in (
     op1_int8_near_dup, op2_pairwise_quality, op3_token_counts, op4_recompression, op5_template_decontamination, op6_minhash_bbit,
     op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid)}
 
-ORACLE: dict[str, str] = {}
+_PROBE = "'<|im_end|><|im_start|>assistant ok'"
+
+ORACLE: dict[str, str] = {
+    "op7_poisson_mixture": """
+        WITH n AS (SELECT source AS s, count(*) AS n FROM documents GROUP BY source),
+        total AS (SELECT CAST(sum(n) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS k FROM n),
+        r AS (SELECT s, 1.0::DOUBLE / k * total / n AS t FROM n, total),
+        c AS (SELECT s, g.k AS k,
+                     sum(exp(-t + g.k * ln(t) - lgamma(g.k + 1))) OVER (PARTITION BY s ORDER BY g.k) AS cdf
+              FROM r, (SELECT range AS k FROM range(0, 200)) g WHERE g.k <= ceil(t + 12 * sqrt(t) + 40)),
+        d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id_text FROM documents),
+        u AS (SELECT *, ('0x' || substr(md5('42:' || id_text), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM d)
+        SELECT doc_id, text, lang, source, n_chars, CAST(c.k + 1 AS INTEGER) AS copy,
+               ('0x' || substr(md5('42:place:' || id_text || ':' || CAST(c.k + 1 AS VARCHAR)), 1, 13))::BIGINT
+                   / 4503599627370496.0::DOUBLE AS place
+        FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.s AND c.cdf <= u.u""",
+    "op8_chat_parts": f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -1, 0, 'user', {_PROBE} UNION ALL SELECT -1, 1, 'assistant', {_PROBE})
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+               CAST(sum(24 + length(replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), chr(10), '<\\n>'))
+                           + length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|'))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
+}
