@@ -21,11 +21,14 @@ from railyard.schemas import (
     RECENT_DEPARTURES_PER_STATION,
 )
 
+# The stored payload's fields.
 _PAYLOAD_COLUMNS = [
     "trip_id", "station_id", "station_name", "line_id", "line_name", "transport_mode",
     "direction", "planned_departure", "actual_departure", "delay_minutes", "platform",
     "planned_platform", "collected_at", "longitude", "latitude",
 ]
+#: What the dedup hash (P15) is made of.
+_IDENTITY_COLUMNS = ["station_id", "planned_departure", "direction", "line_id", "platform"]
 
 
 def _lit_ts(x) -> Column:
@@ -130,13 +133,12 @@ def recent_metrics(changelog: DataFrame, as_of, minutes_back: int | None = 15,
                    ttl_seconds: int | None = METRICS_TTL_SECONDS) -> DataFrame:
     """Every indexed station's live windows in the lookback.
 
-    Stations with no window are simply absent.
+    Stations with no window are simply absent. The index and the windows share
+    one TTL, so a live window proves its station indexed and the index alive:
+    no join with the index. The lookback comes first: it is on the key's
+    window_start, so it keeps or drops whole keys, and the scan prunes dates.
     """
-    cur = lookback(current_metrics(changelog, as_of, ttl_seconds), as_of, minutes_back)
-    idx = station_index(changelog, as_of, ttl_seconds)
-    # The index has one row per station; Spark broadcasts it when its
-    # estimated size is under the broadcast threshold, else shuffles.
-    return cur.join(idx, "station_id", "left_semi")
+    return current_metrics(lookback(changelog, as_of, minutes_back), as_of, ttl_seconds)
 
 
 def station_history(changelog: DataFrame, station_id: str | None, as_of, minutes_back: int | None = 15,
@@ -147,7 +149,7 @@ def station_history(changelog: DataFrame, station_id: str | None, as_of, minutes
     window start); the filter on one id prunes the scan otherwise.
     """
     src = changelog if station_id is None else changelog.filter(F.col("station_id") == station_id)
-    cur = lookback(current_metrics(src, as_of, ttl_seconds), as_of, minutes_back)
+    cur = current_metrics(lookback(src, as_of, minutes_back), as_of, ttl_seconds)
     return cur.orderBy("station_id", "window_start")
 
 
@@ -160,7 +162,7 @@ def departure_records(view: DataFrame) -> DataFrame:
     return view.select(
         *[c for c in _PAYLOAD_COLUMNS if c in view.columns],
         "collected_at_ts",
-        C.dedup_hash("station_id", "planned_departure", "direction", "line_id", "platform").alias("dedup_hash"),
+        C.dedup_hash(*_IDENTITY_COLUMNS).alias("dedup_hash"),
         (F.unix_micros("collected_at_ts") / F.lit(1e6)).alias("score"),
     )
 
@@ -194,8 +196,12 @@ def exact_dedup(records: DataFrame) -> DataFrame:
 
 
 def latest_per_hash(records: DataFrame) -> DataFrame:
-    """The intended dedup, one row per (station, dedup_hash), newest poll wins."""
-    w = Window.partitionBy("station_id", "dedup_hash").orderBy(*_newest_first())
+    """The intended dedup, one row per departure identity, newest poll wins.
+
+    Keyed on the identity columns themselves: the 8 displayed hash digits
+    collide between departures of a busy station.
+    """
+    w = Window.partitionBy(*_IDENTITY_COLUMNS).orderBy(*_newest_first())
     return records.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -65,13 +66,15 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, sinks and lineage cuts.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir``; only when
-    the session has none (tests, local runs) do we create one and register it.
+    On a cluster this is the folder named by ``spark.checkpoint.dir``, which must be
+    set; only a local session without one (tests) gets a temporary folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="railyard-")
         sc.setCheckpointDir(d)
