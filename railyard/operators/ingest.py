@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
-from railyard.functions.sizing import broadcast_if_small
 
 
 def _missing(c: Column) -> Column:
@@ -115,7 +114,7 @@ def enabled_only(df: DataFrame, stations: DataFrame, key: str = "station_id") ->
     otherwise.
     """
     allow = stations.filter("enabled").select(F.col("station_id").alias(key))
-    return df.join(broadcast_if_small(allow), key, "left_semi")
+    return df.join(allow, key, "left_semi")
 
 
 def ingest_quality(responses: DataFrame) -> DataFrame:

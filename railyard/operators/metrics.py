@@ -7,6 +7,8 @@ raw rows, and in streaming the same plan becomes the stateful aggregate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,14 @@ from railyard.schemas import APPROX_RSD, METRIC_COLUMNS, WINDOW_DURATION
 
 
 def _distinct(col: str, exact: bool, rsd: float) -> F.Column:
-    # Exact distinct is refused on streams; HLL++ sketches are what state holds.
-    return F.count_distinct(col) if exact else F.approx_count_distinct(col, rsd)
+    """Distinct count: exact in batch, a sketch on streams, which refuse the exact one.
+
+    The sketch has 2^k registers, k chosen for a relative error of about `rsd`.
+    """
+    if exact:
+        return F.count_distinct(col)
+    k = min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(col, k)), F.lit(0)).cast("long")
 
 
 def station_window_metrics(enriched: DataFrame, window: str = WINDOW_DURATION,

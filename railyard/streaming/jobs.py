@@ -90,6 +90,7 @@ def _audit(spark: SparkSession, dirs: StreamDirs, query: str, batch_id: int, met
 
 
 def _read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table that may not have been written yet."""
     try:
         return spark.read.parquet(path)
     except AnalysisException:
@@ -116,9 +117,10 @@ def departures_writer(dirs: StreamDirs, k: int = 50):
         _audit(spark, dirs, "departures", batch_id, obs.get)
         # Recent-k from what was just written (no second pass over the source).
         merged = spark.read.parquet(out)
-        prev = _read_snapshot(spark, f"{dirs.recent}/batch_id={batch_id - 1}")
-        if prev is not None:
-            merged = merged.unionByName(prev.drop("rank"))
+        # Only the first batch starts from nothing: a snapshot that cannot be
+        # read fails the batch, it never means an empty list.
+        if batch_id > 0:
+            merged = merged.unionByName(spark.read.parquet(f"{dirs.recent}/batch_id={batch_id - 1}").drop("rank"))
         (ST.recent_departures(merged, k).drop("rank")
          .write.mode("overwrite").parquet(f"{dirs.recent}/batch_id={batch_id}"))
     return write

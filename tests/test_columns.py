@@ -60,13 +60,6 @@ def test_round_dp_half_up_on_decimal(spark):
     assert got == [2.68, 1.01, -0.13, None]
 
 
-def test_broadcast_only_below_row_bound(spark):
-    from railyard.functions.sizing import broadcast_if_small
-    small = broadcast_if_small(spark.range(5), max_rows=10)
-    large = broadcast_if_small(spark.range(50), max_rows=10)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
-
 
 def test_spread_only_when_scan_has_too_few_splits(spark):
     from railyard.sources.fixtures import read_table, spread
