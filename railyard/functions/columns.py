@@ -46,6 +46,16 @@ def iso_text(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
+def envelope_text(ts) -> Column:
+    """Timestamp -> the envelope's ISO text: no fraction where it is zero.
+
+    The text a source writes for a whole second, so typed and text input give
+    one envelope and one dedup hash.
+    """
+    whole = F.unix_micros(_c(ts)) % 1_000_000 == 0
+    return F.when(whole, F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ssxxx")).otherwise(iso_text(ts))
+
+
 def flag(cond: Column) -> Column:
     """1 when the condition holds, else 0 (a null condition gives 0)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -22,7 +22,7 @@ from railyard.schemas import (
 
 def _field_columns(flat: DataFrame) -> list:
     types = dict(flat.dtypes)
-    return [C.iso_text(f).alias(f) if types.get(f) == "timestamp" else F.col(f)
+    return [C.envelope_text(f).alias(f) if types.get(f) == "timestamp" else F.col(f)
             for f in ENVELOPE_DATA_FIELDS]
 
 

@@ -134,9 +134,12 @@ def ingest_cycle_summary(responses: DataFrame, stations: DataFrame) -> DataFrame
 
     A poll succeeds when its response holds at least one valid departure; an
     enabled station without a successful poll in the cycle counts as failed.
-    The enabled-station count is a scalar subquery over the station list, so
-    no stations x cycles grid is built.
+    Every minute from the first cycle to the last has a row, also one in which
+    each poll failed (no responses, no departures, no span). Responses of other
+    stations are left out. The enabled-station count is a scalar subquery over
+    the station list, so no stations x cycles grid is built.
     """
+    responses = enabled_only(responses, stations, "requested_station_id")
     n_enabled = stations.filter("enabled").select(F.count(F.lit(1))).scalar()
     q = ingest_quality(responses)
     cyc = F.date_trunc("minute", F.col("fetched_at"))
@@ -146,6 +149,10 @@ def ingest_cycle_summary(responses: DataFrame, stations: DataFrame) -> DataFrame
         F.sum("records_parsed").cast("long").alias("departures"),
         F.min("fetched_at").alias("first_fetch"),
         F.max("fetched_at").alias("last_fetch"))
+    minute = F.date_trunc("minute", F.col("fetched_at"))
+    span = responses.agg(F.min(minute).alias("lo"), F.max(minute).alias("hi")).filter("lo is not null")
+    spine = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 minute"))).alias("cycle_start"))
+    g = spine.join(g, "cycle_start", "left").fillna(0, ["stations_ok", "responses", "departures"])
     return g.select(
         "cycle_start",
         n_enabled.alias("stations_polled"),

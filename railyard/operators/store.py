@@ -175,14 +175,18 @@ def _newest_first() -> list[Column]:
 
 
 def recent_departures(records: DataFrame, k: int = RECENT_DEPARTURES_PER_STATION) -> DataFrame:
-    """The newest k departures per station.
+    """The newest k distinct departures per station.
 
-    `row_number() <= k` is planned as a window-group limit: each map task keeps
-    at most k rows per station before the shuffle, so a station holding a
-    third of all rows still sends only k rows per task.
+    A list is a set of members: a member delivered again takes no second slot.
+    The rank is dense over an order on every payload column, so repeats share
+    theirs. `dense_rank() <= k` is planned as a window-group limit: each map
+    task keeps k members per station before the shuffle, so a station holding
+    a third of all rows still sends only those.
     """
-    w = Window.partitionBy("station_id").orderBy(*_newest_first())
-    return records.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    order = _newest_first() + [F.col(c).desc_nulls_last() for c in _PAYLOAD_COLUMNS if c in records.columns]
+    w = Window.partitionBy("station_id").orderBy(*order)
+    top = records.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k)
+    return top.dropDuplicates(["station_id", "rank"])
 
 
 def exact_dedup(records: DataFrame) -> DataFrame:
@@ -207,10 +211,16 @@ def latest_per_hash(records: DataFrame) -> DataFrame:
 
 def live_departures(records: DataFrame, as_of, ttl_seconds: int = DEPARTURES_TTL_SECONDS,
                     k: int = RECENT_DEPARTURES_PER_STATION) -> DataFrame:
-    """A station's whole list expires ttl after its last write; then newest k.
+    """A station's whole list expires ttl after its last write; newest k of what lives.
 
     Write time is the row's collection time (writes are immediate in replay).
+    A silence of ttl or longer ended the list before it, so rows older than the
+    last such gap stay gone. The newest k come first: the newest row is the last
+    write, and the gaps between the k newest members decide for all of them.
     """
-    last = records.groupBy("station_id").agg(F.max("collected_at_ts").alias("_last"))
-    live = last.filter(F.col("_last") > _lit_ts(as_of) - _secs(ttl_seconds))
-    return recent_departures(records.join(live.select("station_id"), "station_id", "left_semi"), k)
+    top = recent_departures(records, k)
+    w = Window.partitionBy("station_id").orderBy(F.col("rank"))
+    newer = F.coalesce(F.lag("collected_at_ts").over(w), _lit_ts(as_of))
+    lapsed = F.when(F.col("collected_at_ts") <= newer - _secs(ttl_seconds), 1).otherwise(0)
+    gone = F.max("_lapsed").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return top.withColumn("_lapsed", lapsed).withColumn("_gone", gone).filter("_gone = 0").drop("_lapsed", "_gone")

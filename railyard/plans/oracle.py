@@ -267,14 +267,16 @@ FROM ov GROUP BY station_id, collected_at_ts""",
 resp AS (
   SELECT station_id, collected_at_ts AS fetched_at, count(*) FILTER (WHERE reason IS NULL) AS parsed
   FROM ov GROUP BY station_id, collected_at_ts)
-SELECT date_trunc('minute', fetched_at) AS cycle_start,
+SELECT cycle_start,
        10::bigint AS stations_polled,
        count(DISTINCT CASE WHEN parsed > 0 THEN station_id END) AS stations_ok,
        10::bigint - count(DISTINCT CASE WHEN parsed > 0 THEN station_id END) AS stations_failed,
-       count(*) AS responses,
-       cast(sum(parsed) AS bigint) AS departures,
+       count(fetched_at) AS responses,
+       cast(coalesce(sum(parsed), 0) AS bigint) AS departures,
        (epoch_us(max(fetched_at)) - epoch_us(min(fetched_at))) / 1e6 AS duration_sec
-FROM resp GROUP BY ALL""",
+FROM (SELECT unnest(generate_series(min(date_trunc('minute', fetched_at)), max(date_trunc('minute', fetched_at)),
+                                    INTERVAL '1 minute')) AS cycle_start FROM resp) s
+LEFT JOIN resp ON date_trunc('minute', fetched_at) = cycle_start GROUP BY cycle_start""",
         "envelope_roundtrip": "WITH" + _OBS + f"""
 SELECT station_id AS kafka_key, 'departure_update' AS event_type, {ENV_COLS} FROM f""",
         "enriched_departures": _PROC + f"""
@@ -363,7 +365,7 @@ def all_sql() -> dict[str, str]:
 
 def _store_board_sql() -> dict[str, str]:
     top50 = (f"SELECT {REC_COLS}, cast(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY station_id "
-             f"ORDER BY {_NEWEST}) AS rank FROM {{src}}) WHERE rank <= 50")
+             f"ORDER BY {_NEWEST}) AS rank FROM (SELECT DISTINCT {REC_COLS} FROM {{src}})) WHERE rank <= 50")
     leaders = " UNION ALL ".join(
         f"(SELECT '{role}' AS role, station_id, station_name, avg_delay, on_time_pct, total_departures "
         f"FROM r ORDER BY {order}, station_id LIMIT 1)"
@@ -391,10 +393,16 @@ WHERE (SELECT max(updated_at) FROM snap) > {_AS_OF} - INTERVAL '7200 seconds'"""
         + f"\nSELECT {METRIC_COLS}, window_key, batch_id, updated_at FROM cur ORDER BY station_id, window_start",
         "recent_departures_top50": _PROC + _records() + "\n" + top50.format(src="rec"),
         "recent_departures_live": _PROC + _records() + """,
+writes AS (
+  SELECT station_id, collected_at_ts,
+         coalesce(lead(collected_at_ts) OVER (PARTITION BY station_id ORDER BY collected_at_ts),
+                  (SELECT max(collected_at_ts) FROM rec)) AS next_write
+  FROM (SELECT DISTINCT station_id, collected_at_ts FROM rec)),
+ended AS (
+  SELECT station_id, max(collected_at_ts) AS ended_at FROM writes
+  WHERE next_write - collected_at_ts >= INTERVAL '60 seconds' GROUP BY station_id),
 live AS (
-  SELECT * FROM rec WHERE station_id IN (
-    SELECT station_id FROM rec GROUP BY station_id
-    HAVING max(collected_at_ts) > (SELECT max(collected_at_ts) FROM rec) - INTERVAL '60 seconds'))
+  SELECT rec.* FROM rec LEFT JOIN ended USING (station_id) WHERE ended_at IS NULL OR collected_at_ts > ended_at)
 """ + top50.format(src="live"),
         "exact_dedup": "WITH" + doubled + _ENRICHED + _records() + f"\nSELECT DISTINCT {REC_COLS} FROM rec",
         "latest_per_hash": _PROC + _records() + f"""

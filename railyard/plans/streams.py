@@ -105,7 +105,7 @@ def late_run(spark: SparkSession, sf_dir: str) -> J.StreamDirs:
 
 
 def progress_summary(dirs: J.StreamDirs) -> dict:
-    """Rows in, batches, final state rows / bytes and watermark drops per query."""
+    """Rows in, batches, peak state rows / bytes and watermark drops per query."""
     out: dict = {}
     for p in _PROGRESS.get(dirs.base, []):
         q = out.setdefault(p["query"], {"batches": 0, "input_rows": 0, "trigger_ms": 0, "state_rows": 0,
@@ -115,8 +115,8 @@ def progress_summary(dirs: J.StreamDirs) -> dict:
         q["trigger_ms"] += int((p.get("durationMs") or {}).get("triggerExecution") or 0)
         ops = p.get("stateOperators") or []
         if ops:
-            q["state_rows"] = sum(int(o.get("numRowsTotal") or 0) for o in ops)
-            q["state_bytes"] = sum(int(o.get("memoryUsedBytes") or 0) for o in ops)
+            q["state_rows"] = max(q["state_rows"], sum(int(o.get("numRowsTotal") or 0) for o in ops))
+            q["state_bytes"] = max(q["state_bytes"], sum(int(o.get("memoryUsedBytes") or 0) for o in ops))
             q["dropped_by_watermark"] += sum(int(o.get("numRowsDroppedByWatermark") or 0) for o in ops)
     for q in out.values():
         q["rows_per_sec"] = round(q["input_rows"] / (q["trigger_ms"] / 1000.0), 1) if q["trigger_ms"] else None

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -203,7 +203,10 @@ def run(spark: SparkSession, queries: list[StreamingQuery], poll_seconds: int =
     """
     try:
         while all(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination(poll_seconds)
+            try:
+                spark.streams.awaitAnyTermination(poll_seconds)
+            except StreamingQueryException:
+                pass  # raised for any query of the session; ours are looked at below
             spark.streams.resetTerminated()
     finally:
         for q in queries:
@@ -259,12 +262,16 @@ def _compacted_dir(dirs: StreamDirs) -> str:
     return f"{dirs.base}/metrics_compacted"
 
 
-def _latest_compaction(spark: SparkSession, dirs: StreamDirs) -> tuple[DataFrame | None, int]:
-    snaps = _read_snapshot(spark, _compacted_dir(dirs))
-    if snaps is None:
+def _latest_compaction(spark: SparkSession, dirs: StreamDirs, schema) -> tuple[DataFrame | None, int]:
+    """The newest compaction that ran to its end, by the marker written after it.
+
+    A compaction of expired rows only writes no file; the marker still counts it.
+    """
+    done = _read_snapshot(spark, f"{dirs.base}/metrics_compactions")
+    if done is None:
         return None, -1
-    upto = snaps.select(F.max("upto_batch")).first()[0]
-    return snaps.filter(F.col("upto_batch") == upto).drop("upto_batch"), int(upto)
+    upto = int(done.select(F.max("upto")).first()[0])
+    return spark.read.schema(schema).parquet(f"{_compacted_dir(dirs)}/upto_batch={upto}"), upto
 
 
 def read_metrics(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
@@ -275,7 +282,7 @@ def read_metrics(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
     number of batches.
     """
     log = read_metrics_changelog(spark, dirs)
-    base, upto = _latest_compaction(spark, dirs)
+    base, upto = _latest_compaction(spark, dirs, log.schema)
     newer = log.filter(F.col("batch_id") > upto)
     return newer if base is None else base.unionByName(newer)
 
@@ -284,14 +291,18 @@ def compact_metrics(spark: SparkSession, dirs: StreamDirs, as_of, ttl_seconds: i
     """Fold the changelog into one row per live key (T5 + TTL) and store it.
 
     compacted(B) = current(compacted(previous) + batches <= B) at `as_of`,
-    written under `upto_batch=B` (overwrite, so a rerun is idempotent).
+    written under `upto_batch=B`, then marked; a failed run is simply run again.
     Rows past the TTL are dropped here; later reads use `read_metrics`.
     Returns B.
     """
     log = read_metrics_changelog(spark, dirs)
     upto = int(log.select(F.max("batch_id")).first()[0])
+    if _latest_compaction(spark, dirs, log.schema)[1] == upto:
+        return upto  # nothing newer to fold in; its own table cannot be read and overwritten at once
     src = read_metrics(spark, dirs).filter(F.col("batch_id") <= upto)
     cur = ST.current_metrics(src, as_of, ttl_seconds)
     (cur.write.mode("overwrite").partitionBy("metric_date")
         .parquet(f"{_compacted_dir(dirs)}/upto_batch={upto}"))
+    (spark.range(1).select(F.lit(upto).cast("long").alias("upto"))
+        .write.mode("overwrite").parquet(f"{dirs.base}/metrics_compactions/batch={upto}"))
     return upto

@@ -202,6 +202,17 @@ def test_metrics_compaction_keeps_current_view(spark):
     assert got2.count() == want.count() + 1 and upto >= 0
 
 
+def test_compaction_of_expired_rows_stays_empty(spark):
+    dirs = J.StreamDirs.fresh(spark, "compact-expired")
+    SM.publish(flat_df(spark, [dep(trip="a"), dep(trip="b", collected=BASE + minutes(20))]), dirs)
+    J.run_available_now(spark, dirs, which=("metrics",))
+    assert J.read_metrics(spark, dirs).count() == 2
+    late = BASE + minutes(60 * 24 * 365 * 50)
+    upto = J.compact_metrics(spark, dirs, as_of=late)
+    assert J.read_metrics(spark, dirs).count() == 0
+    assert J.compact_metrics(spark, dirs, as_of=late) == upto
+
+
 def test_sink_batch_retry_is_idempotent(spark):
     """A micro-batch re-run after a failure (e.g. a lost executor) replaces its output."""
     from helpers import enriched

@@ -92,6 +92,30 @@ def test_live_departures_ttl(spark):
     assert [r["station_id"] for r in live.collect()] == ["900000002"]
 
 
+def test_redelivered_departures_take_no_slot(spark):
+    rows = [dep(trip=f"t{i}", collected=BASE + minutes(i)) for i in range(50)]
+    rec = ST.departure_records(EN.departure_view(enriched(spark, rows + rows[:25])))
+    top = ST.recent_departures(rec, 50)
+    assert top.count() == 50 and top.select("trip_id").distinct().count() == 50
+
+
+def test_live_departures_drop_what_lay_before_a_silence(spark):
+    rows = [dep(trip="old", collected=BASE), dep(trip="edge", collected=BASE + minutes(240)),
+            dep(trip="new", collected=BASE + minutes(300)), dep(trip="newer", collected=BASE + minutes(359))]
+    rec = ST.departure_records(EN.departure_view(enriched(spark, rows)))
+    live = ST.live_departures(rec, BASE + minutes(360), ttl_seconds=3600)
+    assert {r["trip_id"] for r in live.collect()} == {"new", "newer"}
+
+
+def test_typed_and_text_times_give_one_hash(spark):
+    from helpers import flat_df
+    flat = flat_df(spark, [dep(planned=BASE), dep(planned=BASE + minutes(0.5))])
+    typed = flat.withColumn("planned_departure", F.to_timestamp("planned_departure"))
+    hashes = [{r["dedup_hash"] for r in ST.departure_records(EN.departure_view(EN.enrich(
+        EN.decode_envelopes(EN.encode_envelopes(x)), watermark=None))).collect()} for x in (flat, typed)]
+    assert hashes[0] == hashes[1] and len(hashes[0]) == 2
+
+
 def test_top50_plan_limits_before_shuffle(spark):
     from railyard.plans import catalog as K
     df = ST.recent_departures(K.departure_records(spark, "/root/testdata/sf0.001"))
