@@ -21,6 +21,19 @@ def delay_minutes(delay_seconds) -> Column:
     return F.coalesce(_c(delay_seconds), F.lit(0)).cast("double") / F.lit(60.0)
 
 
+def whole_seconds(text) -> Column:
+    """FL3: text of a whole number (`60`, `60.0`, `-5`) -> int; anything else, or out of int range -> null."""
+    d = _c(text).try_cast("double")
+    return F.when((d == F.floor(d)) & (F.abs(d) <= 2147483647), d).cast("int")
+
+
+def yes_no(text) -> Column:
+    """FL3: text of a yes / no value -> boolean; anything else -> null."""
+    t = F.lower(_c(text))
+    return (F.when(t.isin("true", "t", "yes", "y", "on", "1", "1.0"), F.lit(True))
+            .when(t.isin("false", "f", "no", "n", "off", "0", "0.0"), F.lit(False)))
+
+
 def actual_departure(when, planned_when) -> Column:
     """Actual departure = `when`, else the planned time."""
     return F.coalesce(_c(when), _c(planned_when))

@@ -21,7 +21,7 @@ def validation_reason(d: Column) -> Column:
     """FL3 / FL4: first failed rule of a raw departure, or null when valid.
 
     Required fields must be present, times must parse (`when` may be absent),
-    coordinates must be present and within [-90, 90] / [-180, 180]. A bad
+    `delay` and `cancelled` may be absent but not of another type, coordinates must be present and within [-90, 90] / [-180, 180]. A bad
     record fails alone; its siblings in the response are unaffected.
     """
     lat, lon = d["stop"]["location"]["latitude"], d["stop"]["location"]["longitude"]
@@ -31,11 +31,14 @@ def validation_reason(d: Column) -> Column:
         (_missing(d["stop"]["id"]), "stop.id: missing"),
         (_missing(d["stop"]["name"]), "stop.name: missing"),
         (_missing(d["stop"]["location"]) | _missing(d["stop"]["location"]["id"]), "stop.location: missing"),
+        (_missing(d["stop"]["products"]), "stop.products: missing"),
         (_missing(lat), "latitude: missing"),
         (_missing(lon), "longitude: missing"),
         (_missing(d["plannedWhen"]), "plannedWhen: missing"),
         (C.parse_ts(d["plannedWhen"]).isNull(), "plannedWhen: not a time"),
         (d["when"].isNotNull() & C.parse_ts(d["when"]).isNull(), "when: not a time"),
+        (d["delay"].isNotNull() & C.whole_seconds(d["delay"]).isNull(), "delay: not a whole number"),
+        (d["cancelled"].isNotNull() & C.yes_no(d["cancelled"]).isNull(), "cancelled: not a flag"),
         (_missing(d["direction"]), "direction: missing"),
         (_missing(d["line"]), "line: missing"),
         (_missing(d["line"]["id"]), "line.id: missing"),
@@ -75,10 +78,10 @@ def project_departure(validated: DataFrame) -> DataFrame:
         d["direction"].alias("direction"),
         planned.alias("planned_departure"),
         C.actual_departure(C.parse_ts(d["when"]), planned).alias("actual_departure"),
-        C.delay_minutes(d["delay"]).alias("delay_minutes"),
+        C.delay_minutes(C.whole_seconds(d["delay"])).alias("delay_minutes"),
         d["platform"].alias("platform"),
         d["plannedPlatform"].alias("planned_platform"),
-        F.coalesce(d["cancelled"], F.lit(False)).alias("cancelled"),
+        F.coalesce(C.yes_no(d["cancelled"]), F.lit(False)).alias("cancelled"),
         F.col("fetched_at").alias("collected_at"),
         d["stop"]["location"]["longitude"].alias("longitude"),
         d["stop"]["location"]["latitude"].alias("latitude"),

@@ -223,8 +223,11 @@ ov AS (
          CASE WHEN trip_id IS NULL THEN 'tripId: missing'
               WHEN station_id IS NULL THEN 'stop.id: missing'
               WHEN station_name IS NULL THEN 'stop.name: missing'
+              WHEN event_id % 170 = 0 THEN 'stop.products: missing'
               WHEN latitude IS NULL THEN 'latitude: missing'
               WHEN longitude IS NULL THEN 'longitude: missing'
+              WHEN event_id % 90 = 0 OR event_id % 110 = 0 THEN 'delay: not a whole number'
+              WHEN event_id % 130 = 0 THEN 'cancelled: not a flag'
               WHEN direction IS NULL THEN 'direction: missing'
               WHEN line_id IS NULL THEN 'line.id: missing'
               WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude: out of range'

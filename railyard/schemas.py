@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DoubleType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -39,16 +38,17 @@ def _s(name, dtype=StringType(), nullable=True):
     return StructField(name, dtype, nullable)
 
 
-# F1 raw_response: one API response per (station, poll).
+# F1 raw_response: one API response per (station, poll). `delay` and `cancelled` are
+# read as text, so that a mistyped value is seen by validation (FL3), not lost.
 LOCATION = StructType([_s("type"), _s("id"), _s("latitude", DoubleType()), _s("longitude", DoubleType())])
 PRODUCTS = StructType([_s(m, BooleanType()) for m in
                        ["suburban", "subway", "tram", "bus", "ferry", "express", "regional"]])
 STOP = StructType([_s("type"), _s("id"), _s("name"), _s("location", LOCATION), _s("products", PRODUCTS)])
 LINE = StructType([_s("type"), _s("id"), _s("name"), _s("mode"), _s("product")])
 RAW_DEPARTURE = StructType([
-    _s("tripId"), _s("stop", STOP), _s("when"), _s("plannedWhen"), _s("delay", IntegerType()),
+    _s("tripId"), _s("stop", STOP), _s("when"), _s("plannedWhen"), _s("delay"),
     _s("platform"), _s("plannedPlatform"), _s("direction"), _s("line", LINE),
-    _s("cancelled", BooleanType()),
+    _s("cancelled"),
 ])
 RAW_RESPONSE = StructType([
     _s("requested_station_id"), _s("fetched_at", TimestampType()),

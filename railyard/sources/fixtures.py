@@ -127,11 +127,15 @@ def perturb_for_enrich(flat: DataFrame) -> DataFrame:
 
 
 def perturb_for_validation(obs: DataFrame) -> DataFrame:
-    """FL3/FL4: latitude 95 (event_id % 50 = 0); direction null (% 70)."""
+    """FL3/FL4: latitude 95 (event_id % 50 = 0); direction null (% 70); delay of another
+    type (% 90) or with a fraction (% 110); cancelled of another type (% 130); no products (% 170)."""
     e = F.col("event_id")
     return obs.withColumns({
         "latitude": F.when(e % 50 == 0, F.lit(95.0)).otherwise(F.col("latitude")),
         "direction": F.when(e % 70 == 0, F.lit(None).cast("string")).otherwise(F.col("direction")),
+        "delay": F.when(e % 90 == 0, "abc").when(e % 110 == 0, "60.5").otherwise(F.col("delay").cast("string")),
+        "cancelled": F.when(e % 130 == 0, "maybe").otherwise(F.col("cancelled").cast("string")),
+        "no_products": e % 170 == 0,
     })
 
 

@@ -32,16 +32,17 @@ def _raw_departure(obs: DataFrame):
                         F.col("latitude").alias("latitude"), F.col("longitude").alias("longitude"))
     stop = F.struct(F.lit("stop").alias("type"), F.col("station_id").alias("id"),
                     F.col("station_name").alias("name"), location.alias("location"),
-                    products.alias("products"))
+                    (F.when(~F.col("no_products"), products) if "no_products" in obs.columns else products)
+                    .alias("products"))
     line = F.struct(F.lit("line").alias("type"), F.col("line_id").alias("id"),
                     F.col("line_name").alias("name"), F.lit("train").alias("mode"),
                     F.col("product").alias("product"))
     return F.struct(
         F.col("trip_id").alias("tripId"), stop.alias("stop"),
         F.col("actual_when").alias("when"), F.col("planned_when").alias("plannedWhen"),
-        F.col("delay").alias("delay"), F.col("platform").alias("platform"),
+        F.col("delay").cast("string").alias("delay"), F.col("platform").alias("platform"),
         F.col("planned_platform").alias("plannedPlatform"), F.col("direction").alias("direction"),
-        line.alias("line"), F.col("cancelled").alias("cancelled"))
+        line.alias("line"), F.col("cancelled").cast("string").alias("cancelled"))
 
 
 def responses_from_observations(obs: DataFrame) -> DataFrame:

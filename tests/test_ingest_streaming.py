@@ -43,6 +43,25 @@ def test_c19_bad_record_dropped_alone(spark):
                        "prod": "line.product: missing", "time": "plannedWhen: not a time"}
 
 
+def test_fl3_mistyped_values_reject_the_record_alone(spark):
+    def bad(name, **kw):
+        return dict(_raw(name), **kw)
+    no_products = _raw("products")
+    del no_products["stop"]["products"]
+    resp = [{"requested_station_id": "900000001", "fetched_at": "2024-01-01T10:00:00Z", "departures": [
+        bad("text", delay="abc"), bad("fraction", delay=60.5), bad("huge", delay=1e12), bad("nan", delay="NaN"),
+        bad("flag", cancelled="maybe"), no_products,
+        bad("plain", delay=90, cancelled=False), bad("quoted", delay="-60", cancelled="off"), bad("float", delay=120.0)]}]
+    df = _responses(spark, resp)
+    flat = {r["trip_id"]: (r["delay_minutes"], r["cancelled"]) for r in IN.flatten_departures(df).collect()}
+    assert flat == {"plain": (1.5, False), "quoted": (-1.0, False), "float": (2.0, True)}
+    reasons = {r["trip_id"]: r["reason"] for r in IN.quarantine(df).collect()}
+    assert reasons == {**dict.fromkeys(("text", "fraction", "huge", "nan"), "delay: not a whole number"),
+                       "flag": "cancelled: not a flag", "products": "stop.products: missing"}
+    q = IN.ingest_quality(df).first()
+    assert (q["records_found"], q["records_parsed"]) == (9, 3)
+
+
 def test_c22_zero_parsed_is_failed_poll(spark):
     resp = [{"requested_station_id": "900000001", "fetched_at": "2024-01-01T10:00:01Z",
              "departures": [_raw("ok")]},
