@@ -4,8 +4,9 @@ A text becomes its template: numbers, names and units of measure are replaced by
 typed placeholders, everything else is lower-cased and freed of punctuation.
 Windows of template words are joined by hash with those of the benchmark, so a
 question asked again with other numbers or names still matches. What stood in
-the placeholders must then fit: over the matched windows of one occurrence of an
-item, each value of the item stands for one value of the document.
+the placeholders must then fit: over the counted windows of one occurrence of an
+item, each value of the item stands for one value of the document. Windows that
+repeat the item's own values, in any case, count whatever the others hold.
 
 Built-in functions only.
 """
@@ -68,18 +69,41 @@ def _literals(window: F.Column) -> F.Column:
     return F.size(F.filter(window, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
 
 
+def _folded(window: str) -> F.Column:
+    return F.transform(window, lambda x: F.lower(x))
+
+
+def _counted() -> F.Column:
+    """Of `hits` (other, at, slots), sorted: the places counted and their slot values.
+
+    Windows with the item's own values come first and all count; each other one
+    counts unless a value of the item stands for a second value of the document,
+    within it or beside the windows counted so far.
+    """
+    conflict = lambda x, y: (x.kind == y.kind) & (x.item == y.item) & (x.doc != y.doc)
+
+    def step(s, hit):
+        both = F.array_union(s["s"], hit["slots"])
+        fits = ~hit["other"] | ~F.exists(hit["slots"], lambda x: F.exists(both, lambda y: conflict(x, y)))
+        return F.when(fits, F.struct(F.array_union(s["at"], F.array(hit["at"])).alias("at"), both.alias("s"))).otherwise(s)
+
+    kinds = "array<struct<kind:string,item:string,doc:string>>"
+    start = F.struct(F.array().cast("array<int>").alias("at"), F.array().cast(kinds).alias("s"))
+    return F.aggregate("hits", start, step)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: int = 5, max_broadcast: int = 200_000) -> DataFrame:
     """Contaminated documents: one row per doc_id and item_id with a consistent match.
 
     Columns: doc_id, item_id, and of the best occurrence of the item: n_windows
-    (windows found), share (of the item's windows), n_slots (slot values compared).
+    (windows counted), share (of the item's windows), n_slots (slot values compared).
 
     Windows have `window` template words, at least half of which must be words,
     not placeholders; a window with more placeholders counts with its
     placeholders' values in place. An item with fewer words than `window` is one
     window as a whole; below `min_words` words it is too short to tell a passage and
-    never matches. An item is found in a document if a window matches and the
-    slots of all matched windows of that occurrence fit together.
+    never matches. An item is found in a document if a window matches whose slots
+    fit together; windows of the occurrence that conflict are not counted.
 
     Defined cases: null and empty texts match nothing; null ids are ids like any
     other (one null group). Rows that repeat an id are searched together. Other
@@ -124,15 +148,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
                 .join((F.broadcast(keys) if small else keys).where(F.col("k") == k).select("h"), "h", "left_semi")
                 .select("doc_id", "k", "h", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv")))
         at = some if at is None else at.unionByName(some)
-    enough = (2 * _literals(F.col("w")) >= F.col("k")) | (F.col("v") == F.col("dv"))
+    same = _folded("v") == _folded("dv")
+    enough = (2 * _literals(F.col("w")) >= F.col("k")) | same
     both = at.join(grams, ["k", "h"]).where((F.col("dw") == F.col("w")) & enough)
-    slots = F.filter(F.zip_with(F.arrays_zip("w", "v"), F.col("dv"), lambda x, d: F.struct(x.w.alias("kind"), x.v.alias("item"), d.alias("doc"))),
+    slots = F.filter(F.zip_with(F.arrays_zip("w", "v"), F.col("dv"),
+                                lambda x, d: F.struct(x.w.alias("kind"), F.lower(x.v).alias("item"), F.lower(d).alias("doc"))),
                      lambda s: s.kind.isin(NAME, NUMBER, UNIT))
     # one occurrence: the windows of an item at one distance from their place in the document
-    hit = both.select("doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), "at", slots.alias("slots")).distinct()
-    occurrence = (hit.groupBy("doc_id", "item_id", "shift")
-                  .agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("s"))
-                  .where(F.size(F.array_distinct(F.transform("s", lambda x: F.struct(x.kind, x.item)))) == F.size("s")))
+    hit = both.select("doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), F.struct((~same).alias("other"), "at", slots.alias("slots")).alias("hit"))
+    occurrence = (hit.distinct().groupBy("doc_id", "item_id", "shift").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+                  .withColumn("got", _counted())
+                  .select("doc_id", "item_id", F.size("got.at").cast("bigint").alias("n"), F.col("got.s").alias("s")).where("n > 0"))
     found = occurrence.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_windows"), F.max(F.size("s")).cast("bigint").alias("n_slots"))
     total = items.select(F.col("item_id").alias("i"), (F.size("t") - size + 1).alias("of")).groupBy("i").agg(F.max("of").alias("of"))
     return (found.join(total, F.col("item_id").eqNullSafe(F.col("i")))

@@ -204,6 +204,18 @@ def test_decontamination_finds_exact_passages(spark):
     assert {r.doc_id for r in registry.op5_template_decontamination(spark, sf).collect()} == want
 
 
+def test_conflicting_windows_do_not_hide_the_others(spark):
+    verbatim = ITEM.replace("for 2 hours", "for 2 hours while 2 friends wait outside of the town hall")
+    docs = docs_of(spark, [
+        (1, "At noon " + verbatim.replace("while 2", "while 3")),  # one repeated number edited in one place
+        (2, "At noon " + verbatim.replace("while 2", "while 3").replace("Miller", "MILLER")),  # values in another case
+        (3, "At noon " + verbatim.replace("120", "75").replace("while 2", "while 3")),  # new numbers, one conflict
+        (4, "he rests for 2 hours and that is all there is to say about it")])
+    bench = spark.createDataFrame([(10, verbatim)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.matches(docs, bench).collect()}
+    assert set(got) == {1, 2, 3} and all(r.n_windows > 8 and r.share < 1 for r in got.values())
+
+
 # --- 6: near-duplicates -------------------------------------------------------
 
 def _brute_near(rows, size, percent=80):
