@@ -8,6 +8,11 @@ the placeholders must then fit: over the counted windows of one occurrence of an
 item, each value of the item stands for one value of the document. Windows that
 repeat the item's own values, in any case, count whatever the others hold.
 
+What a name is cannot be told from one text, so each text has three templates:
+without names, with the capitalised words inside sentences as names, and with
+all capitalised words as names. A window may match in any of them; without
+names neither case nor layout matters.
+
 Built-in functions only.
 """
 
@@ -31,31 +36,44 @@ PROBE = 5
 
 
 def marked(text) -> F.Column:
-    """The text's words, joined by single spaces, each name with a mark in front.
+    """The text's words, joined by single spaces, each name inside a sentence with a mark in front.
 
-    A name is a capitalised word that follows, on the same line, a word which
-    ends in a lower-case letter, a digit, a comma, a semicolon or a colon:
-    a capital at the start of a sentence, line or text is not one.
+    Such a name is a capitalised word that follows, over any white space, a word
+    which ends in a lower-case letter, a digit, a comma, a semicolon or a colon.
     """
     text = F.coalesce(text, F.lit(""))
     marks = f"[{NAME}{NUMBER}{UNIT}{MARK}]"
     clean = F.when(text.rlike(marks), F.regexp_replace(text, marks, "")).otherwise(text)
-    names = F.regexp_replace(clean, r" (?=\p{Lu})(?<=[\p{Ll}\p{Nd},;:] )", " " + MARK)
+    names = F.regexp_replace(clean, r"([\p{Ll}\p{Nd},;:])[\x20\x09-\x0D]+(?=\p{Lu})", "$1 " + MARK)
     return F.regexp_replace(names, f"[{BETWEEN}]+", " ")
 
 
+def _split(text) -> F.Column:
+    return F.array_remove(F.split(text, " "), "")
+
+
 def words(marked_text) -> F.Column:
-    return F.array_remove(F.split(marked_text, " "), "")
+    """The lower-cased words of a marked text."""
+    return _split(F.lower(F.replace(marked_text, F.lit(MARK), F.lit(""))))
 
 
-def template(marked_text) -> F.Column:
-    """Template words of a marked text, one for each of its words()."""
-    t = F.regexp_replace(marked_text, MARK + "[^ ]*", NAME)
+def templates(marked_text) -> list[F.Column]:
+    """The three templates, each with one template word for each of the text's words().
+
+    The first has no names, so equal words() always have an equal first template.
+    """
+    return [_typed(F.replace(marked_text, F.lit(MARK), F.lit(""))),
+            _typed(F.regexp_replace(marked_text, MARK + "[^ ]*", NAME)),
+            _typed(F.regexp_replace(marked_text, r"(?<![^ ])" + MARK + r"?\p{Lu}[^ ]*", NAME))]
+
+
+def _typed(t) -> F.Column:
+    """Template words of a text in which names are replaced."""
     # digits are rare: texts without one skip both passes
     unit = "|".join(u.replace("$", r"\$") for u in sorted(UNITS, key=len, reverse=True))
     numbers = F.regexp_replace(t, r"[^ \p{Nd}]*\p{Nd}[^ ]*", NUMBER)
     units = F.regexp_replace(numbers, f"(?i)(?<={NUMBER} )(?:{unit})(?![^ ])", UNIT)
-    return words(F.lower(F.when(t.rlike(r"\p{Nd}"), units).otherwise(t)))
+    return _split(F.lower(F.when(t.rlike(r"\p{Nd}"), units).otherwise(t)))
 
 
 def _window_hashes(tokens: str, size: int, stride: int = 1) -> F.Column:
@@ -69,8 +87,15 @@ def _literals(window: F.Column) -> F.Column:
     return F.size(F.filter(window, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
 
 
-def _folded(window: str) -> F.Column:
-    return F.transform(window, lambda x: F.lower(x))
+def _all_templates(table: DataFrame, key: str, text: str) -> DataFrame:
+    """Per row and template: `key`, the words `raw`, the template `t`, whether it is the `first`."""
+    m = table.select(key, marked(F.col(text)).alias("m"))
+    each = F.array(*[F.struct(F.lit(i == 0).alias("first"), t.alias("t")) for i, t in enumerate(templates(F.col("m")))])
+    return m.select(key, words(F.col("m")).alias("raw"), F.explode(each).alias("x")).select(key, "raw", "x.first", "x.t")
+
+
+def _enough(window: F.Column) -> F.Column:
+    return 2 * _literals(window) >= F.size(window)
 
 
 def _counted() -> F.Column:
@@ -98,9 +123,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     Columns: doc_id, item_id, and of the best occurrence of the item: n_windows
     (windows counted), share (of the item's windows), n_slots (slot values compared).
 
-    Windows have `window` template words, at least half of which must be words,
-    not placeholders; a window with more placeholders counts with its
-    placeholders' values in place. An item with fewer words than `window` is one
+    Windows have `window` words of one of the templates(), at least half of which
+    must be words, not placeholders; a window with more placeholders counts with
+    its words in place. An item with fewer words than `window` is one
     window as a whole; below `min_words` words it is too short to tell a passage and
     never matches. An item is found in a document if a window matches whose slots
     fit together; windows of the occurrence that conflict are not counted.
@@ -109,19 +134,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     other (one null group). Rows that repeat an id are searched together. Other
     columns are ignored; an empty benchmark or table gives an empty result.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), marked(F.col("text").cast("string")).alias("m"))
-    items = items.select("item_id", words(F.col("m")).alias("raw"), template(F.col("m")).alias("t")).where(F.size("t") >= min_words)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = _all_templates(items, "item_id", "text").where(F.size("t") >= min_words)
     size = F.least(F.size("t"), F.lit(window))
-    grams = (items.select("item_id", "raw", "t", size.alias("k"))
-             .select("item_id", "raw", "t", "k", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("k") + 1)).alias("at"))
-             .select("item_id", "k", "at", F.slice("t", F.col("at"), F.col("k")).alias("w"), F.slice("raw", F.col("at"), F.col("k")).alias("v")))
+    grams = (items.select("*", size.alias("k"))
+             .select("*", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("k") + 1)).alias("at"))
+             .select("item_id", "k", "at", "first", F.slice("t", F.col("at"), F.col("k")).alias("w"), F.slice("raw", F.col("at"), F.col("k")).alias("v")))
     items = materialise(items, "benchmark-templates")
-    grams = materialise(grams.select("item_id", "k", "at", F.xxhash64("w").alias("h"), "w", "v"), "benchmark-windows")
+    # with too few words the words themselves are searched, found by probes of the first template
+    grams = materialise(grams.where(F.col("first") | _enough(F.col("w"))), "benchmark-windows")
+    shown = F.when(_enough(F.col("w")), F.col("w")).otherwise(F.col("v"))
+    wanted = materialise(grams.select("item_id", "k", "at", F.xxhash64(shown).alias("h"), shown.alias("shown"), "w", "v").distinct(), "benchmark-keys")
     lengths = sorted(r.k for r in grams.select("k").distinct().collect())  # at most `window` - `min_words` + 1 numbers
     empty = docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, n_windows bigint, share double, n_slots bigint")
     if not lengths:
         return empty
-    keys = grams.select("k", "h").distinct()
+    keys = wanted.select("k", "h").distinct()
     small = keys.count() <= max_broadcast
 
     # Any k words in a row hold a run of `probe` words that starts at a multiple of
@@ -129,30 +157,31 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     # places has no window of it either.
     probe = min(PROBE, lengths[0])
     stride = lengths[0] - probe + 1
-    own = materialise(items.select(F.explode(_window_hashes("t", probe)).alias("h")).distinct(), "benchmark-probes")
+    own = materialise(grams.select(F.explode(_window_hashes("w", probe)).alias("h")).distinct(), "benchmark-probes")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tok = base.select("doc_id", template(marked(F.col("text"))).alias("t"))
-    probes = tok.select("doc_id", F.explode(_window_hashes("t", probe, stride)).alias("h"))
+    tok = base.select("doc_id", marked(F.col("text")).alias("m"))
+    tok = tok.select("doc_id", *[t.alias(f"t{i}") for i, t in enumerate(templates(F.col("m")))])
+    probes = tok.select("doc_id", F.explode(F.concat(*[_window_hashes(f"t{i}", probe, stride) for i in range(3)])).alias("h"))
     own = F.broadcast(own) if own.count() <= max_broadcast else own
     found = materialise(probes.join(own, "h", "left_semi").select("doc_id").distinct(), "suspects")
 
     # the few documents with a matching probe: words and values of their windows
     # (written, so that no later filter is computed on the texts of all documents)
     sus = materialise(base.join(found, base.doc_id.eqNullSafe(found.doc_id), "left_semi"), "suspect-texts")
-    sus = sus.select("doc_id", marked(F.col("text")).alias("m"))
-    sus = sus.select("doc_id", words(F.col("m")).alias("raw"), template(F.col("m")).alias("t"))
+    sus = _all_templates(sus, "doc_id", "text")
     at = None
     for k in lengths:
         some = (sus.where(F.size("t") >= k)
-                .select("doc_id", F.lit(k).alias("k"), "raw", "t", F.posexplode(_window_hashes("t", k)).alias("p", "h"))
-                .join((F.broadcast(keys) if small else keys).where(F.col("k") == k).select("h"), "h", "left_semi")
-                .select("doc_id", "k", "h", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv")))
+                .select("doc_id", F.lit(k).alias("k"), "raw", "t", F.explode(F.sequence(F.lit(0), F.size("t") - k)).alias("p"))
+                .select("doc_id", "k", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv"))
+                .withColumn("ds", F.when(_enough(F.col("dw")), F.col("dw")).otherwise(F.col("dv"))).drop("dw")
+                .withColumn("h", F.xxhash64("ds"))
+                .join((F.broadcast(keys) if small else keys).where(F.col("k") == k).select("h"), "h", "left_semi"))
         at = some if at is None else at.unionByName(some)
-    same = _folded("v") == _folded("dv")
-    enough = (2 * _literals(F.col("w")) >= F.col("k")) | same
-    both = at.join(grams, ["k", "h"]).where((F.col("dw") == F.col("w")) & enough)
+    same = F.col("v") == F.col("dv")
+    both = at.join(wanted, ["k", "h"]).where(F.col("ds") == F.col("shown"))
     slots = F.filter(F.zip_with(F.arrays_zip("w", "v"), F.col("dv"),
-                                lambda x, d: F.struct(x.w.alias("kind"), F.lower(x.v).alias("item"), F.lower(d).alias("doc"))),
+                                lambda x, d: F.struct(x.w.alias("kind"), x.v.alias("item"), d.alias("doc"))),
                      lambda s: s.kind.isin(NAME, NUMBER, UNIT))
     # one occurrence: the windows of an item at one distance from their place in the document
     hit = both.select("doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), F.struct((~same).alias("other"), "at", slots.alias("slots")).alias("hit"))

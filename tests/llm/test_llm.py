@@ -216,6 +216,19 @@ def test_conflicting_windows_do_not_hide_the_others(spark):
     assert set(got) == {1, 2, 3} and all(r.n_windows > 8 and r.share < 1 for r in got.values())
 
 
+def test_names_in_any_place_case_and_layout(spark):
+    item = "Tom has 5 apples. Tom buys 3 more. Tom eats 2 apples. Tom gives 4 away."
+    docs = docs_of(spark, [
+        (1, "Eva has 7 apples. Eva buys 9 more. Eva eats 6 apples. Eva gives 8 away."),
+        (2, item.lower()), (3, item.upper()), (4, item.replace(" ", "\n")),
+        (5, "they say that the capital of france is paris"), (6, "THE CAPITAL OF\nFRANCE  IS PARIS"), (7, "he knows the\ncapital of\r\nFrance is\tParis"),
+        (8, "Zoe has no apples. The capital of Norway is not Paris."),
+        (9, "at noon anna miller drives 75 km from oldtown to the coast at 50 KM per hour")])
+    bench = spark.createDataFrame([(10, item), (11, "The capital of France is Paris"), (12, ITEM)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()}
+    assert got == {(1, 10), (2, 10), (3, 10), (4, 10), (5, 11), (6, 11), (7, 11), (9, 12)}
+
+
 # --- 6: near-duplicates -------------------------------------------------------
 
 def _brute_near(rows, size, percent=80):
