@@ -87,11 +87,11 @@ def _literals(window: F.Column) -> F.Column:
     return F.size(F.filter(window, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
 
 
-def _all_templates(table: DataFrame, key: str, text: str) -> DataFrame:
+def _all_templates(table: DataFrame, *key: str) -> DataFrame:
     """Per row and template: `key`, the words `raw`, the template `t`, whether it is the `first`."""
-    m = table.select(key, marked(F.col(text)).alias("m"))
+    m = table.select(*key, marked(F.col("text")).alias("m"))
     each = F.array(*[F.struct(F.lit(i == 0).alias("first"), t.alias("t")) for i, t in enumerate(templates(F.col("m")))])
-    return m.select(key, words(F.col("m")).alias("raw"), F.explode(each).alias("x")).select(key, "raw", "x.first", "x.t")
+    return m.select(*key, words(F.col("m")).alias("raw"), F.explode(each).alias("x")).select(*key, "raw", "x.first", "x.t")
 
 
 def _enough(window: F.Column) -> F.Column:
@@ -131,11 +131,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     fit together; windows of the occurrence that conflict are not counted.
 
     Defined cases: null and empty texts match nothing; null ids are ids like any
-    other (one null group). Rows that repeat an id are searched together. Other
+    other (one null group). Each text of an id is searched on its own. Other
     columns are ignored; an empty benchmark or table gives an empty result.
     """
+    found = _found(docs, benchmark, window, min_words, max_broadcast)
+    return (found.groupBy("doc_id", "item_id")
+            .agg(*[F.max(c).alias(c) for c in ("n_windows", "share", "n_slots")]))
+
+
+def _digest(text) -> F.Column:
+    return F.sha2(text.cast("string"), 256)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, min_words: int, max_broadcast: int = 200_000) -> DataFrame:
+    """matches() by doc_id and the `digest` of the text."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = _all_templates(items, "item_id", "text").where(F.size("t") >= min_words)
+    items = _all_templates(items, "item_id").where(F.size("t") >= min_words)
     size = F.least(F.size("t"), F.lit(window))
     grams = (items.select("*", size.alias("k"))
              .select("*", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("k") + 1)).alias("at"))
@@ -146,7 +157,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     shown = F.when(_enough(F.col("w")), F.col("w")).otherwise(F.col("v"))
     wanted = materialise(grams.select("item_id", "k", "at", F.xxhash64(shown).alias("h"), shown.alias("shown"), "w", "v").distinct(), "benchmark-keys")
     lengths = sorted(r.k for r in grams.select("k").distinct().collect())  # at most `window` - `min_words` + 1 numbers
-    empty = docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, n_windows bigint, share double, n_slots bigint")
+    empty = docs.sparkSession.createDataFrame([], "doc_id bigint, digest string, item_id bigint, n_windows bigint, share double, n_slots bigint")
     if not lengths:
         return empty
     keys = wanted.select("k", "h").distinct()
@@ -159,21 +170,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
     stride = lengths[0] - probe + 1
     own = materialise(grams.select(F.explode(_window_hashes("w", probe)).alias("h")).distinct(), "benchmark-probes")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tok = base.select("doc_id", marked(F.col("text")).alias("m"))
-    tok = tok.select("doc_id", *[t.alias(f"t{i}") for i, t in enumerate(templates(F.col("m")))])
-    probes = tok.select("doc_id", F.explode(F.concat(*[_window_hashes(f"t{i}", probe, stride) for i in range(3)])).alias("h"))
+    base = base.where("text is not null").withColumn("digest", _digest(F.col("text")))
+    tok = base.select("doc_id", "digest", marked(F.col("text")).alias("m"))
+    tok = tok.select("doc_id", "digest", *[t.alias(f"t{i}") for i, t in enumerate(templates(F.col("m")))])
+    probes = tok.select("doc_id", "digest", F.explode(F.concat(*[_window_hashes(f"t{i}", probe, stride) for i in range(3)])).alias("h"))
     own = F.broadcast(own) if own.count() <= max_broadcast else own
-    found = materialise(probes.join(own, "h", "left_semi").select("doc_id").distinct(), "suspects")
+    found = materialise(probes.join(own, "h", "left_semi").select("doc_id", "digest").distinct(), "suspects")
 
     # the few documents with a matching probe: words and values of their windows
     # (written, so that no later filter is computed on the texts of all documents)
-    sus = materialise(base.join(found, base.doc_id.eqNullSafe(found.doc_id), "left_semi"), "suspect-texts")
-    sus = _all_templates(sus, "doc_id", "text")
+    sus = materialise(base.join(found, base.doc_id.eqNullSafe(found.doc_id) & (base.digest == found.digest), "left_semi"), "suspect-texts")
+    sus = _all_templates(sus, "doc_id", "digest")
     at = None
     for k in lengths:
         some = (sus.where(F.size("t") >= k)
-                .select("doc_id", F.lit(k).alias("k"), "raw", "t", F.explode(F.sequence(F.lit(0), F.size("t") - k)).alias("p"))
-                .select("doc_id", "k", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv"))
+                .select("doc_id", "digest", F.lit(k).alias("k"), "raw", "t", F.explode(F.sequence(F.lit(0), F.size("t") - k)).alias("p"))
+                .select("doc_id", "digest", "k", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv"))
                 .withColumn("ds", F.when(_enough(F.col("dw")), F.col("dw")).otherwise(F.col("dv"))).drop("dw")
                 .withColumn("h", F.xxhash64("ds"))
                 .join((F.broadcast(keys) if small else keys).where(F.col("k") == k).select("h"), "h", "left_semi"))
@@ -184,17 +196,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: i
                                 lambda x, d: F.struct(x.w.alias("kind"), x.v.alias("item"), d.alias("doc"))),
                      lambda s: s.kind.isin(NAME, NUMBER, UNIT))
     # one occurrence: the windows of an item at one distance from their place in the document
-    hit = both.select("doc_id", "item_id", (F.col("p") - F.col("at")).alias("shift"), F.struct((~same).alias("other"), "at", slots.alias("slots")).alias("hit"))
-    occurrence = (hit.distinct().groupBy("doc_id", "item_id", "shift").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    hit = both.select("doc_id", "digest", "item_id", (F.col("p") - F.col("at")).alias("shift"), F.struct((~same).alias("other"), "at", slots.alias("slots")).alias("hit"))
+    occurrence = (hit.distinct().groupBy("doc_id", "digest", "item_id", "shift").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
                   .withColumn("got", _counted())
-                  .select("doc_id", "item_id", F.size("got.at").cast("bigint").alias("n"), F.col("got.s").alias("s")).where("n > 0"))
-    found = occurrence.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_windows"), F.max(F.size("s")).cast("bigint").alias("n_slots"))
+                  .select("doc_id", "digest", "item_id", F.size("got.at").cast("bigint").alias("n"), F.col("got.s").alias("s")).where("n > 0"))
+    found = occurrence.groupBy("doc_id", "digest", "item_id").agg(F.max("n").alias("n_windows"), F.max(F.size("s")).cast("bigint").alias("n_slots"))
     total = items.select(F.col("item_id").alias("i"), (F.size("t") - size + 1).alias("of")).groupBy("i").agg(F.max("of").alias("of"))
     return (found.join(total, F.col("item_id").eqNullSafe(F.col("i")))
-            .select("doc_id", "item_id", "n_windows", F.least(F.lit(1.0), F.col("n_windows") / F.col("of")).alias("share"), "n_slots"))
+            .select("doc_id", "digest", "item_id", "n_windows", F.least(F.lit(1.0), F.col("n_windows") / F.col("of")).alias("share"), "n_slots"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: int = 5) -> DataFrame:
     """The rows of `docs` in which no benchmark item is found, with their columns unchanged."""
-    bad = materialise(matches(docs, benchmark, window, min_words).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")), "left_anti")
+    found = _found(docs, benchmark, window, min_words)
+    bad = materialise(found.select(F.col("doc_id").alias("__leak"), F.col("digest").alias("__digest")).distinct(), "leaks")
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")) & (_digest(F.col("text")) == F.col("__digest")), "left_anti")

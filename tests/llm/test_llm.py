@@ -229,6 +229,15 @@ def test_names_in_any_place_case_and_layout(spark):
     assert got == {(1, 10), (2, 10), (3, 10), (4, 10), (5, 11), (6, 11), (7, 11), (9, 12)}
 
 
+def test_clean_documents_decides_by_text(spark):
+    rows = [(None, ITEM), (None, "clean text under no id"), (None, None), (1, ITEM), (1, "clean text under the same id"), (1, ITEM), (2, "more")]
+    bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    docs = docs_of(spark, rows)
+    left = [(r.doc_id, r.text) for r in decontaminate.clean_documents(docs, bench).collect()]
+    assert sorted(left, key=str) == sorted((x for x in rows if x[1] != ITEM), key=str)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()} == {(None, 10), (1, 10)}
+
+
 # --- 6: near-duplicates -------------------------------------------------------
 
 def _brute_near(rows, size, percent=80):
