@@ -7,11 +7,13 @@ training texts; on that map one kernel ridge regression per language is solved,
 one against the rest. Scoring a batch is two matrix products: gram presence times
 landmark presence, then times the ridge coefficients.
 
-Learned from a bounded sample of labelled texts; whole texts are scored.
+Learned from a bounded sample of labelled texts of every language; whole texts
+are scored. Grams are told apart by all their code points.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,12 +23,12 @@ from pyspark.sql import functions as F
 
 from railyard.llm.common import held_out
 
-#: Character classes: 0 for what separates words, the last for characters the training sample lacks.
-ALPHABET = 126
-_SIZE = ALPHABET + 2
-_GRAMS = _SIZE + _SIZE ** 2 + _SIZE ** 3
+#: Bits of a code point in a gram's number.
+_BITS = 21
 #: Characters of one step through a long text, rows of one product.
 _STEP, _ROWS = 1 << 20, 256
+#: Training texts of all languages together; each language has one at least.
+SAMPLE = 19_200
 
 
 def letters(text: str | None) -> np.ndarray:
@@ -40,30 +42,49 @@ def letters(text: str | None) -> np.ndarray:
     return np.where(letter, kinds, 0)[at].astype(np.uint32)
 
 
-def classes(code: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
-    """Class numbers of code points, runs of separators as one."""
-    if not len(code):
-        return np.empty(0, np.int32)
-    code = code[np.concatenate(([True], (code[1:] != 0) | (code[:-1] != 0)))]
-    at = np.minimum(np.searchsorted(alphabet, code), len(alphabet) - 1) if len(alphabet) else np.zeros(len(code), int)
-    known = alphabet[at] == code if len(alphabet) else np.zeros(len(code), bool)
-    return np.where(code == 0, 0, np.where(known, at + 1, _SIZE - 1)).astype(np.int32)
+def _kinds(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct code points, and for each position the place of its own among them."""
+    top = int(code.max()) + 1
+    if top > 1 << 14:
+        return np.unique(code, return_inverse=True)
+    there = np.zeros(top, bool)
+    there[code] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[code]
 
 
-def grams(c: np.ndarray):
-    """Numbers of the 1-, 2- and 3-grams at every position."""
-    yield c
-    if len(c) > 1:
-        two = c[:-1] * _SIZE + c[1:]
-        yield two + _SIZE
-        if len(c) > 2:
-            yield two[:-1] * _SIZE + c[2:] + _SIZE + _SIZE ** 2
+def spectrum(code: np.ndarray) -> np.ndarray:
+    """Numbers of the distinct 1-, 2- and 3-grams, runs of separators as one."""
+    if not len(code):
+        return np.empty(0, np.int64)
+    code = code[np.concatenate(([True], (code[1:] != 0) | (code[:-1] != 0)))]
+    kinds, at = _kinds(code)
+    kinds, at, n, found = kinds.astype(np.int64) + 1, at.astype(np.int64), len(kinds), [kinds.astype(np.int64) + 1]
+    for size in (2, 3):
+        # a table of all grams of these letters where it is small, else sorting
+        seen = np.zeros(n ** size, bool) if n ** size <= min(1 << 24, 65_536 + 64 * len(at)) else None
+        used = []
+        for s in range(0, max(0, len(at) - size + 1), _STEP):
+            c = at[s:s + _STEP + size - 1]
+            g = c[:-1] * n + c[1:] if size == 2 else (c[:-2] * n + c[1:-1]) * n + c[2:]
+            if seen is None:
+                used.append(np.unique(g))
+            else:
+                seen[g] = True
+        if seen is not None:
+            g = np.flatnonzero(seen)
+        else:
+            g = np.unique(np.concatenate(used)) if used else np.empty(0, np.int64)
+        number = kinds[g % n]
+        for k in range(1, size):
+            g = g // n
+            number = number | kinds[g % n] << (_BITS * k)
+        found.append(number)
+    return np.concatenate(found)
 
 
 @dataclass(frozen=True)
 class Model:
     languages: tuple
-    alphabet: np.ndarray
     vocabulary: np.ndarray  # gram numbers of the landmarks
     presence: np.ndarray    # landmarks x vocabulary, 0/1
     sizes: np.ndarray       # distinct grams of each landmark
@@ -71,31 +92,17 @@ class Model:
 
     def kernel(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Kernel of texts and landmarks; whether a text has a letter."""
-        place = self.__dict__.get("_place")
-        if place is None:
-            place = np.full(_GRAMS, -1, np.int32)
-            place[self.vocabulary] = np.arange(len(self.vocabulary))
-            object.__setattr__(self, "_place", place)
         x = np.zeros((len(texts), len(self.vocabulary)), np.float32)
         size, any_letter = np.ones(len(texts)), np.zeros(len(texts), bool)
-        seen = np.zeros(_GRAMS, bool)
         for i, t in enumerate(texts):
             code = letters(t)
             any_letter[i] = code.any()
             if not any_letter[i]:
                 continue
-            c = classes(code, self.alphabet)
-            used = []
-            for s in range(0, len(c), _STEP):
-                for g in grams(c[s:s + _STEP + 2]):
-                    new = np.unique(g[~seen[g]])
-                    seen[new] = True
-                    used.append(new)
-            used = np.concatenate(used)
-            seen[used] = False
+            used = spectrum(code)
             size[i] = len(used)
-            at = place[used]
-            x[i, at[at >= 0]] = 1
+            at = np.minimum(np.searchsorted(self.vocabulary, used), len(self.vocabulary) - 1)
+            x[i, at[self.vocabulary[at] == used]] = 1
         return (x @ self.presence.T) / np.sqrt(size[:, None] * np.maximum(self.sizes, 1)[None, :]), any_letter
 
     def predict(self, texts: list) -> tuple[list, np.ndarray]:
@@ -117,17 +124,10 @@ class Model:
 def fit(texts: list[str], langs: list[str], landmarks: int = 240, ridge: float = 1e-2) -> Model:
     """Ridge regression on the Nyström map; landmarks are spread evenly over the languages."""
     names = tuple(sorted(set(langs)))
-    empty = np.empty(0, np.uint32)
+    nothing = Model((), np.empty(0, np.int64), np.zeros((0, 0), np.float32), np.empty(0), np.zeros((0, 0)))
     if not names:
-        return Model((), empty, np.empty(0, np.int64), np.zeros((0, 0), np.float32), np.empty(0), np.zeros((0, 0)))
-    count: dict = {}
-    for t in texts:
-        kinds, n = np.unique(letters(t), return_counts=True)
-        for a, b in zip(kinds.tolist(), n.tolist()):
-            count[a] = count.get(a, 0) + b
-    count.pop(0, None)
-    alphabet = np.array(sorted(sorted(count, key=lambda a: (-count[a], a))[:ALPHABET]), np.uint32)
-    sets = [np.unique(np.concatenate(list(grams(classes(letters(t), alphabet))) or [np.empty(0, np.int32)])) for t in texts]
+        return nothing
+    sets = [spectrum(letters(t)) for t in texts]
     per, taken, chosen = max(1, landmarks // len(names)), dict.fromkeys(names, 0), []
     for i, lang in enumerate(langs):
         if taken[lang] < per and len(sets[i]):
@@ -137,39 +137,43 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 240, ridge: float =
     presence = np.zeros((len(chosen), len(vocabulary)), np.float32)
     for r, i in enumerate(chosen):
         presence[r, np.searchsorted(vocabulary, sets[i])] = 1
-    model = Model(names, alphabet, vocabulary, presence, np.array([len(sets[i]) for i in chosen], float),
+    model = Model(names, vocabulary, presence, np.array([len(sets[i]) for i in chosen], float),
                   np.zeros((len(chosen), len(names))))
     if not chosen:
-        return Model((), empty, np.empty(0, np.int64), np.zeros((0, 0), np.float32), np.empty(0), np.zeros((0, 0)))
+        return nothing
     k_mm = (presence @ presence.T) / np.sqrt(np.outer(model.sizes, model.sizes))
     val, vec = np.linalg.eigh(k_mm.astype(float))
     good = val > 1e-8 * val.max()
     root = vec[:, good] / np.sqrt(val[good])
     phi = np.concatenate([model.kernel(texts[i:i + _ROWS])[0] for i in range(0, len(texts), _ROWS)]) @ root
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    weight = 1.0 / np.sqrt(np.array([langs.count(x) for x in langs]))  # every language counts alike
+    count = Counter(langs)
+    weight = 1.0 / np.sqrt(np.array([count[x] for x in langs]))  # every language counts alike
     a = phi * weight[:, None]
     w = np.linalg.solve(a.T @ a + ridge * np.eye(phi.shape[1]), a.T @ (y * weight[:, None]))
-    return Model(names, alphabet, vocabulary, presence, model.sizes, root @ w)
+    return Model(names, vocabulary, presence, model.sizes, root @ w)
 
 
-def train(docs: DataFrame, per_language: int = 300, max_languages: int = 64, landmarks: int = 240) -> Model:
-    """Learn from at most `per_language` texts of each of the `max_languages` most frequent languages.
+def train(docs: DataFrame, per_language: int = 300, landmarks: int = 240) -> Model:
+    """Learn from at most `per_language` texts of every language, of fewer where there are many languages.
 
     The sample is the rows with the smallest id hashes among those that are not
-    held out and have a text and a language: the same at every partitioning.
+    held out and have a letter and a language: the same at every partitioning.
+    Of rows that share an id and a language the smallest text is learned.
     """
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                       F.col("lang").cast("string").alias("lang"))
     able = src.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    top = [r.lang for r in able.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()]
-    if not top:
+    able = able.where(F.col("text").rlike(r"\p{L}"))
+    n_languages = able.select("lang").distinct().count()
+    if not n_languages:
         return fit([], [])
-    ids = (able.where(F.col("lang").isin(top)).select("doc_id", "lang")
+    per_language = max(1, min(per_language, SAMPLE // n_languages))
+    ids = (able.select("doc_id", "lang")
            .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
            .where(F.col("r") <= per_language).select("doc_id", "lang").distinct())
-    # at most per_language * max_languages rows of an id and a name
-    rows = able.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text", "doc_id").limit(2 * per_language * len(top)).collect()
+    # at most SAMPLE rows of an id and a name, or one of each language
+    rows = able.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r.doc_id * 0x9E3779B97F4A7C15 % (1 << 64), r.doc_id, r.text))
     return fit([r.text for r in rows], [r.lang for r in rows], landmarks)
 

@@ -412,6 +412,23 @@ def test_language_odd_inputs(spark):
     assert langid.languages(df.where("false")).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(7)
+    words = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for k in range(70)}
+    rows = [(8 * k + j, " ".join(rng.choice(w, 30)), lang) for k, (lang, w) in enumerate(words.items()) for j in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {i: lang for i, _, lang in rows}
+    got = {r.doc_id: r.lang_pred for r in langid.languages(df).collect()}
+    assert set(got.values()) == set(words) and np.mean([got[i] == want[i] for i in want]) > 0.95
+
+
+def test_grams_of_large_alphabets_are_told_apart():
+    han = [chr(0x4E00 + k) for k in range(600)]
+    texts = ["".join(han[:400]), "".join(han[400:]), "".join(han[400:500])]  # the first two share no letter
+    k, ok = langid.fit(texts[:2], ["p", "q"], landmarks=2).kernel(texts)
+    assert ok.all() and np.allclose(k, [[1, 0], [0, 1], [0, (297 / 597) ** 0.5]])
+
+
 def test_kernel_equals_its_definition():
     texts = ["abc abd", "Abc, abd!", "xyz", "a", "ab c"]
     m = langid.fit(texts, ["p", "p", "q", "q", "p"], landmarks=10)
