@@ -313,6 +313,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     gone = gone.groupBy("first", "row").agg(F.collect_list("at").alias("at"))
     cut = (base.join(gone, F.col("doc_id") == F.col("first")).select("row", "at", "text")
            .mapInArrow(_third_pass(window), "sha string, n_removed bigint, kept_sha256 string, kept string"))
+    # rows that repeat a document may lie in several tasks of the third pass
+    cut = cut.dropDuplicates(["sha"])
 
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("doc_id") > F.col("first")  # a later copy of a whole document

@@ -174,6 +174,26 @@ def test_repeats_of_registered_query(spark):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
 
 
+def test_repeated_rows_in_several_partitions(spark, tmp_path):
+    words = [f"w{k}" for k in range(60)]
+    first, second = " ".join(words[:40]), " ".join(words[10:60])
+    long = " ".join(f"x{k}" for k in range(8000))
+    for k, row in enumerate([(1, first)] + [(2, second)] * 4 + [(3, long)]):
+        docs_of(spark, [row]).coalesce(1).write.parquet(str(tmp_path / f"part={k}"))
+    docs = spark.read.parquet(str(tmp_path))
+    # joins with all texts are planned with shuffles and turned into broadcasts: the rows stay in their tasks
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10k", "spark.sql.files.maxPartitionBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = sorted((r.doc_id, r.n_removed, r.kept) for r in recompression.remove_repeats(docs).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == [(1, 0, None)] + [(2, 30, " ".join(words[40:]))] * 4 + [(3, 0, None)]
+
+
 # --- 5: benchmark -------------------------------------------------------------
 
 ITEM = "Anna Miller drives 120 km from Oldtown to the coast at 60 km per hour and then Anna Miller rests there for 2 hours"
