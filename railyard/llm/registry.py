@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from railyard.llm import (chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pairwise_quality, recompression,
+from railyard.llm import (bitpack, chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pairwise_quality, recompression,
                           sharding, token_counts)
 from railyard.llm.common import table
+from railyard.session import new_work_dir
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -64,9 +65,15 @@ def op10_string_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op13_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_work_dir(spark, "llm-packed-ids")
+    bitpack.write_packed(table(spark, sf_dir, "documents"), tokenizer_path(), out, end_id=2)
+    return bitpack.read_packed(spark, out).drop("ids")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_int8_near_dup, op2_pairwise_quality, op3_token_counts, op4_recompression, op5_template_decontamination, op6_minhash_bbit,
-    op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid)}
+    op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid, op13_bitpack)}
 
 _PROBE = "'<|im_end|><|im_start|>assistant ok'"
 
