@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from railyard.llm import (bitpack, chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pairwise_quality, recompression,
+from railyard.llm import (bitpack, chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pair_bitmaps, pairwise_quality, recompression,
                           sharding, token_counts)
 from railyard.llm.common import table
 from railyard.session import new_work_dir
@@ -65,6 +65,10 @@ def op10_string_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_bitmaps.alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_work_dir(spark, "llm-packed-ids")
     bitpack.write_packed(table(spark, sf_dir, "documents"), tokenizer_path(), out, end_id=2)
@@ -73,7 +77,7 @@ def op13_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_int8_near_dup, op2_pairwise_quality, op3_token_counts, op4_recompression, op5_template_decontamination, op6_minhash_bbit,
-    op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid, op13_bitpack)}
+    op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid, op12_pair_bitmaps, op13_bitpack)}
 
 _PROBE = "'<|im_end|><|im_start|>assistant ok'"
 
