@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from railyard.llm import (bitpack, chat, decontaminate, int8_near_dup, langid, minhash_bbit, mixing, pair_bitmaps, pairwise_quality, recompression,
+from railyard.llm import (bitpack, chat, decontaminate, importance, int8_near_dup, langid, minhash_bbit, mixing, pair_bitmaps, pairwise_quality, recompression,
                           sharding, token_counts)
 from railyard.llm.common import table
 from railyard.session import new_work_dir
@@ -65,6 +65,10 @@ def op10_string_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_bitmaps.alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
@@ -72,16 +76,48 @@ def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_work_dir(spark, "llm-packed-ids")
     bitpack.write_packed(table(spark, sf_dir, "documents"), tokenizer_path(), out, end_id=2)
-    return bitpack.read_packed(spark, out).drop("ids")
+    return bitpack.read_packed(spark, out, with_ids=False)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_int8_near_dup, op2_pairwise_quality, op3_token_counts, op4_recompression, op5_template_decontamination, op6_minhash_bbit,
-    op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid, op12_pair_bitmaps, op13_bitpack)}
+    op7_poisson_mixture, op8_chat_parts, op9_permutation_sharding, op10_string_kernel_langid, op11_importance, op12_pair_bitmaps, op13_bitpack)}
 
 _PROBE = "'<|im_end|><|im_start|>assistant ok'"
 
+#: CRC-32 of words, byte by byte with the table of its polynomial; the state is kept inverted.
+_CRC = """
+        bits0 AS (SELECT range AS b, range AS v FROM range(256)),
+        bits1 AS (SELECT b, list_reduce([v] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM bits0),
+        tab AS (SELECT list(v ORDER BY b) AS t FROM bits1),
+        bytes AS (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM words)),
+        crc AS (SELECT w, xor(4294967295, list_reduce(
+                    [4294967295] || list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+                    lambda c, d: xor(c >> 8, t[(xor(c, d) & 255) + 1]))) AS crc FROM bytes, tab)"""
+
+_WORDS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w"""
+
 ORACLE: dict[str, str] = {
+    "op11_importance": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+        dw AS (SELECT r, {_WORDS} FROM d), tw AS (SELECT {_WORDS} FROM benchmark),
+        words AS (SELECT w FROM dw UNION ALL SELECT w FROM tw),{_CRC},
+        db AS (SELECT r, crc % 10000 AS b, count(*) AS n FROM dw JOIN crc USING (w) GROUP BY ALL),
+        tb AS (SELECT crc % 10000 AS b, count(*) AS n FROM tw JOIN crc USING (w) GROUP BY ALL),
+        s AS (SELECT b, sum(n) AS n FROM db GROUP BY b),
+        sums AS (SELECT CAST(coalesce((SELECT sum(n) FROM s), 0) AS DOUBLE) AS s_all, CAST(coalesce((SELECT sum(n) FROM tb), 0) AS DOUBLE) AS t_all),
+        gain AS (SELECT s.b, floor(1000 * ln((coalesce(tb.n, 0)::DOUBLE + 1) * (s_all + 10000) / ((s.n::DOUBLE + 1) * (t_all + 10000)))) AS g
+                 FROM s LEFT JOIN tb ON s.b = tb.b, sums),
+        weighed AS (SELECT r, sum(n) AS n_features, sum(n * g) AS weight FROM db JOIN gain USING (b) GROUP BY r),
+        h AS (SELECT r, doc_id, CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) AS h FROM d),
+        scored AS (SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                          CAST(coalesce(weight, 0) + floor(-1000.0 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+                   FROM h LEFT JOIN weighed USING (r)),
+        ranked AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS k,
+                          count(*) FILTER (n_features >= 20) OVER () AS able FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * able // 100 THEN k END AS rank FROM ranked""",
+
     "op7_poisson_mixture": """
         WITH n AS (SELECT source AS s, count(*) AS n FROM documents GROUP BY source),
         total AS (SELECT CAST(sum(n) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS k FROM n),
