@@ -37,7 +37,7 @@ MAGIC = b"IDPACK01"
 #: Ids of a block: a multiple of 64.
 BLOCK = 4096
 #: Ids of a file, about; one document is never divided between files.
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 
 
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -108,35 +108,6 @@ class PackedFile:
         return self.ids(int(self.start[k]), int(self.start[k + 1]))
 
 
-def _encoder(path: str, end_id: int | None, narrow: bool):
-    """Per document: id, number of ids, crc32 of the ids, and the ids as 16- or 32-bit numbers."""
-    def run(batches):
-        enc = SegmentEncoder(path)
-        for rb in batches:
-            for at, texts in slices(rb.column("text")):
-                ids, start = enc.encoded(texts)
-                if end_id is not None:
-                    ids = np.insert(ids, start[1:], np.uint32(end_id))
-                    start = start + np.arange(len(start))
-                wide = memoryview(ids.astype("<u4")).cast("B")
-                crc = [zlib.crc32(wide[4 * a:4 * z]) for a, z in zip(start[:-1].tolist(), start[1:].tolist())]
-                data = ids.astype("<u2" if narrow else "<u4")
-                if start[-1] * data.itemsize >= 1 << 31:
-                    raise ValueError("one document holds 2 GB of ids")
-                body = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [
-                    None, pa.py_buffer((start * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays(
-                    [rb.column("doc_id").slice(at, len(texts)), pa.array(np.diff(start), pa.int64()), pa.array(crc, pa.int64()), body],
-                    ["doc_id", "n_tokens", "crc", "ids"])
-    return run
-
-
-def encoded(docs: DataFrame, path: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, n_tokens, crc (of the ids), ids (16- or 32-bit numbers)."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(_encoder(path, end_id, _bits(path, end_id) <= 16), "doc_id bigint, n_tokens bigint, crc bigint, ids binary")
-
-
 def _bits(path: str, end_id: int | None) -> int:
     """Bits of the largest id of the vocabulary (or the end id, if that is larger)."""
     from railyard.llm.segments import tokenizer
@@ -146,17 +117,18 @@ def _bits(path: str, end_id: int | None) -> int:
     return max(1, size - 1, end_id or 0).bit_length()
 
 
-def _writer(out: str, bits: int, narrow: bool, file_ids: int):
+def _writer(path: str, out: str, end_id: int | None, bits: int, file_ids: int):
+    """Encode documents in the order they come, write them as files and name these."""
     def run(batches):
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(out)
-        part, seq = TaskContext.get().partitionId(), 0
-        docs, pieces, size = [], [], []
+        enc, part, seq = SegmentEncoder(path), TaskContext.get().partitionId(), 0
+        docs, pieces, sizes, held = [], [], [], 0
 
         def flush():
-            nonlocal seq, docs, pieces, size
-            ids = np.concatenate(pieces) if pieces else np.empty(0, np.uint32)
+            nonlocal seq, docs, pieces, sizes, held
+            ids, size = np.concatenate(pieces), np.concatenate(sizes)
             data = file_bytes(docs, np.concatenate(([0], np.cumsum(size))), ids, bits)
             name = f"part-{part:06d}-{seq:06d}-{uuid.uuid4().hex}.ids"
             with store.open_output_stream(f"{root}/{name}") as f:
@@ -164,18 +136,20 @@ def _writer(out: str, bits: int, narrow: bool, file_ids: int):
             row = pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([name]), pa.array([len(docs)], pa.int64()),
                 pa.array([len(ids)], pa.int64()), pa.array([len(data)], pa.int64())], ["part", "seq", "file", "n_docs", "n_ids", "n_bytes"])
-            seq, docs, pieces, size = seq + 1, [], [], []
+            seq, docs, pieces, sizes, held = seq + 1, [], [], [], 0
             return row
 
-        held = 0
         for rb in batches:
-            for d, body in zip(rb.column("doc_id").to_pylist(), rb.column("ids")):
-                one = np.frombuffer(body.as_buffer(), "<u2" if narrow else "<u4")
-                docs.append(d), pieces.append(one), size.append(len(one))
-                held += len(one)
+            for at, texts in slices(rb.column("text"), min(4_000_000, 2 * file_ids)):
+                ids, start = enc.encoded(texts)
+                if end_id is not None:
+                    ids = np.insert(ids, start[1:], np.uint32(end_id))
+                    start = start + np.arange(len(start))
+                docs += rb.column("doc_id").slice(at, len(texts)).to_pylist()
+                pieces.append(ids), sizes.append(np.diff(start))
+                held += len(ids)
                 if held >= file_ids:
                     yield flush()
-                    held = 0
         if docs:
             yield flush()
     return run
@@ -190,18 +164,19 @@ def write_packed(docs: DataFrame, path: str, out: str, end_id: int | None = None
     all files before it), n_docs, n_ids, n_bytes; also kept in ``out/manifest``.
 
     Defined cases: a null text is empty. Null ids come first. Rows that repeat an id
-    each are a document, the shorter first, then by checksum. Other columns are
+    each are a document, the shorter text first, then by its hash. Other columns are
     ignored. An empty table gives a store without files.
     """
     spark = docs.sparkSession
     spark_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
     spark_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(spark_path)
     bits = _bits(path, end_id)
-    # written, as the range partitioning below reads its input twice
-    rows = materialise(encoded(docs, path, end_id, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    order = [F.col("doc_id").asc_nulls_first(), "n_tokens", "crc", "row"]  # `row` spreads repeats of one document
-    files = (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
-             .mapInArrow(_writer(out, bits, bits <= 16, file_ids), "part int, seq int, file string, n_docs bigint, n_ids bigint, n_bytes bigint"))
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = src.select("*", F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    # the texts are dealt, not their ids: dealing by ranges reads its input twice, and texts are cheap to read
+    order = [F.col("doc_id").asc_nulls_first(), "size", "hash", "row"]  # `row` spreads repeats of one document
+    files = (src.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+             .mapInArrow(_writer(path, out, end_id, bits, file_ids), "part int, seq int, file string, n_docs bigint, n_ids bigint, n_bytes bigint"))
     files = materialise(files, "packed-files")
     # one number for each task of the write
     base, total = [], 0
@@ -216,29 +191,32 @@ def write_packed(docs: DataFrame, path: str, out: str, end_id: int | None = None
     return spark.read.parquet(f"{out}/manifest")
 
 
-def _reader(batches):
-    for rb in batches:
-        for data, base in zip(rb.column("content"), rb.column("base").to_pylist()):
-            f = PackedFile(data.as_buffer())
-            ids = f.ids()
-            wide = memoryview(ids.astype("<u4")).cast("B")
-            crc = [zlib.crc32(wide[4 * a:4 * z]) for a, z in zip(f.start[:-1].tolist(), f.start[1:].tolist())]
-            narrow = pa.ListArray.from_arrays(pa.array(f.start, pa.int32()), pa.array(ids.view(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f.doc_ids, pa.int64()), pa.array(base + f.start[:-1], pa.int64()), pa.array(np.diff(f.start), pa.int64()),
-                 pa.array(crc, pa.int64()), narrow], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+def _reader(with_ids: bool):
+    def run(batches):
+        for rb in batches:
+            for data, base in zip(rb.column("content"), rb.column("base").to_pylist()):
+                f = PackedFile(data.as_buffer())
+                ids = f.ids()
+                wide = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(wide[4 * a:4 * z]) for a, z in zip(f.start[:-1].tolist(), f.start[1:].tolist())]
+                columns = [pa.array(f.doc_ids, pa.int64()), pa.array(base + f.start[:-1], pa.int64()),
+                           pa.array(np.diff(f.start), pa.int64()), pa.array(crc, pa.int64())]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(f.start, pa.int32()), pa.array(ids.view(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(columns)])
+    return run
 
 
-def read_packed(spark: SparkSession, out: str) -> DataFrame:
-    """The documents of a store: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, ids.
+def read_packed(spark: SparkSession, out: str, with_ids: bool = True) -> DataFrame:
+    """The documents of a store: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and their ids.
 
-    ids_crc32 is that of the ids as little-endian unsigned 32-bit numbers; ids are as read
-    from the files the manifest names.
+    ids_crc32 is that of the ids as little-endian unsigned 32-bit numbers. All are as read
+    from the files that the manifest names.
     """
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>"
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
     manifest = spark.read.parquet(f"{out}/manifest")
     if not manifest.limit(1).count():
         return spark.createDataFrame([], schema)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(out)
              .select(F.regexp_extract("path", "[^/]*$", 0).alias("file"), "content"))
-    return files.join(manifest.select("file", "base"), "file").select("base", "content").mapInArrow(_reader, schema)
+    return files.join(manifest.select("file", "base"), "file").select("base", "content").mapInArrow(_reader(with_ids), schema)

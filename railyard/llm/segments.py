@@ -36,7 +36,7 @@ _ODD = f"[ {_WHITE}] |^[ {_WHITE}]"
 _CUT = re.compile(f"(?<=[^ {_WHITE}]) ")
 _ALONE = f"^$|[ {_WHITE}]$"
 #: Segments and token ids remembered at most, beyond those of the texts at hand.
-ENTRIES, IDS = 400_000, 4_000_000
+ENTRIES, IDS = 250_000, 2_500_000
 #: Segments encoded as one text.
 JOINED = 256
 
@@ -256,7 +256,7 @@ class SegmentEncoder:
         return self.ids.gather(i), np.concatenate(([0], np.cumsum(self.ids.sizes(i))))[at]
 
 
-def slices(column: pa.Array, most: int = 16_000_000):
+def slices(column: pa.Array, most: int = 4_000_000):
     """Parts of a string column of about `most` bytes each, a longer text alone, nulls as empty texts."""
     column = column.cast(pa.string()).fill_null("")
     size = np.concatenate(([0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))))
