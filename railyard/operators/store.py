@@ -199,6 +199,14 @@ def exact_dedup(records: DataFrame) -> DataFrame:
     return records.dropDuplicates(cols)
 
 
+def not_stored(records: DataFrame, stored: DataFrame) -> DataFrame:
+    """Those of `records` whose member (hash + full payload) is not among the `stored` ones."""
+    cols = [c for c in [*_PAYLOAD_COLUMNS, "dedup_hash"] if c in records.columns]
+    have = stored.select(*[F.col(c).alias(f"_{c}") for c in cols])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
+    return records.join(have, same, "left_anti")
+
+
 def latest_per_hash(records: DataFrame) -> DataFrame:
     """The intended dedup, one row per departure identity, newest poll wins.
 

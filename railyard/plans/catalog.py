@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -24,7 +24,10 @@ from railyard.plans import board as B
 from railyard.plans import streams as SM
 from railyard.sources import fixtures as FX
 from railyard.sources import responses as RS
+from railyard.schemas import METRICS_CHANGELOG
 from railyard.session import new_work_dir
+from railyard.streaming import jobs as J
+from railyard.streaming import manifest as MF
 
 RECENT_MINUTES = 120
 LIVE_TTL_SECONDS = 60
@@ -89,18 +92,35 @@ def snapshot_rows(enriched: DataFrame, batch_id: int = 0) -> DataFrame:
 _STORES: dict[tuple, str] = {}
 
 
-def metrics_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metrics store as the replay leaves it: a table in the shared folder.
+def _store_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The metrics store as the replay leaves it, with its manifest, written once per session.
 
-    Written once per session (partitioned by metric_date, P25); the store
-    queries read it, as live readers read the streaming sink's changelog.
+    The bounds of the event time come from the same job that writes the store, so
+    no reader decodes the topic for them.
     """
     k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _STORES:
-        path = new_work_dir(spark, "metrics-store")
-        snapshot_rows(enriched_rows(spark, sf_dir)).write.partitionBy("metric_date").parquet(path)
-        _STORES[k] = path
-    return spark.read.parquet(_STORES[k])
+        base = new_work_dir(spark, "metrics-store")
+        log, obs = MF.Manifest(f"{base}/manifest"), Observation(f"store-{base[-12:]}")
+        at, _ = log.begin(spark, 0)
+        out = at.folder(f"{base}/metrics")
+        e = enriched_rows(spark, sf_dir).observe(obs, F.count(F.lit(1)).alias("rows_in"), *J.bounds("collected_at_ts", "collected_at_ts"))
+        snapshot_rows(e).write.partitionBy("metric_date").parquet(out)
+        log.publish(spark, "batch", at, out, counts=obs.get)
+        _STORES[k] = base
+    return _STORES[k]
+
+
+def metrics_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store queries read what the manifest names, as live readers read the streaming sink's."""
+    rows = MF.Manifest(f"{_store_folder(spark, sf_dir)}/manifest").commits(spark)
+    return MF.read(spark, MF.live_paths(rows), METRICS_CHANGELOG)
+
+
+def store_as_of(spark: SparkSession, sf_dir: str):
+    """The latest collection time the store was made from, as a literal (FL6)."""
+    rows = MF.Manifest(f"{_store_folder(spark, sf_dir)}/manifest").commits(spark)
+    return F.timestamp_micros(F.lit(MF.event_time_bound(rows)).cast("long"))
 
 
 def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,21 +152,18 @@ def q_metrics_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_station_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indexed stations at as_of = latest collection time."""
-    e = enriched_rows(spark, sf_dir)
-    return report(ST.station_index(metrics_store(spark, sf_dir), ST.as_of_value(e)))
+    return report(ST.station_index(metrics_store(spark, sf_dir), store_as_of(spark, sf_dir)))
 
 
 def q_recent_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T8 + FL6 + TTL: every station's live windows of the last two hours."""
-    e = enriched_rows(spark, sf_dir)
-    return report(ST.recent_metrics(metrics_store(spark, sf_dir), ST.as_of_value(e), RECENT_MINUTES)
+    return report(ST.recent_metrics(metrics_store(spark, sf_dir), store_as_of(spark, sf_dir), RECENT_MINUTES)
                   .drop("metric_date"))
 
 
 def q_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 + O2 for every station: live windows of the last two hours, in order."""
-    e = enriched_rows(spark, sf_dir)
-    return report(ST.station_history(metrics_store(spark, sf_dir), None, ST.as_of_value(e), RECENT_MINUTES)
+    return report(ST.station_history(metrics_store(spark, sf_dir), None, store_as_of(spark, sf_dir), RECENT_MINUTES)
                   .drop("metric_date"))
 
 
@@ -157,8 +174,7 @@ def q_recent_departures_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_recent_departures_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations written within the TTL (60 s here), newest 50 each."""
-    rec = departure_records(spark, sf_dir)
-    return report(ST.live_departures(rec, ST.as_of_value(rec), LIVE_TTL_SECONDS))
+    return report(ST.live_departures(departure_records(spark, sf_dir), store_as_of(spark, sf_dir), LIVE_TTL_SECONDS))
 
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,8 +201,7 @@ def rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rollup_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roll-up as the live board reads it: TTL + two-hour lookback at as_of."""
-    e = enriched_rows(spark, sf_dir)
-    return R.station_rollup(ST.recent_metrics(metrics_store(spark, sf_dir), ST.as_of_value(e), RECENT_MINUTES))
+    return R.station_rollup(ST.recent_metrics(metrics_store(spark, sf_dir), store_as_of(spark, sf_dir), RECENT_MINUTES))
 
 
 def q_station_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

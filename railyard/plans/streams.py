@@ -153,8 +153,7 @@ def stream_recent_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_live_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T12 over the sink's snapshot, as_of = latest collection time, TTL 60 s."""
     dirs = late_run(spark, sf_dir)
-    as_of = ST.as_of_value(spark.read.parquet(dirs.recent))
-    return J.read_live_departures(spark, dirs, as_of, ttl_seconds=60)
+    return J.read_live_departures(spark, dirs, J.event_time(spark, dirs), ttl_seconds=60)
 
 
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     BooleanType,
+    DateType,
     DoubleType,
     LongType,
     StringType,
@@ -79,6 +80,15 @@ DEPARTURE_VIEW_COLUMNS = [
     "planned_platform", "collected_at", "collected_at_ts", "longitude", "latitude",
 ]
 
+# F6 stored departures, as the sink writes them.
+STORED_DEPARTURE = StructType([
+    *[_s(f, DoubleType() if f in _DOUBLE_FIELDS else TimestampType() if f == "collected_at_ts" else StringType())
+      for f in ["trip_id", "station_id", "station_name", "line_id", "line_name", "transport_mode", "direction",
+                "planned_departure", "actual_departure", "delay_minutes", "platform", "planned_platform",
+                "collected_at", "longitude", "latitude", "collected_at_ts", "dedup_hash"]],
+    _s("score", DoubleType()), _s("batch_id", LongType()),
+])
+
 # F5 station_window_metrics columns, in output order.
 METRIC_COLUMNS = [
     "station_id", "station_name", "window_start", "window_end", "avg_delay", "max_delay",
@@ -97,5 +107,11 @@ METRICS_TABLE = StructType([
     _s("latitude", DoubleType()), _s("longitude", DoubleType()),
 ])
 
+# The metrics changelog: stored windows, partitioned by date.
+METRICS_CHANGELOG = StructType([
+    *METRICS_TABLE.fields, _s("window_key", LongType()), _s("batch_id", LongType()),
+    _s("updated_at", TimestampType()), _s("metric_date", DateType()),
+])
+
 # F8 stations dimension.
 STATIONS = StructType([_s("station_id"), _s("enabled", BooleanType())])

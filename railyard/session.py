@@ -86,3 +86,20 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused sub-folder of the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Children of a folder in any file system Spark knows; none if it does not exist."""
+    p, fs = _hadoop_path(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder in any file system Spark knows."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)

@@ -8,27 +8,31 @@ One enriched stream feeds two queries:
   mode; each micro-batch's updated windows are appended to a changelog,
   and readers take the latest row per key (see `railyard.operators.store`).
 
-Sinks overwrite only the directory of their own batch id, so a batch that is
-retried after a failure (or a lost executor) replaces its own output instead
-of duplicating it, and a failing write fails the batch instead of being
-swallowed (Q12). Counts come from `observe` on the single write (Q13) and
-land in a small audit table (A22, T17). Checkpoints are kept across
-restarts (Q11).
+Each batch is written to a folder of its own and then published in the sink's
+manifest (`railyard.streaming.manifest`), which readers follow: a batch that is
+retried, an attempt that failed half-way and a fresh checkpoint on an old sink
+all leave every departure stored once. A failing write fails the batch instead
+of being swallowed (Q12). Counts and event-time bounds come from `observe` on the
+single write (Q13) and are part of the commit (A22, T17). Checkpoints are kept
+across restarts (Q11).
 """
 
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
-from pyspark.errors import AnalysisException, StreamingQueryException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from railyard.operators import enrich as EN
 from railyard.operators import metrics as M
 from railyard.operators import store as ST
-from railyard.session import ensure_utc, new_work_dir
+from railyard.schemas import METRICS_CHANGELOG, STORED_DEPARTURE
+from railyard.session import delete_path, ensure_utc, new_work_dir
+from railyard.streaming import manifest as MF
 from railyard.streaming import topic as TP
 
 # Live trigger intervals of the two queries.
@@ -53,14 +57,13 @@ class StreamDirs:
     def metrics(self) -> str:
         return f"{self.base}/metrics"
 
-    @property
-    def audit(self) -> str:
-        return f"{self.base}/audit"
-
     @property
     def recent(self) -> str:
         return f"{self.base}/recent_departures"
 
+    def manifest(self, query: str) -> MF.Manifest:
+        return MF.Manifest(f"{self.base}/manifest/{query}")
+
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
 
@@ -78,23 +81,9 @@ def enriched_stream(spark: SparkSession, dirs: StreamDirs, kafka: dict | None =
     return EN.enrich(EN.decode_envelopes(records))
 
 
-def _audit(spark: SparkSession, dirs: StreamDirs, query: str, batch_id: int, metrics: dict) -> None:
-    """One row of per-batch counts and event-time bounds (query and batch id
-    are directory partitions)."""
-    row = [(int(metrics.get("rows_in", 0) or 0), int(metrics.get("rows_stored", 0) or 0),
-            metrics.get("min_event_time"), metrics.get("max_event_time"))]
-    df = spark.createDataFrame(
-        row, "rows_in long, rows_stored long, min_event_time timestamp, max_event_time timestamp")
-    (df.withColumn("rows_rejected", F.col("rows_in") - F.col("rows_stored"))
-       .write.mode("overwrite").parquet(f"{dirs.audit}/query={query}/batch_id={batch_id}"))
-
-
-def _read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """A table that may not have been written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def bounds(low: str, high: str) -> list:
+    """Bounds of the event time, in microseconds: the same in every time zone of a driver."""
+    return [F.min(F.unix_micros(low)).alias("min_event_us"), F.max(F.unix_micros(high)).alias("max_event_us")]
 
 
 def departures_writer(dirs: StreamDirs, k: int = 50):
@@ -102,49 +91,62 @@ def departures_writer(dirs: StreamDirs, k: int = 50):
 
     Besides the full history it maintains the recent-k list per station (T9)
     incrementally: snapshot(N) = top-k(snapshot(N-1) + batch N). The snapshot
-    holds at most k rows per station, the top-k runs as a window-group limit,
-    and each batch id has its own directory, so a retried batch recomputes
-    the same snapshot from the same inputs.
+    holds at most k rows per station and the top-k runs as a window-group limit.
+
+    A run on a fresh checkpoint is handed what earlier runs may have stored: rows
+    whose members lie in earlier commits of the same event times are left out.
+    Commits outside the batch's event times are not read.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        obs = Observation(f"departures_{batch_id}")
-        rec = ST.departure_records(batch).observe(
+        spark, log = batch.sparkSession, dirs.manifest("departures")
+        at, before = log.begin(spark, batch_id)
+        if at is None:
+            return
+        obs = Observation(f"departures_{uuid.uuid4().hex}")
+        rec = ST.departure_records(batch).withColumn("batch_id", F.lit(at.position).cast("long")).observe(
             obs, F.count(F.lit(1)).alias("rows_in"), F.count(F.lit(1)).alias("rows_stored"),
-            F.min("collected_at_ts").alias("min_event_time"), F.max("collected_at_ts").alias("max_event_time"))
-        out = f"{dirs.departures}/batch_id={batch_id}"
-        rec.write.mode("overwrite").parquet(out)
-        _audit(spark, dirs, "departures", batch_id, obs.get)
+            *bounds("collected_at_ts", "collected_at_ts"))
+        out = at.folder(dirs.departures)
+        rec.write.parquet(out)
+        counts = dict(obs.get)
+        again = MF.overlapping(before, at, counts.get("min_event_us"), counts.get("max_event_us"))
+        written = MF.read(spark, [out], STORED_DEPARTURE)
+        if again:
+            out = at.folder(dirs.departures)
+            new = ST.not_stored(written, MF.read(spark, again, STORED_DEPARTURE))
+            new.write.parquet(out)
+            written = MF.read(spark, [out], STORED_DEPARTURE)
+            counts["rows_stored"] = written.count()
         # Recent-k from what was just written (no second pass over the source).
-        merged = spark.read.parquet(out)
-        # Only the first batch starts from nothing: a snapshot that cannot be
-        # read fails the batch, it never means an empty list.
-        if batch_id > 0:
-            merged = merged.unionByName(spark.read.parquet(f"{dirs.recent}/batch_id={batch_id - 1}").drop("rank"))
-        (ST.recent_departures(merged, k).drop("rank")
-         .write.mode("overwrite").parquet(f"{dirs.recent}/batch_id={batch_id}"))
+        last = MF.newest_snapshot(before)
+        merged = written if last is None else written.unionByName(MF.read(spark, [last], STORED_DEPARTURE))
+        snapshot = at.folder(dirs.recent)
+        ST.recent_departures(merged, k).drop("rank").write.parquet(snapshot)
+        log.publish(spark, "batch", at, out, snapshot, counts)
     return write
 
 
 def metrics_writer(dirs: StreamDirs):
     """foreachBatch function appending updated windows to the changelog.
 
-    Rounds (P16), drops groups that cannot be stored (FL9), stamps key, batch
-    id and update time, and partitions by metric_date (P25) for lookback
-    pruning.
+    Rounds (P16), drops groups that cannot be stored (FL9), stamps key, position of
+    the commit (as batch_id: later commits win, over all runs) and update time, and
+    partitions by metric_date (P25) for lookback pruning.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"metrics_{batch_id}")
+        spark, log = batch.sparkSession, dirs.manifest("metrics")
+        at, _ = log.begin(spark, batch_id)
+        if at is None:
+            return
+        obs = Observation(f"metrics_{uuid.uuid4().hex}")
         ok = (F.col("station_name").isNotNull() & F.col("avg_delay").isNotNull()
               & F.col("max_delay").isNotNull())
         rounded = M.round_metrics(batch).observe(
             obs, F.count(F.lit(1)).alias("rows_in"), F.count_if(ok).alias("rows_stored"),
-            F.min("window_start").alias("min_event_time"), F.max("window_end").alias("max_event_time"))
-        # batch_id is the directory partition, so it is not repeated in the files.
-        rows = ST.metric_rows(M.storable(rounded), batch_id, F.current_timestamp()).drop("batch_id")
-        (rows.write.mode("overwrite").partitionBy("metric_date")
-             .parquet(f"{dirs.metrics}/batch_id={batch_id}"))
-        _audit(batch.sparkSession, dirs, "metrics", batch_id, obs.get)
+            *bounds("window_start", "window_end"))
+        out = at.folder(dirs.metrics)
+        ST.metric_rows(M.storable(rounded), at.position, F.current_timestamp()).write.partitionBy("metric_date").parquet(out)
+        log.publish(spark, "batch", at, out, counts=obs.get)
     return write
 
 
@@ -228,22 +230,40 @@ def run_available_now(spark: SparkSession, dirs: StreamDirs, **kw) -> list[Strea
 
 
 def read_departures(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
-    return spark.read.parquet(dirs.departures)
+    return MF.read(spark, MF.live_paths(dirs.manifest("departures").commits(spark)), STORED_DEPARTURE)
 
 
 def read_metrics_changelog(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
-    return spark.read.parquet(dirs.metrics)
+    """Every batch of the changelog that has not been retired, folded into a compaction or not."""
+    rows = dirs.manifest("metrics").commits(spark)
+    return MF.read(spark, [r.path for r in rows if r.kind == "batch" and r.path], METRICS_CHANGELOG)
 
 
 def read_audit(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
-    return spark.read.parquet(dirs.audit)
+    """One row of counts and event-time bounds per query and batch, from the commits."""
+    out = None
+    for query in ("departures", "metrics"):
+        rows = (dirs.manifest(query).table(spark).filter("kind = 'batch'")
+                .select(F.lit(query).alias("query"), "run_no", "batch_id", "rows_in", "rows_stored",
+                        (F.col("rows_in") - F.col("rows_stored")).alias("rows_rejected"),
+                        F.timestamp_micros("min_event_us").alias("min_event_time"), F.timestamp_micros("max_event_us").alias("max_event_time")))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def event_time(spark: SparkSession, dirs: StreamDirs, query: str = "departures"):
+    """`as_of` of a sink from its commits, as a literal: no look at the data."""
+    return F.timestamp_micros(F.lit(MF.event_time_bound(dirs.manifest(query).commits(spark))).cast("long"))
+
+
+def _snapshot(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
+    last = MF.newest_snapshot(dirs.manifest("departures").commits(spark))
+    return MF.read(spark, [] if last is None else [last], STORED_DEPARTURE).drop("batch_id")
 
 
 def read_recent_departures(spark: SparkSession, dirs: StreamDirs, k: int = 50) -> DataFrame:
     """T9 from the newest snapshot only (k rows per station at most)."""
-    snaps = spark.read.parquet(dirs.recent)
-    latest = snaps.filter(F.col("batch_id") == snaps.select(F.max("batch_id")).scalar())
-    return ST.recent_departures(latest.drop("batch_id"), k)
+    return ST.recent_departures(_snapshot(spark, dirs), k)
 
 
 def read_live_departures(spark: SparkSession, dirs: StreamDirs, as_of,
@@ -253,25 +273,7 @@ def read_live_departures(spark: SparkSession, dirs: StreamDirs, as_of,
     The newest entry of a station's list is its last write, so the snapshot
     alone answers the expiry test.
     """
-    snaps = spark.read.parquet(dirs.recent)
-    latest = snaps.filter(F.col("batch_id") == snaps.select(F.max("batch_id")).scalar())
-    return ST.live_departures(latest.drop("batch_id"), as_of, ttl_seconds, k)
-
-
-def _compacted_dir(dirs: StreamDirs) -> str:
-    return f"{dirs.base}/metrics_compacted"
-
-
-def _latest_compaction(spark: SparkSession, dirs: StreamDirs, schema) -> tuple[DataFrame | None, int]:
-    """The newest compaction that ran to its end, by the marker written after it.
-
-    A compaction of expired rows only writes no file; the marker still counts it.
-    """
-    done = _read_snapshot(spark, f"{dirs.base}/metrics_compactions")
-    if done is None:
-        return None, -1
-    upto = int(done.select(F.max("upto")).first()[0])
-    return spark.read.schema(schema).parquet(f"{_compacted_dir(dirs)}/upto_batch={upto}"), upto
+    return ST.live_departures(_snapshot(spark, dirs), as_of, ttl_seconds, k)
 
 
 def read_metrics(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
@@ -281,28 +283,54 @@ def read_metrics(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
     changelog; the result is the same, but the scan stops growing with the
     number of batches.
     """
-    log = read_metrics_changelog(spark, dirs)
-    base, upto = _latest_compaction(spark, dirs, log.schema)
-    newer = log.filter(F.col("batch_id") > upto)
-    return newer if base is None else base.unionByName(newer)
+    return MF.read(spark, MF.live_paths(dirs.manifest("metrics").commits(spark)), METRICS_CHANGELOG)
 
 
 def compact_metrics(spark: SparkSession, dirs: StreamDirs, as_of, ttl_seconds: int = 7200) -> int:
-    """Fold the changelog into one row per live key (T5 + TTL) and store it.
+    """Fold the changelog into one row per live key (T5 + TTL) and publish it.
 
-    compacted(B) = current(compacted(previous) + batches <= B) at `as_of`,
-    written under `upto_batch=B`, then marked; a failed run is simply run again.
+    compacted(B) = current(compacted(previous) + batches <= B) at `as_of`, where B
+    is the position of the newest commit; a failed run is simply run again.
     Rows past the TTL are dropped here; later reads use `read_metrics`.
     Returns B.
     """
-    log = read_metrics_changelog(spark, dirs)
-    upto = int(log.select(F.max("batch_id")).first()[0])
-    if _latest_compaction(spark, dirs, log.schema)[1] == upto:
-        return upto  # nothing newer to fold in; its own table cannot be read and overwritten at once
-    src = read_metrics(spark, dirs).filter(F.col("batch_id") <= upto)
-    cur = ST.current_metrics(src, as_of, ttl_seconds)
-    (cur.write.mode("overwrite").partitionBy("metric_date")
-        .parquet(f"{_compacted_dir(dirs)}/upto_batch={upto}"))
-    (spark.range(1).select(F.lit(upto).cast("long").alias("upto"))
-        .write.mode("overwrite").parquet(f"{dirs.base}/metrics_compactions/batch={upto}"))
-    return upto
+    log = dirs.manifest("metrics")
+    rows = log.commits(spark)
+    last = max((r for r in rows if r.kind == "batch"), key=lambda r: r.position)
+    if MF.compacted_upto(rows) == last.position:
+        return last.position
+    at = MF.Attempt(last.run, last.run_no, last.batch_id)
+    cur = ST.current_metrics(MF.read(spark, MF.live_paths(rows), METRICS_CHANGELOG), as_of, ttl_seconds)
+    out = at.folder(dirs.metrics)
+    cur.write.partitionBy("metric_date").parquet(out)
+    log.publish(spark, "compaction", at, out)
+    return at.position
+
+
+def retire(spark: SparkSession, dirs: StreamDirs, keep_snapshots: int = 2) -> int:
+    """Retention: delete the folders no reader needs, and fold the manifests. Returns the number of folders deleted.
+
+    Gone are batches folded into a compaction, all but the newest snapshots and
+    compaction, and what failed attempts left. Run it while the queries of the sink
+    are stopped: an attempt that is being written is not in the manifest yet.
+    """
+    gone = 0
+    for query, bases in (("departures", (dirs.departures, dirs.recent)), ("metrics", (dirs.metrics,))):
+        log = dirs.manifest(query)
+        rows = log.commits(spark)
+        if not rows:
+            continue
+        upto = MF.compacted_upto(rows)
+        # the last batch of each run stays, as a mark of how far the run has come
+        last = {r.run: r.commit for r in rows if r.kind == "batch"}
+        kept = [r for r in rows if (r.position >= upto if r.kind == "compaction" else r.position > upto or r.commit == last[r.run])]
+        shots = [r.snapshot for r in kept if r.snapshot][-keep_snapshots:]
+        named = set(MF.live_paths(kept)) | set(shots)
+        kept = [Row(**{**r.asDict(), "path": r.path if r.path in named else None,
+                       "snapshot": r.snapshot if r.snapshot in named else None}) for r in kept]
+        log.fold(spark, kept)
+        for base in bases:
+            for path in MF.unnamed(spark, base, named):
+                delete_path(spark, path)
+                gone += 1
+    return gone
