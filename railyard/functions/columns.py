@@ -34,6 +34,30 @@ def yes_no(text) -> Column:
             .when(t.isin("false", "f", "no", "n", "off", "0", "0.0"), F.lit(False)))
 
 
+def member(value, path: str) -> Column:
+    """A member of a VARIANT as it stands, by its path; null where it is missing."""
+    return F.try_variant_get(_c(value), f"$.{path}", "variant")
+
+
+def member_kind(value, path: str) -> Column:
+    """The type of a member: null where it is missing, 'VOID' for an explicit null, else STRING, BIGINT, OBJECT<...>, ..."""
+    return F.schema_of_variant(member(value, path))
+
+
+def member_as(value, path: str, dtype: str) -> Column:
+    """A member cast to a type; null where it is missing, null or cannot be cast."""
+    return F.try_variant_get(_c(value), f"$.{path}", dtype)
+
+
+def member_time(value, path: str) -> Column:
+    """A member that is a time: ISO-8601 text, or seconds (beyond 2e10: milliseconds) since the epoch."""
+    n = member_as(value, path, "double")
+    seconds = F.when(F.abs(n) <= 2e10, n).otherwise(n / 1000)
+    epoch = F.when(F.abs(seconds) < 2.5e11, F.timestamp_micros((seconds * 1e6).cast("long")))
+    return F.when(member_kind(value, path) == "STRING", parse_ts(member_as(value, path, "string"))).when(
+        member_kind(value, path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), epoch)
+
+
 def actual_departure(when, planned_when) -> Column:
     """Actual departure = `when`, else the planned time."""
     return F.coalesce(_c(when), _c(planned_when))

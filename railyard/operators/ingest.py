@@ -1,6 +1,6 @@
 """Ingest: validate and flatten API responses (P1-P6, FL3-FL5, A20, A21).
 
-Validation is one Column expression over a raw departure struct, so the same
+Validation is one Column expression over a raw departure (a VARIANT), so the same
 rule runs on exploded rows (flatten / quarantine) and inside a higher-order
 `filter` over the array (per-response counts without exploding).
 """
@@ -11,42 +11,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
+from railyard.schemas import PRODUCT_FLAGS
 
 
-def _missing(c: Column) -> Column:
-    return c.isNull()
+def _missing(d: Column, path: str) -> Column:
+    """Not there, or an explicit null."""
+    return F.coalesce(C.member_kind(d, path), F.lit("VOID")) == "VOID"
+
+
+def _not(d: Column, path: str, kind: str) -> Column:
+    """There (explicit nulls included), but of another type."""
+    k = C.member_kind(d, path)
+    return k.isNotNull() & ~k.startswith(kind)
 
 
 def validation_reason(d: Column) -> Column:
     """FL3 / FL4: first failed rule of a raw departure, or null when valid.
 
-    Required fields must be present, times must parse (`when` may be absent),
-    `delay` and `cancelled` may be absent but not of another type, coordinates must be present and within [-90, 90] / [-180, 180]. A bad
-    record fails alone; its siblings in the response are unaffected.
+    Required members must be there and no nulls; text must be text, not a number;
+    numbers may be written as text, and flags as yes / no, 0 / 1. Members with a
+    default (types, product flags, `cancelled`) may be missing but not null;
+    optional ones (`when`, `delay`, platforms) may be either. Coordinates must be
+    within [-90, 90] / [-180, 180]. A bad record fails alone; its siblings in the
+    response are unaffected.
     """
-    lat, lon = d["stop"]["location"]["latitude"], d["stop"]["location"]["longitude"]
+    lat, lon = "stop.location.latitude", "stop.location.longitude"
+    number = lambda p: C.member_as(d, p, "double")
+    text = lambda p: [(_missing(d, p), f"{p}: missing"), (_not(d, p, "STRING"), f"{p}: not text")]
+    optional_text = lambda p: [(~_missing(d, p) & _not(d, p, "STRING"), f"{p}: not text")]
+    default_text = lambda p: [(_not(d, p, "STRING"), f"{p}: not text")]
+    record = lambda p: [(_missing(d, p), f"{p}: missing"), (_not(d, p, "OBJECT"), f"{p}: not a record")]
+    flag = lambda p: C.member(d, p).isNotNull() & C.yes_no(C.member_as(d, p, "string")).isNull()
+    any_flag = None
+    for m in PRODUCT_FLAGS:
+        bad = flag(f"stop.products.{m}")
+        any_flag = bad if any_flag is None else any_flag | bad
     rules = [
-        (_missing(d["tripId"]), "tripId: missing"),
-        (_missing(d["stop"]), "stop: missing"),
-        (_missing(d["stop"]["id"]), "stop.id: missing"),
-        (_missing(d["stop"]["name"]), "stop.name: missing"),
-        (_missing(d["stop"]["location"]) | _missing(d["stop"]["location"]["id"]), "stop.location: missing"),
-        (_missing(d["stop"]["products"]), "stop.products: missing"),
-        (_missing(lat), "latitude: missing"),
-        (_missing(lon), "longitude: missing"),
-        (_missing(d["plannedWhen"]), "plannedWhen: missing"),
-        (C.parse_ts(d["plannedWhen"]).isNull(), "plannedWhen: not a time"),
-        (d["when"].isNotNull() & C.parse_ts(d["when"]).isNull(), "when: not a time"),
-        (d["delay"].isNotNull() & C.whole_seconds(d["delay"]).isNull(), "delay: not a whole number"),
-        (d["cancelled"].isNotNull() & C.yes_no(d["cancelled"]).isNull(), "cancelled: not a flag"),
-        (_missing(d["direction"]), "direction: missing"),
-        (_missing(d["line"]), "line: missing"),
-        (_missing(d["line"]["id"]), "line.id: missing"),
-        (_missing(d["line"]["name"]), "line.name: missing"),
-        (_missing(d["line"]["mode"]), "line.mode: missing"),
-        (_missing(d["line"]["product"]), "line.product: missing"),
-        (~lat.between(-90, 90), "latitude: out of range"),
-        (~lon.between(-180, 180), "longitude: out of range"),
+        (F.coalesce(~F.schema_of_variant(d).startswith("OBJECT"), F.lit(True)), "not a record"),
+        *text("tripId"), *record("stop"), *default_text("stop.type"), *text("stop.id"), *text("stop.name"),
+        *record("stop.location"), *default_text("stop.location.type"), *text("stop.location.id"),
+        *record("stop.products"), (any_flag, "stop.products: not a flag"),
+        (_missing(d, lat), "latitude: missing"), (number(lat).isNull(), "latitude: not a number"),
+        (_missing(d, lon), "longitude: missing"), (number(lon).isNull(), "longitude: not a number"),
+        (_missing(d, "plannedWhen"), "plannedWhen: missing"),
+        (C.member_time(d, "plannedWhen").isNull(), "plannedWhen: not a time"),
+        (~_missing(d, "when") & C.member_time(d, "when").isNull(), "when: not a time"),
+        (~_missing(d, "delay") & _delay(d).isNull(), "delay: not a whole number"),
+        (flag("cancelled"), "cancelled: not a flag"),
+        *optional_text("platform"), *optional_text("plannedPlatform"),
+        *text("direction"), *record("line"), *default_text("line.type"), *text("line.id"), *text("line.name"),
+        *text("line.mode"), *text("line.product"),
+        (~number(lat).between(-90, 90), "latitude: out of range"),
+        (~number(lon).between(-180, 180), "longitude: out of range"),
     ]
     expr = None
     for cond, reason in rules:
@@ -54,6 +70,12 @@ def validation_reason(d: Column) -> Column:
     return expr
 
 
+def _delay(d: Column) -> Column:
+    """Seconds; a flag counts as 0 or 1."""
+    return (F.when(C.member_kind(d, "delay") == "BOOLEAN", C.member_as(d, "delay", "boolean").cast("int"))
+            .otherwise(C.whole_seconds(C.member_as(d, "delay", "string"))))
+
+
 def explode_departures(responses: DataFrame) -> DataFrame:
     """One row per departure, with the response's station and fetch time."""
     return responses.select("requested_station_id", "fetched_at",
@@ -67,24 +89,25 @@ def with_validation(exploded: DataFrame) -> DataFrame:
 def project_departure(validated: DataFrame) -> DataFrame:
     """Nested raw record -> flat F2 record."""
     d = F.col("d")
-    planned = C.parse_ts(d["plannedWhen"])
+    text = lambda p: C.member_as(d, p, "string")
+    planned = C.member_time(d, "plannedWhen")
     return validated.select(
-        d["tripId"].alias("trip_id"),
-        d["stop"]["id"].alias("station_id"),
-        d["stop"]["name"].alias("station_name"),
-        d["line"]["id"].alias("line_id"),
-        d["line"]["name"].alias("line_name"),
-        C.transport_mode(d["line"]["product"]).alias("transport_mode"),
-        d["direction"].alias("direction"),
+        text("tripId").alias("trip_id"),
+        text("stop.id").alias("station_id"),
+        text("stop.name").alias("station_name"),
+        text("line.id").alias("line_id"),
+        text("line.name").alias("line_name"),
+        C.transport_mode(text("line.product")).alias("transport_mode"),
+        text("direction").alias("direction"),
         planned.alias("planned_departure"),
-        C.actual_departure(C.parse_ts(d["when"]), planned).alias("actual_departure"),
-        C.delay_minutes(C.whole_seconds(d["delay"])).alias("delay_minutes"),
-        d["platform"].alias("platform"),
-        d["plannedPlatform"].alias("planned_platform"),
-        F.coalesce(C.yes_no(d["cancelled"]), F.lit(False)).alias("cancelled"),
+        C.actual_departure(C.member_time(d, "when"), planned).alias("actual_departure"),
+        C.delay_minutes(_delay(d)).alias("delay_minutes"),
+        text("platform").alias("platform"),
+        text("plannedPlatform").alias("planned_platform"),
+        F.coalesce(C.yes_no(text("cancelled")), F.lit(False)).alias("cancelled"),
         F.col("fetched_at").alias("collected_at"),
-        d["stop"]["location"]["longitude"].alias("longitude"),
-        d["stop"]["location"]["latitude"].alias("latitude"),
+        C.member_as(d, "stop.location.longitude", "double").alias("longitude"),
+        C.member_as(d, "stop.location.latitude", "double").alias("latitude"),
     )
 
 
@@ -105,7 +128,7 @@ def quarantine(responses: DataFrame) -> DataFrame:
     v = with_validation(explode_departures(responses))
     return v.filter(F.col("reason").isNotNull()).select(
         "requested_station_id", "fetched_at",
-        F.col("d.tripId").alias("trip_id"), "reason")
+        C.member_as("d", "tripId", "string").alias("trip_id"), "reason")
 
 
 def enabled_only(df: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:

@@ -22,7 +22,7 @@ from railyard.schemas import (
 )
 
 # The stored payload's fields.
-_PAYLOAD_COLUMNS = [
+PAYLOAD_COLUMNS = [
     "trip_id", "station_id", "station_name", "line_id", "line_name", "transport_mode",
     "direction", "planned_departure", "actual_departure", "delay_minutes", "platform",
     "planned_platform", "collected_at", "longitude", "latitude",
@@ -160,7 +160,7 @@ def station_history(changelog: DataFrame, station_id: str | None, as_of, minutes
 def departure_records(view: DataFrame) -> DataFrame:
     """stored departure = payload + dedup hash (P15) + score (epoch seconds)."""
     return view.select(
-        *[c for c in _PAYLOAD_COLUMNS if c in view.columns],
+        *[c for c in PAYLOAD_COLUMNS if c in view.columns],
         "collected_at_ts",
         C.dedup_hash(*_IDENTITY_COLUMNS).alias("dedup_hash"),
         (F.unix_micros("collected_at_ts") / F.lit(1e6)).alias("score"),
@@ -183,7 +183,7 @@ def recent_departures(records: DataFrame, k: int = RECENT_DEPARTURES_PER_STATION
     task keeps k members per station before the shuffle, so a station holding
     a third of all rows still sends only those.
     """
-    order = _newest_first() + [F.col(c).desc_nulls_last() for c in _PAYLOAD_COLUMNS if c in records.columns]
+    order = _newest_first() + [F.col(c).desc_nulls_last() for c in PAYLOAD_COLUMNS if c in records.columns]
     w = Window.partitionBy("station_id").orderBy(*order)
     top = records.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k)
     return top.dropDuplicates(["station_id", "rank"])
@@ -201,7 +201,7 @@ def exact_dedup(records: DataFrame) -> DataFrame:
 
 def not_stored(records: DataFrame, stored: DataFrame) -> DataFrame:
     """Those of `records` whose member (hash + full payload) is not among the `stored` ones."""
-    cols = [c for c in [*_PAYLOAD_COLUMNS, "dedup_hash"] if c in records.columns]
+    cols = [c for c in [*PAYLOAD_COLUMNS, "dedup_hash"] if c in records.columns]
     have = stored.select(*[F.col(c).alias(f"_{c}") for c in cols])
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
     return records.join(have, same, "left_anti")

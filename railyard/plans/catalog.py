@@ -167,9 +167,16 @@ def q_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .drop("metric_date"))
 
 
+def doubled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored departures where every tenth event was delivered twice."""
+    topic = fixture_topic(spark, sf_dir)
+    doubled = topic.unionByName(topic.filter(F.col("event_id") % 10 == 0))
+    return ST.departure_records(EN.departure_view(enriched_from_topic(doubled)))
+
+
 def q_recent_departures_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest 50 stored departures per station."""
-    return report(ST.recent_departures(departure_records(spark, sf_dir)))
+    """Newest 50 stored departures per station; a member delivered twice takes one place."""
+    return report(ST.recent_departures(doubled_records(spark, sf_dir)))
 
 
 def q_recent_departures_live(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,10 +186,7 @@ def q_recent_departures_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth event delivered twice; identical members kept once."""
-    topic = fixture_topic(spark, sf_dir)
-    doubled = topic.unionByName(topic.filter(F.col("event_id") % 10 == 0))
-    rec = ST.departure_records(EN.departure_view(enriched_from_topic(doubled)))
-    return report(ST.exact_dedup(rec))
+    return report(ST.exact_dedup(doubled_records(spark, sf_dir)))
 
 
 def q_latest_per_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,11 +240,22 @@ def q_map_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Ingest (S3, P1-P6, FL3-FL5, A20, A21)
 # ---------------------------------------------------------------------------
 
+_LANDED: dict[tuple, str] = {}
+
+
 def polled_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses of the polled (enabled) stations, with the FL3/FL4 perturbation."""
-    obs = FX.perturb_for_validation(FX.observations(spark, sf_dir))
-    return IN.enabled_only(RS.responses_from_observations(obs), FX.stations(spark),
-                           key="requested_station_id")
+    """S3: the JSON responses of the polled (enabled) stations, with the FL3/FL4 perturbation.
+
+    They are landed in the shared folder once per session, as a poller lands them;
+    the ingest queries read the files.
+    """
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _LANDED:
+        obs = FX.perturb_for_validation(FX.observations(spark, sf_dir))
+        path = new_work_dir(spark, "landed-responses")
+        RS.write_responses(RS.responses_from_observations(obs), path)
+        _LANDED[k] = path
+    return IN.enabled_only(RS.read_responses(spark, _LANDED[k]), FX.stations(spark), key="requested_station_id")
 
 
 def q_flatten_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_station_metrics_approx": lambda spark, sf: report(SM.stream_station_metrics_approx(spark, sf)),
     "stream_departures": lambda spark, sf: report(SM.stream_departures(spark, sf)),
     "stream_late_data": lambda spark, sf: report(SM.stream_late_data(spark, sf)),
+    "stream_exact_dedup": lambda spark, sf: report(SM.stream_exact_dedup(spark, sf)),
     "stream_recent_departures": lambda spark, sf: report(SM.stream_recent_departures(spark, sf)),
     "stream_live_departures": lambda spark, sf: report(SM.stream_live_departures(spark, sf)),
     "batch_audit": lambda spark, sf: SM.batch_audit(spark, sf),

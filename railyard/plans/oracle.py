@@ -216,18 +216,21 @@ _VALIDATED = """,
 op AS (
   SELECT * REPLACE (
            CASE WHEN event_id % 50 = 0 THEN 95::double ELSE latitude END AS latitude,
-           CASE WHEN event_id % 70 = 0 THEN NULL ELSE direction END AS direction)
+           CASE WHEN event_id % 70 = 0 THEN NULL ELSE direction END AS direction,
+           CASE WHEN event_id % 190 = 0 THEN cast(event_id AS varchar) ELSE trip_id END AS trip_id)
   FROM obs WHERE enabled),
 ov AS (
   SELECT *,
          CASE WHEN trip_id IS NULL THEN 'tripId: missing'
+              WHEN event_id % 190 = 0 THEN 'tripId: not text'
               WHEN station_id IS NULL THEN 'stop.id: missing'
               WHEN station_name IS NULL THEN 'stop.name: missing'
               WHEN event_id % 170 = 0 THEN 'stop.products: missing'
+              WHEN event_id % 230 = 0 THEN 'stop.products: not a flag'
               WHEN latitude IS NULL THEN 'latitude: missing'
               WHEN longitude IS NULL THEN 'longitude: missing'
               WHEN event_id % 90 = 0 OR event_id % 110 = 0 THEN 'delay: not a whole number'
-              WHEN event_id % 130 = 0 THEN 'cancelled: not a flag'
+              WHEN event_id % 130 = 0 OR event_id % 210 = 0 THEN 'cancelled: not a flag'
               WHEN direction IS NULL THEN 'direction: missing'
               WHEN line_id IS NULL THEN 'line.id: missing'
               WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude: out of range'
@@ -361,6 +364,7 @@ def _stream_sql() -> dict[str, str]:
 def all_sql() -> dict[str, str]:
     sql = {**_other_sql(), **_store_board_sql(), **_stream_sql()}
     sql["export_board"] = sql["station_table"]
+    sql["stream_exact_dedup"] = sql["exact_dedup"]
     sql["stream_recent_departures"] = sql["recent_departures_top50"]
     sql["stream_live_departures"] = sql["recent_departures_live"]
     return sql
@@ -409,7 +413,7 @@ live AS (
 """ + top50.format(src="live"),
         "exact_dedup": "WITH" + doubled + _ENRICHED + _records() + f"\nSELECT DISTINCT {REC_COLS} FROM rec",
         "latest_per_hash": _PROC + _records() + f"""
-SELECT {REC_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY station_id, dedup_hash
+SELECT {REC_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY station_id, planned_departure, direction, line_id, platform
   ORDER BY {_NEWEST}) AS rn FROM rec) WHERE rn = 1""",
         "station_rollup": _ROLL_ALL + f"\nSELECT {ROLLUP_COLS} FROM r",
         "station_rollup_recent": _ROLL_RECENT + f"\nSELECT {ROLLUP_COLS} FROM r",

@@ -48,7 +48,7 @@ def _hour(h: int):
     return F.lit(f"2024-01-01 {h:02d}:00:00").cast("timestamp")
 
 
-def _run(spark: SparkSession, deliveries: list[DataFrame], label: str) -> J.StreamDirs:
+def _run(spark: SparkSession, deliveries: list[DataFrame], label: str, **kw) -> J.StreamDirs:
     dirs = J.StreamDirs.fresh(spark, label)
     saved = spark.conf.get("spark.sql.shuffle.partitions")
     # State partitions are fixed at the first start; the fixture's state is
@@ -57,7 +57,7 @@ def _run(spark: SparkSession, deliveries: list[DataFrame], label: str) -> J.Stre
     try:
         for part in deliveries:
             publish(part, dirs)
-            for q in J.run_available_now(spark, dirs):
+            for q in J.run_available_now(spark, dirs, **kw):
                 _PROGRESS.setdefault(dirs.base, []).extend(
                     {"query": q.name, **p} for p in (q.recentProgress or []))
     finally:
@@ -104,6 +104,20 @@ def late_run(spark: SparkSession, sf_dir: str) -> J.StreamDirs:
     return _RUNS[k]
 
 
+def redelivered_run(spark: SparkSession, sf_dir: str, once: bool) -> J.StreamDirs:
+    """T10 scenario: two deliveries, before and from 12:00; the second, and a third after it,
+    bring every tenth event of the first again. Departures only, each delivery a restart."""
+    k = _key(spark, sf_dir, f"redelivered-{once}")
+    if k not in _RUNS:
+        from railyard.plans.catalog import perturbed_flat
+        flat = perturbed_flat(spark, sf_dir)
+        early = C.parse_ts("collected_at") < _hour(12)
+        again = flat.filter(early & (F.col("event_id") % 10 == 0))
+        parts = [flat.filter(early), flat.filter(F.coalesce(~early, F.lit(True))).unionByName(again), again]
+        _RUNS[k] = _run(spark, parts, "redelivered", which=("departures",), once_within="1 hour" if once else None)
+    return _RUNS[k]
+
+
 def progress_summary(dirs: J.StreamDirs) -> dict:
     """Rows in, batches, peak state rows / bytes and watermark drops per query."""
     out: dict = {}
@@ -144,10 +158,15 @@ def stream_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.drop("batch_id")
 
 
+def stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10 on the stream: members delivered again, over batches and restarts, are stored once."""
+    return J.read_departures(spark, redelivered_run(spark, sf_dir, once=True)).drop("batch_id")
+
+
 def stream_recent_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T9 as the departures sink maintains it: newest 50 per station, read from
-    the last incremental snapshot (late rows included)."""
-    return J.read_recent_departures(spark, late_run(spark, sf_dir))
+    the last incremental snapshot. Members are late and are delivered up to three times."""
+    return J.read_recent_departures(spark, redelivered_run(spark, sf_dir, once=False))
 
 
 def stream_live_departures(spark: SparkSession, sf_dir: str) -> DataFrame:

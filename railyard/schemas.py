@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     TimestampType,
     ArrayType,
     BinaryType,
+    VariantType,
 )
 
 # Transport modes of the source API, and the label for anything else.
@@ -39,22 +40,14 @@ def _s(name, dtype=StringType(), nullable=True):
     return StructField(name, dtype, nullable)
 
 
-# F1 raw_response: one API response per (station, poll). `delay` and `cancelled` are
-# read as text, so that a mistyped value is seen by validation (FL3), not lost.
-LOCATION = StructType([_s("type"), _s("id"), _s("latitude", DoubleType()), _s("longitude", DoubleType())])
-PRODUCTS = StructType([_s(m, BooleanType()) for m in
-                       ["suburban", "subway", "tram", "bus", "ferry", "express", "regional"]])
-STOP = StructType([_s("type"), _s("id"), _s("name"), _s("location", LOCATION), _s("products", PRODUCTS)])
-LINE = StructType([_s("type"), _s("id"), _s("name"), _s("mode"), _s("product")])
-RAW_DEPARTURE = StructType([
-    _s("tripId"), _s("stop", STOP), _s("when"), _s("plannedWhen"), _s("delay"),
-    _s("platform"), _s("plannedPlatform"), _s("direction"), _s("line", LINE),
-    _s("cancelled"),
-])
+# F1 raw_response: one API response per (station, poll). A departure is read as a VARIANT, so
+# that validation (FL3) can tell a missing value, an explicit null and one of another type apart.
 RAW_RESPONSE = StructType([
     _s("requested_station_id"), _s("fetched_at", TimestampType()),
-    _s("departures", ArrayType(RAW_DEPARTURE)),
+    _s("departures", ArrayType(VariantType())),
 ])
+# The product flags of a stop.
+PRODUCT_FLAGS = ["suburban", "subway", "tram", "bus", "ferry", "express", "regional"]
 
 # F3 envelope data: the 15 fields on the topic (no `cancelled`).
 ENVELOPE_DATA_FIELDS = [

@@ -128,13 +128,20 @@ def perturb_for_enrich(flat: DataFrame) -> DataFrame:
 
 def perturb_for_validation(obs: DataFrame) -> DataFrame:
     """FL3/FL4: latitude 95 (event_id % 50 = 0); direction null (% 70); delay of another
-    type (% 90) or with a fraction (% 110); cancelled of another type (% 130); no products (% 170)."""
+    type (% 90) or with a fraction (% 110); cancelled of another type (% 130) or an explicit
+    null (% 210); no products (% 170) or a product flag of another type (% 230); a trip id
+    that is a number (% 190)."""
     e = F.col("event_id")
+    word = F.parse_json(F.lit('"maybe"'))
     return obs.withColumns({
         "latitude": F.when(e % 50 == 0, F.lit(95.0)).otherwise(F.col("latitude")),
         "direction": F.when(e % 70 == 0, F.lit(None).cast("string")).otherwise(F.col("direction")),
-        "delay": F.when(e % 90 == 0, "abc").when(e % 110 == 0, "60.5").otherwise(F.col("delay").cast("string")),
-        "cancelled": F.when(e % 130 == 0, "maybe").otherwise(F.col("cancelled").cast("string")),
+        "raw_trip": F.when(e % 190 == 0, e.cast("variant")).otherwise(F.col("trip_id").cast("variant")),
+        "raw_delay": (F.when(e % 90 == 0, F.parse_json(F.lit('"abc"'))).when(e % 110 == 0, F.parse_json(F.lit("60.5")))
+                      .otherwise(F.col("delay").cast("variant"))),
+        "raw_cancelled": (F.when(e % 130 == 0, word).when(e % 210 == 0, F.parse_json(F.lit("null")))
+                          .otherwise(F.col("cancelled").cast("variant"))),
+        "raw_flag": F.when(e % 230 == 0, word).otherwise((F.lower("product") == "subway").cast("variant")),
         "no_products": e % 170 == 0,
     })
 

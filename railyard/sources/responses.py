@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.schemas import RAW_RESPONSE
+from railyard.schemas import PRODUCT_FLAGS, RAW_RESPONSE
 
 
 def read_responses(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -21,13 +21,16 @@ def read_responses(spark: SparkSession, path: str, streaming: bool = False) -> D
 
 def write_responses(responses: DataFrame, path: str) -> None:
     """Store responses as JSON lines (the form a poller would land them in)."""
-    responses.write.mode("overwrite").json(path)
+    responses.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
 def _raw_departure(obs: DataFrame):
+    """JSON text of an observation's raw departure. Columns raw_* (VARIANT), if there are any, stand for the values as sent."""
+    sent = lambda raw, own: F.col(raw) if raw in obs.columns else F.col(own).cast("variant")
     p = F.lower(F.col("product"))
-    products = F.struct(*[(p == F.lit(m)).alias(m) for m in
-                          ("suburban", "subway", "tram", "bus", "ferry", "express", "regional")])
+    flags = [(p == F.lit(m)).cast("variant") if m != "subway" or "raw_flag" not in obs.columns else F.col("raw_flag")
+             for m in PRODUCT_FLAGS]
+    products = F.struct(*[f.alias(m) for f, m in zip(flags, PRODUCT_FLAGS)])
     location = F.struct(F.lit("location").alias("type"), F.col("station_id").alias("id"),
                         F.col("latitude").alias("latitude"), F.col("longitude").alias("longitude"))
     stop = F.struct(F.lit("stop").alias("type"), F.col("station_id").alias("id"),
@@ -37,12 +40,12 @@ def _raw_departure(obs: DataFrame):
     line = F.struct(F.lit("line").alias("type"), F.col("line_id").alias("id"),
                     F.col("line_name").alias("name"), F.lit("train").alias("mode"),
                     F.col("product").alias("product"))
-    return F.struct(
-        F.col("trip_id").alias("tripId"), stop.alias("stop"),
+    return F.to_json(F.struct(
+        sent("raw_trip", "trip_id").alias("tripId"), stop.alias("stop"),
         F.col("actual_when").alias("when"), F.col("planned_when").alias("plannedWhen"),
-        F.col("delay").cast("string").alias("delay"), F.col("platform").alias("platform"),
+        sent("raw_delay", "delay").alias("delay"), F.col("platform").alias("platform"),
         F.col("planned_platform").alias("plannedPlatform"), F.col("direction").alias("direction"),
-        line.alias("line"), F.col("cancelled").cast("string").alias("cancelled"))
+        line.alias("line"), sent("raw_cancelled", "cancelled").alias("cancelled")))
 
 
 def responses_from_observations(obs: DataFrame) -> DataFrame:
@@ -58,4 +61,5 @@ def responses_from_observations(obs: DataFrame) -> DataFrame:
                 F.struct(F.col("trip_id").alias("_k"), F.col("event_id").alias("_e"),
                          _raw_departure(obs).alias("d")))).alias("_ds"))
             .select("requested_station_id", "fetched_at",
-                    F.transform("_ds", lambda x: x["d"]).alias("departures")))
+                    F.from_json(F.concat(F.lit("["), F.array_join(F.transform("_ds", lambda x: x["d"]), ","), F.lit("]")),
+                                RAW_RESPONSE["departures"].dataType).alias("departures")))

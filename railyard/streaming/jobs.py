@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from railyard.operators import enrich as EN
 from railyard.operators import metrics as M
 from railyard.operators import store as ST
-from railyard.schemas import METRICS_CHANGELOG, STORED_DEPARTURE
+from railyard.schemas import METRICS_CHANGELOG, STORED_DEPARTURE, WATERMARK_DELAY
 from railyard.session import delete_path, ensure_utc, new_work_dir
 from railyard.streaming import manifest as MF
 from railyard.streaming import topic as TP
@@ -73,12 +73,24 @@ class StreamDirs:
 
 
 def enriched_stream(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, watermark: str | None = WATERMARK_DELAY) -> DataFrame:
     """S1 -> P8 -> P9-P13, FL1, FL2 -> T1 watermark (10 minutes)."""
     ensure_utc(spark)
     records = TP.read_topic(spark, dirs.topic, kafka, streaming=True,
                             max_files_per_trigger=max_files_per_trigger)
-    return EN.enrich(EN.decode_envelopes(records))
+    return EN.enrich(EN.decode_envelopes(records), watermark=watermark)
+
+
+def once_each(enriched: DataFrame, within: str) -> DataFrame:
+    """T10 on the stream: a member that is delivered again within `within` of its first delivery goes.
+
+    The watermark is on the record's arrival on the topic, not on `collected_at`: arrival
+    times advance with the stream, so a row that is late by its collection time is kept
+    (T4), and the state holds the members of the last `within` only. Members are told by the
+    whole payload, so the rows of a busy station spread over all state partitions.
+    """
+    return (enriched.withWatermark("kafka_timestamp", within)
+            .dropDuplicatesWithinWatermark(ST.PAYLOAD_COLUMNS))
 
 
 def bounds(low: str, high: str) -> list:
@@ -171,19 +183,23 @@ def start(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
           departures_trigger: str = DEPARTURES_TRIGGER, metrics_trigger: str = METRICS_TRIGGER,
           rsd: float = 0.01, which: tuple[str, ...] = ("departures", "metrics"),
           max_files_per_trigger: int | None = None, window: str = "15 minutes",
-          slide: str | None = None) -> list[StreamingQuery]:
+          slide: str | None = None, once_within: str | None = None) -> list[StreamingQuery]:
     """Start the departures and metrics queries over one enriched stream.
 
     `window` / `slide` set the metrics windows (tumbling 15 minutes by
-    default; a slide gives the sliding variant, T3). State partitions of the
-    metrics query are fixed at its first checkpoint
+    default; a slide gives the sliding variant, T3). With `once_within` ("1 hour",
+    say) the departures query stores a redelivered member once (T10, once_each).
+    State partitions are fixed at the first checkpoint
     from `spark.sql.shuffle.partitions`; size that to the state (windows x
-    stations) before the first start.
+    stations, or members) before the first start.
     """
     enriched = enriched_stream(spark, dirs, kafka, max_files_per_trigger)
     queries = []
     if "departures" in which:
-        w = (EN.departure_view(enriched).writeStream.queryName("departures")
+        rows = enriched
+        if once_within:
+            rows = once_each(enriched_stream(spark, dirs, kafka, max_files_per_trigger, watermark=None), once_within)
+        w = (EN.departure_view(rows).writeStream.queryName("departures")
              .outputMode("append").foreachBatch(departures_writer(dirs))
              .option("checkpointLocation", dirs.checkpoint("departures")))
         queries.append(_in_pool(spark, "departures", _trigger(w, departures_trigger).start))

@@ -62,6 +62,53 @@ def test_fl3_mistyped_values_reject_the_record_alone(spark):
     assert (q["records_found"], q["records_parsed"]) == (9, 3)
 
 
+def test_fl3_missing_null_and_mistyped_are_told_apart(spark):
+    """Records as the API may send them: each member missing, null, or of another type."""
+    def with_(name, path, value):
+        r = json.loads(json.dumps(_raw(name)))
+        at = r
+        *inner, last = path.split(".")
+        for k in inner:
+            at = at[k]
+        if value is ...:
+            at.pop(last, None)
+        else:
+            at[last] = value
+        return r
+    cases = {  # path: value -> reason, or None where the record is valid
+        "tripId": {5: "tripId: not text"},
+        "cancelled": {None: "cancelled: not a flag", ...: None, 1: None, "Yes": None, 0.0: None, 2: "cancelled: not a flag"},
+        "stop.products.bus": {None: "stop.products: not a flag", ...: None, "maybe": "stop.products: not a flag", "off": None},
+        "stop.products": {None: "stop.products: missing", ...: "stop.products: missing", "bus": "stop.products: not a record"},
+        "stop": {"S1": "stop: not a record", ...: "stop: missing"},
+        "stop.type": {...: None, None: "stop.type: not text"},
+        "stop.name": {7: "stop.name: not text", None: "stop.name: missing"},
+        "stop.location.latitude": {"52.5": None, "north": "latitude: not a number", None: "latitude: missing", ...: "latitude: missing"},
+        "when": {None: None, ...: None, "later": "when: not a time", 1704103200: None},
+        "plannedWhen": {...: "plannedWhen: missing", 1704103200: None, True: "plannedWhen: not a time"},
+        "delay": {None: None, ...: None, "x": "delay: not a whole number", True: None},
+        "platform": {3: "platform: not text", None: None, ...: None, "": None},
+        "line.product": {...: "line.product: missing", 1: "line.product: not text"},
+        "line": {None: "line: missing"},
+    }
+    sent, want = ["no record at all", 5], {}
+    for path, values in cases.items():
+        for k, (value, reason) in enumerate(values.items()):
+            name = f"{path}-{k}" if path != "tripId" else value
+            sent.append(with_(name, path, value))
+            want[str(name)] = reason
+    df = _responses(spark, [{"requested_station_id": "900000001", "fetched_at": "2024-01-01T10:00:00Z", "departures": sent}])
+    bad = IN.quarantine(df).collect()
+    assert {r["trip_id"]: r["reason"] for r in bad if r["trip_id"]} == {k: v for k, v in want.items() if v}
+    assert [r["reason"] for r in bad if not r["trip_id"]] == ["not a record"] * 2
+    flat = {r["trip_id"]: r for r in IN.flatten_departures(df).collect()}
+    assert set(flat) == {k for k, v in want.items() if not v}
+    assert flat["plannedWhen-1"]["planned_departure"] == flat["when-3"]["actual_departure"] == BASE.replace(tzinfo=None)
+    assert flat["delay-3"]["delay_minutes"] == 1 / 60 and flat["cancelled-1"]["cancelled"] is False
+    q = IN.ingest_quality(df).first()
+    assert (q["records_found"], q["records_parsed"]) == (len(sent), len(flat))
+
+
 def test_c22_zero_parsed_is_failed_poll(spark):
     resp = [{"requested_station_id": "900000001", "fetched_at": "2024-01-01T10:00:01Z",
              "departures": [_raw("ok")]},

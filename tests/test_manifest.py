@@ -118,3 +118,35 @@ def test_store_queries_do_not_decode_the_topic(spark):
     assert K.metrics_store(spark, sf).count() > 0
     want = K.enriched_rows(spark, sf).agg(F.max(F.unix_micros("collected_at_ts"))).first()[0]
     assert spark.range(1).select(F.unix_micros(K.store_as_of(spark, sf))).first()[0] == want
+
+
+# --- T10 on the stream -----------------------------------------------------------
+
+def _arrive(spark, dirs, rows, at):
+    from railyard.operators import enrich as EN
+    from railyard.streaming import topic as TP
+    TP.write_topic(EN.encode_envelopes(flat_df(spark, rows), record_ts=F.lit(at).cast("timestamp")), dirs.topic)
+    (q,) = J.run_available_now(spark, dirs, which=("departures",), once_within="1 hour")
+    return sum(o["numRowsTotal"] for p in q.recentProgress[-1:] for o in p["stateOperators"])
+
+
+def test_redelivered_members_are_stored_once_and_state_is_bounded(spark):
+    dirs = J.StreamDirs.fresh(spark, "once")
+    first = [dep(trip="a"), dep(trip="b"), dep(trip="b")]  # twice in one batch
+    _arrive(spark, dirs, first, "2024-01-01 10:00:00")
+    # again after a restart, with one late by its collection time and a repeat poll (another member)
+    _arrive(spark, dirs, [dep(trip="a"), dep(trip="old", collected=BASE - minutes(600)), dep(trip="a", collected=BASE + minutes(1))], "2024-01-01 10:30:00")
+    assert sorted(r.trip_id for r in J.read_departures(spark, dirs).collect()) == ["a", "a", "b", "old"]
+    _arrive(spark, dirs, [dep(trip="c")], "2024-01-01 20:00:00")
+    kept = _arrive(spark, dirs, [dep(trip="d")], "2024-01-01 20:00:01")
+    assert kept <= 2  # the members of the morning are forgotten
+    assert J.read_departures(spark, dirs).count() == 6
+
+
+def test_without_the_option_redeliveries_are_kept(spark):
+    dirs = J.StreamDirs.fresh(spark, "twice")
+    for _ in range(2):
+        SM.publish(flat_df(spark, [dep(trip="a")]), dirs)
+        J.run_available_now(spark, dirs, which=("departures",))
+    assert J.read_departures(spark, dirs).count() == 2
+    assert J.read_recent_departures(spark, dirs).count() == 1
