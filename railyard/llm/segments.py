@@ -23,6 +23,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 from itertools import chain
 
 import numpy as np
@@ -36,7 +38,7 @@ _ODD = f"[ {_WHITE}] |^[ {_WHITE}]"
 _CUT = re.compile(f"(?<=[^ {_WHITE}]) ")
 _ALONE = f"^$|[ {_WHITE}]$"
 #: Segments and token ids remembered at most, beyond those of the texts at hand.
-ENTRIES, IDS = 250_000, 2_500_000
+ENTRIES, IDS = 600_000, 6_000_000
 #: Segments encoded as one text.
 JOINED = 256
 
@@ -256,6 +258,17 @@ class SegmentEncoder:
         return self.ids.gather(i), np.concatenate(([0], np.cumsum(self.ids.sizes(i))))[at]
 
 
+def kept(key: tuple, make):
+    """An encoder that a Python worker keeps from task to task, with what it remembers.
+
+    The functions of this package travel by value, so its own globals live for one task only.
+    """
+    worker = sys.modules.setdefault("_kept_by_this_worker", types.ModuleType("_kept_by_this_worker")).__dict__
+    if key not in worker:
+        worker[key] = make()
+    return worker[key]
+
+
 def slices(column: pa.Array, most: int = 4_000_000):
     """Parts of a string column of about `most` bytes each, a longer text alone, nulls as empty texts."""
     column = column.cast(pa.string()).fill_null("")

@@ -1,7 +1,8 @@
 """Exact token counts of whole texts, huge ones in overlapping chunks (operator 3).
 
-A text longer than `chunk` characters is cut into chunks that overlap by
-`overlap` characters, each encoded on its own with offsets, in parallel. Two
+A text longer than `chunk` + `overlap` characters is cut into chunks that overlap by
+`overlap` characters, each encoded on its own with offsets, in parallel. Shorter texts
+are encoded whole, their repeated segments once (segments.py). Two
 neighbours are spliced at a boundary proven stable:
 
 * The pre-tokenizer cuts a text from left to right into pieces, and tokens never
@@ -20,40 +21,23 @@ whole. Counts are therefore those of the whole text.
 
 from __future__ import annotations
 
-import os
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railyard.llm.common import materialise
+from railyard.llm.segments import SegmentEncoder, kept, slices, tokenizer
 
 #: No special token of the supported files is longer, and a piece's extent is
 #: decided by at most this many characters beyond its end.
 GUARD = 64
-_OPEN: dict = {}
+#: Characters of the parts that leave a cut at once.
+YIELD = 8_000_000
 
 
 def _tokenizer(path: str):
     """The library's encoder for a vocabulary file, once per Python worker."""
-    if path not in _OPEN:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path.endswith(".model"):
-            import sentencepiece
-            _OPEN[path] = sentencepiece.SentencePieceProcessor(model_file=path)
-        else:
-            from tokenizers import Tokenizer
-            t = Tokenizer.from_file(path)
-            t.no_truncation(), t.no_padding()
-            _OPEN[path] = t
-    return _OPEN[path]
-
-
-def count_whole(path: str, texts: list[str]) -> list[int]:
-    t = _tokenizer(path)
-    if path.endswith(".model"):
-        return [len(x) for x in t.encode(texts, num_threads=1)]
-    return [len(x.ids) for x in t.encode_batch_fast(texts, add_special_tokens=False)]
+    return kept(("tokenizer", path), lambda: tokenizer(path))
 
 
 def piece_starts(path: str, text: str) -> tuple[list[int], list[int]]:
@@ -71,53 +55,65 @@ def piece_starts(path: str, text: str) -> tuple[list[int], list[int]]:
     return starts, [*before, len(e.ids)]
 
 
-def _counter(path: str):
+def _whole_counter(path: str):
+    """Token counts of whole texts."""
+    def run(batches):
+        enc = kept(("segments", path), lambda: SegmentEncoder(path))
+        for rb in batches:
+            for at, texts in slices(rb.column("text")):
+                yield pa.RecordBatch.from_arrays(
+                    [rb.column(0).slice(at, len(texts)), rb.column(1).slice(at, len(texts)), pa.array(enc.counts(texts), pa.int64())],
+                    ["doc_id", "n_bytes", "n_tokens"])
+    return run
+
+
+def _part_counter(path: str):
+    """Per part of a text: its tokens, and the piece starts in its overlaps with the tokens before each."""
     def run(batches):
+        ints, lists = pa.int64(), pa.list_(pa.int64())
         for rb in batches:
-            texts = rb.column("piece").to_pylist()
-            n: list = [None] * len(texts)
-            left: list = [[] for _ in texts]
-            left_n: list = [[] for _ in texts]
-            right: list = [[] for _ in texts]
-            right_n: list = [[] for _ in texts]
-            starts, parts, overlaps = (rb.column(c).to_pylist() for c in ("start", "parts", "overlap"))
-            parts_no = rb.column("part").to_pylist()
-            whole = [i for i, k in enumerate(parts) if k == 1]
-            for i0 in range(0, len(whole), 256):
-                some = whole[i0:i0 + 256]
-                for i, c in zip(some, count_whole(path, [texts[i] for i in some])):
-                    n[i] = c
-            for i, k in enumerate(parts):
-                if k == 1:
-                    continue
-                at, before = piece_starts(path, texts[i])
-                size, over = len(texts[i]), overlaps[i]
-                n[i] = before[-1]
-                if parts_no[i] > 0:
-                    use = [j for j, p in enumerate(at) if GUARD <= p <= over - GUARD]
-                    left[i], left_n[i] = [starts[i] + at[j] for j in use], [before[j] for j in use]
-                if parts_no[i] < k - 1:
-                    use = [j for j, p in enumerate(at[:-1]) if size - over + GUARD <= p <= size - GUARD]
-                    right[i], right_n[i] = [starts[i] + at[j] for j in use], [before[j] for j in use]
-            ints, lists = pa.int64(), pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [rb.column("row"), rb.column("part"), rb.column("parts"), pa.array(n, ints), pa.array(left, lists),
-                 pa.array(left_n, lists), pa.array(right, lists), pa.array(right_n, lists)],
-                ["row", "part", "parts", "n", "left", "left_n", "right", "right_n"])
+            rows: list = []
+            for row, part, parts, over, start, text in zip(*(rb.column(c) for c in range(6))):
+                part, parts, over, start, text = (x.as_py() for x in (part, parts, over, start, text))
+                at, before = piece_starts(path, text)
+                size, left, right = len(text), [], []
+                if part > 0:
+                    left = [j for j, p in enumerate(at) if GUARD <= p <= over - GUARD]
+                if part < parts - 1:
+                    right = [j for j, p in enumerate(at[:-1]) if size - over + GUARD <= p <= size - GUARD]
+                rows.append((row.as_py(), part, parts, before[-1], [start + at[j] for j in left], [before[j] for j in left],
+                             [start + at[j] for j in right], [before[j] for j in right]))
+            kinds = (pa.string(), pa.int32(), pa.int32(), ints, lists, lists, lists, lists)
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)],
+                                             ["row", "part", "parts", "n", "left", "left_n", "right", "right_n"])
     return run
 
 
-def _chunks(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """Rows (row, text) cut into parts; a part starts `chunk` characters after the one before."""
-    size = F.char_length("text")
-    parts = F.when(size <= chunk + overlap, 1).otherwise(F.ceil((size - overlap) / chunk)).cast("int")
-    # each part is cut off its text with one pass, where the rows are, before any shuffle
-    cut = (rows.select("row", "text", parts.alias("parts"))
-           .select("row", "text", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
-    return cut.select("row", "part", "parts", F.lit(overlap).alias("overlap"),
-                      (F.col("part").cast("long") * chunk).alias("start"),
-                      F.when(F.col("parts") == 1, F.col("text"))
-                      .otherwise(F.substring("text", F.col("part") * chunk + 1, F.lit(chunk + overlap))).alias("piece"))
+def _cutter(chunk: int, overlap: int):
+    """Parts of texts: a part starts `chunk` characters after the one before and reaches `overlap` into the next.
+
+    Each text is sliced once; a part travels without the text beside it.
+    """
+    def batch(rows):
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)],
+                                          ["row", "part", "parts", "overlap", "start", "piece"])
+
+    def run(batches):
+        rows, held = [], 0
+        for rb in batches:
+            for row, text in zip(rb.column("row"), rb.column("text")):
+                row, text = row.as_py(), text.as_py()
+                parts = 1 if len(text) <= chunk + overlap else -(-(len(text) - overlap) // chunk)
+                for k in range(parts):
+                    rows.append((row, k, parts, overlap, k * chunk, text[k * chunk:(k + 1) * chunk + overlap] if parts > 1 else text))
+                    held += len(rows[-1][-1])
+                    if held >= YIELD:
+                        yield batch(rows)
+                        rows, held = [], 0
+        if rows:
+            yield batch(rows)
+    return run
 
 
 def _spliced(counted: DataFrame) -> DataFrame:
@@ -136,44 +132,41 @@ def _spliced(counted: DataFrame) -> DataFrame:
     return j.groupBy("row").agg(F.when(F.count("share") == F.count(F.lit(1)), F.sum("share")).alias("n_tokens"))
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 1024, chunk: int = 32768, overlap: int = 1024,
+def token_counts(docs: DataFrame, path: str, limit: int = 1024, chunk: int = 24576, overlap: int = 1024,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
     `path` is a vocabulary file: .json for the tokenizers library, .model for
-    sentencepiece (whose pieces carry no offsets by word: always encoded
-    whole). Neither begin, end nor other added tokens are counted; special strings
+    sentencepiece (whose pieces carry no offsets by word: never cut into
+    chunks). Neither begin, end nor other added tokens are counted; special strings
     inside texts are treated as the library does by default.
 
     Defined cases: a null text counts as empty (0 bytes, 0 tokens). Repeated
     rows and repeated or null ids each get their row. Other columns are ignored.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    base = base.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
+    out = "doc_id bigint, n_bytes bigint, n_tokens bigint"
+    over_limit = (F.col("n_tokens") > limit).alias("over_limit")
     if path.endswith(".model"):
-        chunk = 1 << 30
+        return base.mapInArrow(_whole_counter(path), out).select("*", over_limit)
     small = F.char_length("text") <= chunk + overlap
-    one = lambda d: d.select(F.col("row"), F.lit(0).alias("part"), F.lit(1).alias("parts"), F.lit(0).alias("overlap"),
-                             F.lit(0).cast("long").alias("start"), F.col("text").alias("piece"))
-    schema = "row struct<doc_id:bigint,n_bytes:bigint>, part int, parts int, n bigint, left array<bigint>, left_n array<bigint>, right array<bigint>, right_n array<bigint>"
-    keyed = base.select(F.struct("doc_id", F.octet_length("text").cast("long").alias("n_bytes")).alias("row"), "text")
-    done = one(keyed.where(small)).mapInArrow(_counter(path), schema).select("row.doc_id", "row.n_bytes", F.col("n").alias("n_tokens"))
-
-    # Long texts: equal texts are encoded once, known by their digest.
-    huge = base.where(~small).withColumn("digest", F.sha2("text", 256))
-    key = schema.replace("row struct<doc_id:bigint,n_bytes:bigint>", "row string")
-    todo = huge.groupBy(F.col("digest").alias("row")).agg(F.any_value("text").alias("text"))
-    counts = None
+    done = base.where(small).mapInArrow(_whole_counter(path), out)
+
+    # Long texts are known by their digest; equal parts of equal texts are encoded once.
+    huge = base.where(~small).withColumn("row", F.sha2("text", 256))
+    todo, counts = huge.select("row", "text"), None
     while True:
-        parts = _chunks(todo, chunk, overlap).repartition(F.col("row"), F.col("part"))
-        got = materialise(_spliced(parts.mapInArrow(_counter(path), key)), "token-counts")
+        parts = todo.mapInArrow(_cutter(chunk, overlap), "row string, part int, parts int, overlap int, start bigint, piece string")
+        parts = parts.dropDuplicates(["row", "part"])  # deals the parts of one text to many tasks as well
+        counted = parts.mapInArrow(_part_counter(path), "row string, part int, parts int, n bigint, left array<bigint>, left_n array<bigint>, right array<bigint>, right_n array<bigint>")
+        got = materialise(_spliced(counted), "token-counts")
         good = got.where("n_tokens is not null")
         counts = good if counts is None else counts.unionByName(good)
         failed = got.where("n_tokens is null").select("row")
         if not failed.limit(1).count():
             break
-        todo = (huge.join(failed, F.col("digest") == F.col("row"), "left_semi")
-                .groupBy(F.col("digest").alias("row")).agg(F.any_value("text").alias("text")))
+        todo = huge.select("row", "text").join(failed, "row", "left_semi")
         chunk, overlap = chunk * 4, overlap * 4
-    long_ = (huge.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.col("digest").alias("row"))
-             .join(counts, "row").select("doc_id", "n_bytes", "n_tokens"))
-    return done.unionByName(long_).withColumn("over_limit", F.col("n_tokens") > limit)
+    long_ = huge.select("doc_id", "n_bytes", "row").join(counts, "row").select("doc_id", "n_bytes", "n_tokens")
+    return done.unionByName(long_).select("*", over_limit)
