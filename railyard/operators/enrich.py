@@ -7,7 +7,7 @@ whole-stage-codegen stage after the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
@@ -79,10 +79,22 @@ def decode_envelopes(records: DataFrame) -> DataFrame:
     )
 
 
-def enrich(decoded: DataFrame, with_clock: bool = False, watermark: str | None = WATERMARK_DELAY) -> DataFrame:
+def usable() -> Column:
+    """FL1, FL2: station, trip and line are there, and the collection time could be parsed."""
+    return (F.col("station_id").isNotNull() & F.col("trip_id").isNotNull()
+            & F.col("line_id").isNotNull() & F.col("collected_at_ts").isNotNull())
+
+
+def malformed() -> Column:
+    """Rows whose message gave nothing at all (no JSON, or not an envelope)."""
+    return F.col("station_id").isNull() & F.col("trip_id").isNull() & F.col("line_id").isNull() & F.col("collected_at").isNull()
+
+
+def enrich(decoded: DataFrame, with_clock: bool = False, watermark: str | None = WATERMARK_DELAY,
+           usable_only: bool = True) -> DataFrame:
     """P9-P13, FL1, FL2, T1: parse times, add the three flags, drop unusable rows.
 
-    `current_time` (P10) is processing time; it is only added on request
+    With `usable_only=False` these stay, for a sink that counts them. `current_time` (P10) is processing time; it is only added on request
     because no output uses it and it makes results non-deterministic.
     """
     cols = {
@@ -95,12 +107,9 @@ def enrich(decoded: DataFrame, with_clock: bool = False, watermark: str | None =
     }
     if with_clock:
         cols["current_time"] = F.current_timestamp()
-    out = decoded.withColumns(cols).filter(
-        F.col("station_id").isNotNull()
-        & F.col("trip_id").isNotNull()
-        & F.col("line_id").isNotNull()
-        & F.col("collected_at_ts").isNotNull()
-    )
+    out = decoded.withColumns(cols)
+    if usable_only:
+        out = out.filter(usable())
     if watermark:
         out = out.withWatermark("collected_at_ts", watermark)
     return out

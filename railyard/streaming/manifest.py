@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from railyard.session import delete_path, list_path
 
 SCHEMA = ("commit string, kind string, run string, run_no long, batch_id long, position long, path string, snapshot string, "
-          "rows_in long, rows_stored long, min_event_us long, max_event_us long")
+          "rows_read long, rows_malformed long, rows_stored long, min_event_us long, max_event_us long, max_lag_us long")
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 #: Places of one run's batches in the order of all commits.
 RUN_STRIDE = 1 << 40
@@ -80,7 +80,8 @@ class Manifest:
     def publish(self, spark: SparkSession, kind: str, at: Attempt, path: str | None, snapshot: str | None = None, counts: dict | None = None) -> None:
         counts = counts or {}
         row = (f"{kind}-{at.run_no}-{at.batch_id}", kind, at.run, at.run_no, at.batch_id, at.position, path, snapshot,
-               int(counts.get("rows_in") or 0), int(counts.get("rows_stored") or 0), counts.get("min_event_us"), counts.get("max_event_us"))
+               *(int(counts.get(c) or 0) for c in ("rows_read", "rows_malformed", "rows_stored")),
+               counts.get("min_event_us"), counts.get("max_event_us"), counts.get("max_lag_us"))
         (spark.createDataFrame([row], SCHEMA).coalesce(1)
          .write.parquet(f"{self.path}/{kind}-{at.position:015d}-{uuid.uuid4().hex[:12]}"))
 

@@ -174,7 +174,7 @@ def test_restart_resumes_from_checkpoint(spark):
     assert J.read_departures(spark, dirs).count() == 2
     cur = SM._latest_metrics(spark, dirs).collect()
     assert len(cur) == 1 and cur[0]["total_records"] == 2
-    audit = J.read_audit(spark, dirs).filter("query = 'departures'").agg(F.sum("rows_in")).first()[0]
+    audit = J.read_audit(spark, dirs).filter("query = 'departures'").agg(F.sum("rows_read")).first()[0]
     assert audit == 2
 
 

@@ -150,3 +150,35 @@ def test_without_the_option_redeliveries_are_kept(spark):
         J.run_available_now(spark, dirs, which=("departures",))
     assert J.read_departures(spark, dirs).count() == 2
     assert J.read_recent_departures(spark, dirs).count() == 1
+
+
+# --- A22, T17: what a batch read, rejected and stored ---------------------------------
+
+def test_audit_counts_rejected_rows(spark):
+    from railyard.operators import enrich as EN
+    from railyard.streaming import topic as TP
+    dirs = J.StreamDirs.fresh(spark, "audit")
+    good = [dep(trip="a"), dep(trip="b", collected=BASE + minutes(1))]
+    bad = [dep(trip="c", line=None), dep(trip="d", collected="garbage"), dep(trip=None)]
+    rows = EN.encode_envelopes(flat_df(spark, good + bad))
+    junk = rows.limit(2).withColumn("value", F.lit("not json").cast("binary"))
+    TP.write_topic(rows.unionByName(junk).coalesce(1), dirs.topic)
+    J.run_available_now(spark, dirs, which=("departures",))
+    (r,) = J.read_audit(spark, dirs).collect()
+    assert (r.rows_read, r.rows_malformed, r.rows_rejected, r.rows_stored) == (7, 2, 5, 2)
+    assert r.max_lag_sec > 0 and r.min_event_time < r.max_event_time
+    assert J.read_departures(spark, dirs).count() == 2
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    from railyard.operators import metrics as M
+    rows = [dep(trip=f"t{i}", station=f"90000000{i % 2}", delay=None if i % 7 == 0 else float(i * 37 % 501), collected=BASE + minutes(i % 180))
+            for i in range(3000)]
+    e = enriched(spark, rows)
+    sketches = M.delay_sketches(e)
+    assert sketches.count() == 24 and sketches.agg(F.sum("records")).first()[0] == sum(r["delay_minutes"] is not None for r in rows)
+    got = M.rank_bounds(e, M.merged_percentiles(sketches)).collect()
+    assert len(got) == 6
+    assert all(r.share_below <= r["quantile"] + K.RANK_ERROR and r.share_upto >= r["quantile"] - K.RANK_ERROR for r in got)
+    nothing = M.delay_sketches(enriched(spark, [dep(delay=None)]))
+    assert nothing.count() == 0 and M.merged_percentiles(nothing).count() == 0
