@@ -7,11 +7,11 @@ rule runs on exploded rows (flatten / quarantine) and inside a higher-order
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
-from railyard.schemas import PRODUCT_FLAGS
+from railyard.schemas import ENABLED_STATIONS, PRODUCT_FLAGS, STATIONS
 
 
 def _missing(d: Column, path: str) -> Column:
@@ -131,14 +131,21 @@ def quarantine(responses: DataFrame) -> DataFrame:
         C.member_as("d", "tripId", "string").alias("trip_id"), "reason")
 
 
-def enabled_only(df: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
-    """FL5: keep rows of enabled stations.
+def configured_stations(spark: SparkSession) -> DataFrame:
+    """F8: the configured station list, all enabled."""
+    return spark.createDataFrame([(s, True) for s in ENABLED_STATIONS], STATIONS)
+
+
+def enabled_only(df: DataFrame, stations: DataFrame | None = None, key: str = "station_id") -> DataFrame:
+    """FL5: keep rows of enabled stations; of the configured ones if no list is given.
 
     The station list is configuration (one row per polled station); it is
     broadcast when its estimated size is within the limit, so the semi-join
     runs map-side with no shuffle of `df`, and planned as a shuffle join
     otherwise.
     """
+    if stations is None:
+        stations = configured_stations(df.sparkSession)
     allow = stations.filter("enabled").select(F.col("station_id").alias(key))
     return df.join(allow, key, "left_semi")
 

@@ -2,9 +2,10 @@
 network-level aggregates built on it (A16-A18).
 
 One `groupBy(station_id)` does the whole roll-up: sums, weighted mean, max,
-window range and the latest window's attributes (via `max_by`), so the plan
-is a single partial + final hash aggregation. The roll-up has one row per
-station, so the network aggregates that follow are tiny global aggregates.
+window range and the latest window's attributes (via `max_by` on a struct,
+which makes it a sort aggregation), partial before the shuffle and final after
+it. The roll-up has one row per station, so the network aggregates that follow
+are tiny global aggregates.
 """
 
 from __future__ import annotations

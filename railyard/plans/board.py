@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 from railyard.functions import columns as C
 from railyard.operators import rollup as R
 from railyard.operators import store as ST
-
-
-def network_kpis(rollup: DataFrame) -> DataFrame:
-    """V1: three KPIs and the delay status dot."""
-    return R.network_kpis(rollup)
+from railyard.operators.rollup import coverage, leaders, network_kpis  # V5, V3, V1
 
 
 def map_markers(rollup: DataFrame) -> DataFrame:
@@ -28,11 +24,6 @@ def map_markers(rollup: DataFrame) -> DataFrame:
         "windows_count")
 
 
-def leaders(rollup: DataFrame) -> DataFrame:
-    """V3: best, worst and busiest station."""
-    return R.leaders(rollup)
-
-
 def station_table(rollup: DataFrame) -> DataFrame:
     """V4: the eight table columns, ordered by average delay."""
     avg = C.round_dp("avg_delay", 1)
@@ -49,11 +40,6 @@ def station_table(rollup: DataFrame) -> DataFrame:
     ).orderBy(F.col("avg_delay_min").desc(), F.col("station_id"))
 
 
-def coverage(rollup: DataFrame, minutes_back: int) -> DataFrame:
-    """V5: window coverage against the expected count for the lookback."""
-    return R.coverage(rollup, minutes_back)
-
-
 def export_board(table: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write the station table (distributed write; header for CSV)."""
     w = table.write.mode("overwrite")

@@ -212,6 +212,13 @@ def q_station_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(rollup_all(spark, sf_dir))
 
 
+def q_station_rollup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest window's whole row as text, read back."""
+    roll = R.station_rollup(ST.current_metrics(metrics_store(spark, sf_dir), as_of=None), with_raw=True)
+    fields = "station_name string, window_key long, total_records long, avg_delay double, on_time_pct double"
+    return roll.select("station_id", F.from_json("raw_metric", fields).alias("m")).select("station_id", "m.*")
+
+
 def q_station_rollup_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(rollup_recent(spark, sf_dir))
 
@@ -408,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exact_dedup": q_exact_dedup,
     "latest_per_hash": q_latest_per_hash,
     "station_rollup": q_station_rollup,
+    "station_rollup_raw": q_station_rollup_raw,
     "station_rollup_recent": q_station_rollup_recent,
     "network_kpis": q_network_kpis,
     "coverage": q_coverage,

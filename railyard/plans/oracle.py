@@ -427,6 +427,11 @@ live AS (
 SELECT {REC_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY station_id, planned_departure, direction, line_id, platform
   ORDER BY {_NEWEST}) AS rn FROM rec) WHERE rn = 1""",
         "station_rollup": _ROLL_ALL + f"\nSELECT {ROLLUP_COLS} FROM r",
+        "station_rollup_raw": _ROLL_ALL + """
+SELECT r.station_id, snap.station_name, snap.window_key, snap.total_records, snap.avg_delay, snap.on_time_pct
+FROM r JOIN snap ON snap.station_id = r.station_id
+JOIN (SELECT station_id, max(window_start) AS newest FROM snap GROUP BY station_id) n
+  ON n.station_id = snap.station_id AND n.newest = snap.window_start""",
         "station_rollup_recent": _ROLL_RECENT + f"\nSELECT {ROLLUP_COLS} FROM r",
         "network_kpis": _ROLL_ALL + f"""
 SELECT count(*) AS active_stations, {_r('avg(avg_delay)', 2)} AS avg_delay,

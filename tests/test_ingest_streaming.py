@@ -143,6 +143,11 @@ def test_enabled_only_semi_join_broadcasts(spark):
         "BroadcastHashJoin" in out._jdf.queryExecution().toString()
 
 
+def test_enabled_only_defaults_to_the_configured_stations(spark):
+    rows = spark.createDataFrame([("900100003",), ("900000001",), (None,)], "station_id string")
+    assert [r.station_id for r in IN.enabled_only(rows).collect()] == ["900100003"]
+
+
 def test_c17_late_row_dropped_from_metrics_kept_in_departures(spark):
     dirs = J.StreamDirs.fresh(spark, "late-unit")
     batches = [[dep(trip="a", collected=BASE)],                              # 10:00
