@@ -4,9 +4,14 @@ A text becomes its template: numbers, names and units of measure are replaced by
 typed placeholders, everything else is lower-cased and freed of punctuation.
 Windows of template words are joined by hash with those of the benchmark, so a
 question asked again with other numbers or names still matches. What stood in
-the placeholders must then fit: over the counted windows of one occurrence of an
-item, each value of the item stands for one value of the document. Windows that
-repeat the item's own values, in any case, count whatever the others hold.
+the placeholders must then fit. Windows that repeat the item's own values, in any case,
+count on their own. Of the other windows of one occurrence of an item, those count in
+which each value of the item stands for the value it most often stands for in that
+occurrence; and only if they are at least half of them, and not a lone one
+where the item has more.
+
+Clean texts are not shuffled: a Bloom filter over the benchmark's probes is looked up
+where the texts are, and only the texts that pass it go on.
 
 What a name is cannot be told from one text, so each text has three templates:
 without names, with the capitalised words inside sentences as names, and with
@@ -98,116 +103,189 @@ def _enough(window: F.Column) -> F.Column:
     return 2 * _literals(window) >= F.size(window)
 
 
-def _counted() -> F.Column:
-    """Of `hits` (other, at, slots), sorted: the places counted and their slot values.
+#: Shares of the documents with one text, so that very many copies are no one task's.
+SHARES = 16
+
+
+def _place(h, n_words: int) -> tuple[F.Column, F.Column]:
+    """Of a hash: its word in a filter of `n_words` 64-bit words, and three bits of that word."""
+    one = F.lit(1).cast("long")
+    bit = lambda n: F.call_function("shiftleft", one, F.shiftrightunsigned(h, n).bitwiseAND(F.lit(63)).cast("int"))
+    return F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(n_words - 1)).cast("int"), bit(0).bitwiseOR(bit(6)).bitwiseOR(bit(12))
+
 
-    Windows with the item's own values come first and all count; each other one
-    counts unless a value of the item stands for a second value of the document,
-    within it or beside the windows counted so far.
+def _filter_words(keys: DataFrame, n_keys: int) -> tuple[F.Column, int]:
+    """A Bloom filter of column h of `keys` as an array of words (a scalar subquery), and their number.
+
+    Two to four words a key, so a hash that is no key passes with probability of about 5e-5.
     """
-    conflict = lambda x, y: (x.kind == y.kind) & (x.item == y.item) & (x.doc != y.doc)
+    n_words = max(1024, 1 << (2 * n_keys - 1).bit_length())
+    word, bits = _place(F.col("h"), n_words)
+    set_ = keys.groupBy(word.cast("long").alias("w")).agg(F.bit_or(bits).alias("v"))
+    all_ = keys.sparkSession.range(n_words).select(F.col("id").alias("w")).join(set_, "w", "left").select("w", F.coalesce("v", F.lit(0)).cast("long").alias("v"))
+    words_ = materialise(all_, "benchmark-filter", n_words)
+    return words_.agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "v"))), lambda s: s.v)).scalar(), n_words
+
+
+def _passes(hashes, words_, n_words: int) -> F.Column:
+    """Whether one of the hashes may be a key. The filter is referred to once, so it is never copied into a row."""
+    def test(h):
+        word, bits = _place(h, n_words)
+        return F.bitwise_not(F.get(words_, word)).bitwiseAND(bits) == 0
+    return F.exists(hashes, test)
+
 
-    def step(s, hit):
-        both = F.array_union(s["s"], hit["slots"])
-        fits = ~hit["other"] | ~F.exists(hit["slots"], lambda x: F.exists(both, lambda y: conflict(x, y)))
-        return F.when(fits, F.struct(F.array_union(s["at"], F.array(hit["at"])).alias("at"), both.alias("s"))).otherwise(s)
+def _digest(text) -> F.Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+class _Benchmark:
+    """The written windows of the benchmark, and the probes by which texts that may hold one are told.
+
+    Any k words in a row hold a run of `probe` words that starts at a multiple of
+    k - probe + 1. So a document without a probe of the benchmark at these places has no
+    window of it either.
+    """
 
-    kinds = "array<struct<kind:string,item:string,doc:string>>"
-    start = F.struct(F.array().cast("array<int>").alias("at"), F.array().cast(kinds).alias("s"))
-    return F.aggregate("hits", start, step)
+    def __init__(self, benchmark: DataFrame, window: int, min_words: int, max_broadcast: int):
+        items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+        items = _all_templates(items, "item_id").where(F.size("t") >= min_words)
+        size = F.least(F.size("t"), F.lit(window))
+        self.items = materialise(items, "benchmark-templates")
+        grams = (self.items.select("*", size.alias("k"))
+                 .select("*", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("k") + 1)).alias("at"))
+                 .select("item_id", "k", "at", "first", F.slice("t", F.col("at"), F.col("k")).alias("w"), F.slice("raw", F.col("at"), F.col("k")).alias("v")))
+        # with too few words the words themselves are searched, found by probes of the first template
+        grams = materialise(grams.where(F.col("first") | _enough(F.col("w"))), "benchmark-windows")
+        shown = F.when(_enough(F.col("w")), F.col("w")).otherwise(F.col("v"))
+        self.wanted = materialise(grams.select("item_id", "k", "at", F.xxhash64(shown).alias("h"), shown.alias("shown"), "w", "v").distinct(), "benchmark-keys")
+        self.lengths = sorted(r.k for r in grams.select("k").distinct().collect())  # at most `window` - `min_words` + 1 numbers
+        self.windows = self.items.groupBy(F.col("item_id").alias("i")).agg(F.max(F.size("t") - size + 1).alias("of"))
+        if not self.lengths:
+            return
+        self.keys = self.wanted.select("k", "h").distinct()
+        self.small = self.keys.count() <= max_broadcast
+        self.probe = min(PROBE, self.lengths[0])
+        self.stride = self.lengths[0] - self.probe + 1
+        self.probes = materialise(grams.select(F.explode(_window_hashes("w", self.probe)).alias("h")).distinct(), "benchmark-probes")
+        n = self.probes.count()
+        self.filter = _filter_words(self.probes, n) if n <= max_broadcast else None
+
+    def probed(self, texts: DataFrame) -> DataFrame:
+        """`texts` with the hashes of their probes in an array `p`, and a column `at`; a null text has none.
+
+        A filter on `p` must also refer to `at`: it then stays above the templates, which
+        would otherwise be computed anew within it, for each window.
+        """
+        t = texts.select("*", marked(F.col("text")).alias("m"))
+        t = t.select(*texts.columns, *[x.alias(f"t{i}") for i, x in enumerate(templates(F.col("m")))], F.monotonically_increasing_id().alias("at"))
+        return t.select(*texts.columns, "at", F.concat(*[_window_hashes(f"t{i}", self.probe, self.stride) for i in range(3)]).alias("p"))
+
+    def suspect(self) -> F.Column:
+        """Of rows with probes `p` and the words of the `filter`: whether the text may hold a window."""
+        return _passes(F.col("p"), F.col("filter"), self.filter[1])
+
+    def flagged(self, texts: DataFrame) -> DataFrame:
+        """`texts` with a column `hit`: whether the text has a probe of the benchmark, or may have one."""
+        p = self.probed(texts)
+        if self.filter is not None:
+            return p.select("*", self.filter[0].alias("filter")).select(*texts.columns, self.suspect().alias("hit"))
+        # a benchmark too large for a filter: its probes are joined, texts by their digests
+        hits = (p.select(_digest(F.col("text")).alias("digest"), F.explode("p").alias("h"))
+                .join(self.probes, "h", "left_semi").select("digest").distinct().withColumn("found", F.lit(True)))
+        return (texts.withColumn("digest", _digest(F.col("text"))).join(hits, "digest", "left")
+                .select(*texts.columns, F.coalesce("found", F.lit(False)).alias("hit")))
+
+    def found(self, texts: DataFrame) -> DataFrame:
+        """Items found in written `texts` (a column text): digest, item_id, n_windows, share, n_slots."""
+        # few documents: words and values of all their windows
+        sus = texts.where("text is not null").select(_digest(F.col("text")).alias("digest"), "text").dropDuplicates(["digest"])
+        sus = _all_templates(sus, "digest")
+        at = None
+        for k in self.lengths:
+            some = (sus.where(F.size("t") >= k)
+                    .select("digest", F.lit(k).alias("k"), "raw", "t", F.explode(F.sequence(F.lit(0), F.size("t") - k)).alias("p"))
+                    .select("digest", "k", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv"))
+                    .withColumn("ds", F.when(_enough(F.col("dw")), F.col("dw")).otherwise(F.col("dv"))).drop("dw")
+                    .withColumn("h", F.xxhash64("ds"))
+                    .join((F.broadcast(self.keys) if self.small else self.keys).where(F.col("k") == k).select("h"), "h", "left_semi"))
+            at = some if at is None else at.unionByName(some)
+        same = F.col("v") == F.col("dv")
+        both = at.join(self.wanted, ["k", "h"]).where(F.col("ds") == F.col("shown"))
+        slots = F.filter(F.zip_with(F.arrays_zip("w", "v"), F.col("dv"),
+                                    lambda x, d: F.struct(x.w.alias("kind"), x.v.alias("item"), d.alias("doc"))),
+                         lambda s: s.kind.isin(NAME, NUMBER, UNIT))
+        # one occurrence: the windows of an item at one distance from their place in the document
+        hit = both.select("digest", "item_id", (F.col("p") - F.col("at")).alias("shift"), "at", same.alias("same"), F.array_distinct(slots).alias("slots"))
+        # a window may match in several templates: with the item's values in one, it has them in all
+        hit = materialise(hit.distinct(), "hits")
+        where = ["digest", "item_id", "shift"]
+        own = hit.where("same").groupBy(*where, "at").agg(F.max(F.size("slots")).alias("n_slots"))
+        other = hit.where("not same").select(*where, "at", "slots")
+        each = other.select(*where, "at", F.explode("slots").alias("s")).select(*where, "at", "s.kind", "s.item", "s.doc").distinct()
+        votes = each.groupBy(*where, "kind", "item", "doc").agg(F.count(F.lit(1)).alias("n"))
+        chosen = votes.groupBy(*where, "kind", "item").agg(F.max_by("doc", F.struct("n", "doc")).alias("chosen"))
+        conflict = each.join(chosen, [*where, "kind", "item"]).where(F.col("doc") != F.col("chosen")).select(*where, "at").distinct().withColumn("bad", F.lit(True))
+        other = other.groupBy(*where, "at").agg(F.max(F.size("slots")).alias("n_slots")).join(conflict, [*where, "at"], "left")
+        fits = F.col("bad").isNull()
+        per = (own.select(*where, F.lit(True).alias("own"), F.lit(False).alias("bad"), "n_slots")
+               .unionByName(other.select(*where, F.lit(False).alias("own"), (~fits).alias("bad"), "n_slots"))
+               .groupBy(*where).agg(F.count_if("own").alias("n_own"), F.count_if(~F.col("own") & ~F.col("bad")).alias("n_fit"),
+                                    F.count_if(~F.col("own")).alias("n_other"), F.max(F.when(~F.col("bad"), F.col("n_slots"))).alias("n_slots")))
+        per = per.join(self.windows, F.col("item_id").eqNullSafe(F.col("i")))
+        counted = (2 * F.col("n_fit") >= F.col("n_other")) & (F.col("n_own") + F.col("n_fit") >= F.least(F.lit(2), F.col("of")))
+        n = F.col("n_own") + F.when(counted, F.col("n_fit")).otherwise(0)
+        return (per.withColumn("n", n).where("n > 0").groupBy("digest", "item_id")
+                .agg(F.max("n").alias("n_windows"), F.max(F.least(F.lit(1.0), F.col("n") / F.col("of"))).alias("share"),
+                     F.max(F.coalesce("n_slots", F.lit(0))).cast("bigint").alias("n_slots")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: int = 5, max_broadcast: int = 200_000) -> DataFrame:
     """Contaminated documents: one row per doc_id and item_id with a consistent match.
 
     Columns: doc_id, item_id, and of the best occurrence of the item: n_windows
-    (windows counted), share (of the item's windows), n_slots (slot values compared).
+    (windows counted), share (of the item's windows), n_slots (slot values compared in one window).
 
     Windows have `window` words of one of the templates(), at least half of which
     must be words, not placeholders; a window with more placeholders counts with
     its words in place. An item with fewer words than `window` is one
     window as a whole; below `min_words` words it is too short to tell a passage and
-    never matches. An item is found in a document if a window matches whose slots
-    fit together; windows of the occurrence that conflict are not counted.
+    never matches. An item is found in a document if a window counts.
 
     Defined cases: null and empty texts match nothing; null ids are ids like any
     other (one null group). Each text of an id is searched on its own. Other
     columns are ignored; an empty benchmark or table gives an empty result.
     """
-    found = _found(docs, benchmark, window, min_words, max_broadcast)
-    return (found.groupBy("doc_id", "item_id")
+    bench = _Benchmark(benchmark, window, min_words, max_broadcast)
+    if not bench.lengths:
+        return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, n_windows bigint, share double, n_slots bigint")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    if bench.filter is not None:
+        p = bench.probed(texts).select("*", bench.filter[0].alias("filter"))
+        texts = p.where(bench.suspect() & (F.col("at") >= 0)).select("doc_id", "text")
+    else:
+        texts = bench.flagged(texts).where("hit").select("doc_id", "text")
+    texts = materialise(texts, "suspect-texts")
+    found = bench.found(texts).withColumn("share_no", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    ids = texts.select("doc_id", _digest(F.col("text")).alias("digest")).distinct().withColumn(
+        "share_no", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int"))
+    return (ids.join(found, ["digest", "share_no"]).groupBy("doc_id", "item_id")
             .agg(*[F.max(c).alias(c) for c in ("n_windows", "share", "n_slots")]))
 
 
-def _digest(text) -> F.Column:
-    return F.sha2(text.cast("string"), 256)
-
-
-def _found(docs: DataFrame, benchmark: DataFrame, window: int, min_words: int, max_broadcast: int = 200_000) -> DataFrame:
-    """matches() by doc_id and the `digest` of the text."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = _all_templates(items, "item_id").where(F.size("t") >= min_words)
-    size = F.least(F.size("t"), F.lit(window))
-    grams = (items.select("*", size.alias("k"))
-             .select("*", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("k") + 1)).alias("at"))
-             .select("item_id", "k", "at", "first", F.slice("t", F.col("at"), F.col("k")).alias("w"), F.slice("raw", F.col("at"), F.col("k")).alias("v")))
-    items = materialise(items, "benchmark-templates")
-    # with too few words the words themselves are searched, found by probes of the first template
-    grams = materialise(grams.where(F.col("first") | _enough(F.col("w"))), "benchmark-windows")
-    shown = F.when(_enough(F.col("w")), F.col("w")).otherwise(F.col("v"))
-    wanted = materialise(grams.select("item_id", "k", "at", F.xxhash64(shown).alias("h"), shown.alias("shown"), "w", "v").distinct(), "benchmark-keys")
-    lengths = sorted(r.k for r in grams.select("k").distinct().collect())  # at most `window` - `min_words` + 1 numbers
-    empty = docs.sparkSession.createDataFrame([], "doc_id bigint, digest string, item_id bigint, n_windows bigint, share double, n_slots bigint")
-    if not lengths:
-        return empty
-    keys = wanted.select("k", "h").distinct()
-    small = keys.count() <= max_broadcast
-
-    # Any k words in a row hold a run of `probe` words that starts at a multiple of
-    # k - probe + 1. So a document without a probe of the benchmark at these
-    # places has no window of it either.
-    probe = min(PROBE, lengths[0])
-    stride = lengths[0] - probe + 1
-    own = materialise(grams.select(F.explode(_window_hashes("w", probe)).alias("h")).distinct(), "benchmark-probes")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = base.where("text is not null").withColumn("digest", _digest(F.col("text")))
-    tok = base.select("doc_id", "digest", marked(F.col("text")).alias("m"))
-    tok = tok.select("doc_id", "digest", *[t.alias(f"t{i}") for i, t in enumerate(templates(F.col("m")))])
-    probes = tok.select("doc_id", "digest", F.explode(F.concat(*[_window_hashes(f"t{i}", probe, stride) for i in range(3)])).alias("h"))
-    own = F.broadcast(own) if own.count() <= max_broadcast else own
-    found = materialise(probes.join(own, "h", "left_semi").select("doc_id", "digest").distinct(), "suspects")
-
-    # the few documents with a matching probe: words and values of their windows
-    # (written, so that no later filter is computed on the texts of all documents)
-    sus = materialise(base.join(found, base.doc_id.eqNullSafe(found.doc_id) & (base.digest == found.digest), "left_semi"), "suspect-texts")
-    sus = _all_templates(sus, "doc_id", "digest")
-    at = None
-    for k in lengths:
-        some = (sus.where(F.size("t") >= k)
-                .select("doc_id", "digest", F.lit(k).alias("k"), "raw", "t", F.explode(F.sequence(F.lit(0), F.size("t") - k)).alias("p"))
-                .select("doc_id", "digest", "k", "p", F.slice("t", F.col("p") + 1, k).alias("dw"), F.slice("raw", F.col("p") + 1, k).alias("dv"))
-                .withColumn("ds", F.when(_enough(F.col("dw")), F.col("dw")).otherwise(F.col("dv"))).drop("dw")
-                .withColumn("h", F.xxhash64("ds"))
-                .join((F.broadcast(keys) if small else keys).where(F.col("k") == k).select("h"), "h", "left_semi"))
-        at = some if at is None else at.unionByName(some)
-    same = F.col("v") == F.col("dv")
-    both = at.join(wanted, ["k", "h"]).where(F.col("ds") == F.col("shown"))
-    slots = F.filter(F.zip_with(F.arrays_zip("w", "v"), F.col("dv"),
-                                lambda x, d: F.struct(x.w.alias("kind"), x.v.alias("item"), d.alias("doc"))),
-                     lambda s: s.kind.isin(NAME, NUMBER, UNIT))
-    # one occurrence: the windows of an item at one distance from their place in the document
-    hit = both.select("doc_id", "digest", "item_id", (F.col("p") - F.col("at")).alias("shift"), F.struct((~same).alias("other"), "at", slots.alias("slots")).alias("hit"))
-    occurrence = (hit.distinct().groupBy("doc_id", "digest", "item_id", "shift").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-                  .withColumn("got", _counted())
-                  .select("doc_id", "digest", "item_id", F.size("got.at").cast("bigint").alias("n"), F.col("got.s").alias("s")).where("n > 0"))
-    found = occurrence.groupBy("doc_id", "digest", "item_id").agg(F.max("n").alias("n_windows"), F.max(F.size("s")).cast("bigint").alias("n_slots"))
-    total = items.select(F.col("item_id").alias("i"), (F.size("t") - size + 1).alias("of")).groupBy("i").agg(F.max("of").alias("of"))
-    return (found.join(total, F.col("item_id").eqNullSafe(F.col("i")))
-            .select("doc_id", "digest", "item_id", "n_windows", F.least(F.lit(1.0), F.col("n_windows") / F.col("of")).alias("share"), "n_slots"))
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: int = 5) -> DataFrame:
-    """The rows of `docs` in which no benchmark item is found, with their columns unchanged."""
-    found = _found(docs, benchmark, window, min_words)
-    bad = materialise(found.select(F.col("doc_id").alias("__leak"), F.col("digest").alias("__digest")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")) & (_digest(F.col("text")) == F.col("__digest")), "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_words: int = 5, max_broadcast: int = 200_000) -> DataFrame:
+    """The rows of `docs` in which no benchmark item is found, with their columns unchanged.
+
+    The decision is about the text: rows with null ids, repeated ids or repeated rows
+    stay or go by their own texts. Columns may have any names; text is the one searched.
+    """
+    bench = _Benchmark(benchmark, window, min_words, max_broadcast)
+    if not bench.lengths:
+        return docs
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    # written once with the flag: texts that have no probe are done
+    rows = materialise(bench.flagged(rows).select("row", F.coalesce("hit", F.lit(False)).alias("hit")), "flagged")
+    suspects = rows.where("hit").select("row", F.col("row.text").cast("string").alias("text"))
+    bad = materialise(bench.found(suspects).select("digest").distinct(), "leaks")
+    kept = suspects.withColumn("digest", _digest(F.col("text"))).join(bad, "digest", "left_anti")
+    return rows.where("not hit").select("row.*").unionByName(kept.select("row.*"))
