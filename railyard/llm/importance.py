@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railyard.llm.common import materialise
+from railyard.llm.segments import kept
 
 #: Words: runs of digits, a-z and characters beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -93,7 +94,7 @@ def histogram(split, text: str, bucket: Bucket, n: int, step: int = STEP) -> tup
 
 def _features(n: int, n_buckets: int):
     def run(batches):
-        split, bucket = splitter(), Bucket(n_buckets)
+        split, bucket = kept(("words", n_buckets), lambda: (splitter(), Bucket(n_buckets)))
         ints, lists = pa.int64(), pa.list_(pa.int32())
         for rb in batches:
             n_words, n_features, kinds, times = [], [], [], []

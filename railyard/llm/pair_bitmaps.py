@@ -21,7 +21,6 @@ as one bit for each document of the block.
 from __future__ import annotations
 
 import hashlib
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railyard.llm.common import materialise
-from railyard.llm.segments import Flat, SegmentEncoder, slices
+from railyard.llm.segments import Flat, SegmentEncoder, kept, slices
 
 #: Documents of a block, and how many of them make the bit form the shorter one.
 SPAN = 8192
@@ -52,7 +51,12 @@ class Aligner(SegmentEncoder):
         super().__init__(path_a, spaced=True, plain=True)
         if not (self.separable and self.b.separable):
             raise ValueError("both files must allow texts to be encoded by segments")
-        self.names = [str(i) for i in range(max(len(self.bytes), len(self.b.bytes)))]
+        self.spelled, self.b.spelled = (Flat(np.uint8) for _ in range(2))
+        for enc in (self, self.b):
+            enc.n_bytes = np.maximum(enc.n_bytes, 0)
+            enc.spelled.extend(np.frombuffer(b"".join(x or b"" for x in enc.bytes), np.uint8), enc.n_bytes)
+        # bits of an id of each vocabulary: several ids of a group make one number
+        self.bits = [max(1, len(enc.bytes) - 1).bit_length() for enc in (self, self.b)]
 
     def reset(self) -> None:
         super().reset()
@@ -61,29 +65,60 @@ class Aligner(SegmentEncoder):
         self.size_b, self.links, self.good, self.groups = Flat(np.int64), Flat(np.int32), Flat(np.int64), []
         self.pair_no, self.pairs = {}, []
 
+    def _come_back(self, enc: SegmentEncoder, ids: np.ndarray, size: np.ndarray, text: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Of segments with these tokens: whether the tokens' bytes are those of the segment, none of them empty."""
+        n, of = enc.n_bytes[ids], np.repeat(np.arange(len(size)), size)
+        ok = np.bincount(of, n, len(size)).astype(np.int64) == length
+        ok[of[n == 0]] = False
+        got = enc.spelled.gather(ids[ok[of]].astype(np.int64))
+        wrong = got != text[np.repeat(ok, length)]
+        ok[np.repeat(np.flatnonzero(ok), length[ok])[wrong]] = False
+        return ok
+
+    def _group_texts(self, a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> list[str]:
+        """Groups as text, given the last token of each; equal groups of few tokens are written once."""
+        a0, b0 = np.concatenate(([0], ia[:-1] + 1)), np.concatenate(([0], ib[:-1] + 1))
+        na, nb = ia - a0 + 1, ib - b0 + 1
+        out = np.empty(len(ia), object)
+        join = lambda p, q: ",".join(map(str, p)) + "|" + ",".join(map(str, q))
+        kind = na * 1024 + nb
+        kind[(na >= 1024) | (nb >= 1024)] = -1
+        for k in np.unique(kind).tolist():
+            i = np.flatnonzero(kind == k)
+            x, y = divmod(k, 1024)
+            if k < 0 or x * self.bits[0] + y * self.bits[1] > 63:
+                for g in i.tolist():
+                    out[g] = join(a[a0[g]:ia[g] + 1].tolist(), b[b0[g]:ib[g] + 1].tolist())
+                continue
+            number = np.zeros(len(i), np.int64)
+            for j in range(x):
+                number = number << self.bits[0] | a[a0[i] + j]
+            for j in range(y):
+                number = number << self.bits[1] | b[b0[i] + j]
+            _, first, of = np.unique(number, return_index=True, return_inverse=True)
+            texts = [join(a[a0[g]:ia[g] + 1].tolist(), b[b0[g]:ib[g] + 1].tolist()) for g in i[first].tolist()]
+            out[i] = np.array(texts, object)[of]
+        return out.tolist()
+
     def added(self, keys: pa.Array, whole: bool, data: np.ndarray, size: np.ndarray) -> None:
         super().added(keys, whole, data, size)
         n = len(keys)
         if whole:  # the empty text: no tokens
-            b_data, b_size = np.empty(0, np.uint32), np.zeros(n, np.int64)
-            texts = [b""] * n
+            b_data, b_size, length, text = np.empty(0, np.uint32), np.zeros(n, np.int64), np.zeros(n, np.int64), np.empty(0, np.uint8)
         else:
             at = self.b.remember(keys, False)
             b_data, b_size = self.b.ids.gather(at), self.b.ids.sizes(at)
-            texts = [b" " + k.encode() for k in keys.to_pylist()]
-        ok = np.ones(n, bool)
-        for ids, sizes, table in ((data, size, self.bytes), (b_data, b_size, self.b.bytes)):
-            tokens = [table[i] or b"" for i in ids.tolist()]
-            if b"".join(tokens) != b"".join(texts) or 0 in map(len, tokens) or not _ends_match(tokens, sizes, texts):
-                cut = [0, *np.cumsum(sizes).tolist()]
-                ok &= np.fromiter((b"".join(tokens[a:z]) == t and all(tokens[a:z]) for a, z, t in zip(cut, cut[1:], texts)), bool, n)
+            spaced = pc.binary_join_element_wise("", keys, " ")
+            length = pc.binary_length(spaced).to_numpy(zero_copy_only=False).astype(np.int64)
+            text = np.frombuffer("".join(spaced.to_pylist()).encode(), np.uint8)
+        ok = self._come_back(self, data, size, text, length) & self._come_back(self.b, b_data, b_size, text, length)
         if not ok.all():
             data, b_data = data[np.repeat(ok, size)], b_data[np.repeat(ok, b_size)]
         a_end, b_end = np.cumsum(self.n_bytes[data]), np.cumsum(self.b.n_bytes[b_data])
         both = np.intersect1d(a_end, b_end, assume_unique=True)
         ia, ib = np.searchsorted(a_end, both), np.searchsorted(b_end, both)
-        pair = data[ia].astype(np.int64) << 32 | b_data[ib].astype(np.int64)
-        kinds, of = np.unique(pair, return_inverse=True)
+        data, b_data = data.astype(np.int64), b_data.astype(np.int64)
+        kinds, of = np.unique(data[ia] << 32 | b_data[ib], return_inverse=True)
         numbers = []
         for p in kinds.tolist():
             no = self.pair_no.setdefault(p, len(self.pairs))
@@ -91,15 +126,11 @@ class Aligner(SegmentEncoder):
                 self.pairs.append(p)
             numbers.append(no)
         # links of each segment: those that end within its bytes
-        ends = np.cumsum(np.where(ok, [len(t) for t in texts], 0)) if n else np.empty(0, np.int64)
-        upto = np.searchsorted(both, ends, side="right")
-        links = np.diff(upto, prepend=0)
-        self.links.extend(np.array(numbers, np.int32)[of] if len(kinds) else np.empty(0, np.int32), links)
+        upto = np.searchsorted(both, np.cumsum(np.where(ok, length, 0)), side="right")
+        self.links.extend(np.array(numbers, np.int32)[of] if len(kinds) else np.empty(0, np.int32), np.diff(upto, prepend=0))
         self.size_b.extend(b_size, np.ones(n, np.int64))
         self.good.extend(ok.astype(np.int64), np.ones(n, np.int64))
-        name, a, b = self.names.__getitem__, list(map(int, data)), list(map(int, b_data))
-        each = [",".join(map(name, a[p:q + 1])) + "|" + ",".join(map(name, b[x:y + 1]))
-                for p, q, x, y in zip([0, *(ia[:-1] + 1).tolist()], ia.tolist(), [0, *(ib[:-1] + 1).tolist()], ib.tolist())]
+        each = self._group_texts(data, b_data, ia, ib) if len(ia) else []
         cut = [0, *upto.tolist()]
         self.groups += [";".join(each[p:q]) for p, q in zip(cut, cut[1:])]
 
@@ -124,15 +155,9 @@ class Aligner(SegmentEncoder):
             ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
 
-def _ends_match(tokens: list, sizes: np.ndarray, texts: list) -> bool:
-    """Whether the tokens of each text end where it does, given that all of them together do."""
-    at = [0, *accumulate(map(len, tokens))]
-    return [at[k] for k in np.cumsum(sizes).tolist()] == list(accumulate(map(len, texts)))
-
-
 def _align(path_a: str, path_b: str):
     def run(batches):
-        aligner = Aligner(path_a, path_b)
+        aligner = kept(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
         for rb in batches:
             for at, texts in slices(rb.column("text")):
                 got = aligner.aligned(texts)
