@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.session import new_work_dir
+from railyard.session import delete_path, new_work_dir
 
 #: ASCII white space, the word separators of every word operator here. The
 #: same six characters ``bytes.split()`` splits on.
@@ -17,6 +17,27 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: Tables written by materialise() in this driver process, until they are taken away.
+_SCRATCH: list[str] = []
+
+
+def scratch() -> int:
+    """A mark for remove_scratch(): the tables written up to now."""
+    return len(_SCRATCH)
+
+
+def remove_scratch(spark: SparkSession, since: int) -> None:
+    """Delete the tables written after the mark but the newest: for a result that was itself written last."""
+    for path in _SCRATCH[since:-1]:
+        delete_path(spark, path)
+    del _SCRATCH[since:-1]
+
+
+def name(column: str) -> F.Column:
+    """A column by its name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def materialise(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write `df` to a fresh table in the shared folder and read it back.
 
@@ -26,6 +47,7 @@ def materialise(df: DataFrame, label: str, rows: int | None = None) -> DataFrame
     """
     spark = df.sparkSession
     path = new_work_dir(spark, f"llm-{label}")
+    _SCRATCH.append(path)
     if rows is not None:
         df = df.coalesce(max(spark.sparkContext.defaultParallelism, rows // 250_000))
     df.write.parquet(path)

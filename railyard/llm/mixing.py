@@ -3,8 +3,8 @@
 Each source s with n_s rows and weight w_s is to make up the share w_s / sum(w)
 of the mixture, so its rows repeat t_s = w_s / sum(w) * total / n_s times on
 average. Every row draws its own number of copies: a number in [0, 1) from a
-seeded hash of its id, through the inverted Poisson distribution of mean t_s. The
-draw needs no order and no coordination, and is the same on every run.
+seeded hash of its id and text, through the inverted Poisson distribution of mean t_s.
+The draw needs no order and no coordination, and is the same on every run.
 
 Built-in functions only.
 """
@@ -65,30 +65,46 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: floa
     return per.withColumn("t", t).where("t > 0").withColumn("cdf", _cumulative("t"))
 
 
+def _drawn(docs: DataFrame, weights: dict[str, float] | None, epochs: float, seed: int, max_broadcast: int) -> DataFrame:
+    """Shuffled copies: row (all columns of `docs`, as one struct), copy, place."""
+    per = materialise(rates(docs, weights, epochs).select("s", "cdf"), "source-rates")
+    # the sources' table is small in practice; its size is checked before it is broadcast
+    some = F.broadcast(per) if per.limit(max_broadcast + 1).count() <= max_broadcast else per
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    if "text" in docs.columns:
+        key = F.concat(key, F.lit(":"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), key.alias("key"))
+    joined = rows.join(some, F.col("source").eqNullSafe(F.col("s"))).withColumn("u", uniform(seed, F.col("key")))
+    # copies: how many of 0, 1, ... have a distribution function at or below the drawn number
+    copies = joined.select("row", "key", F.size(F.filter("cdf", lambda c: c <= F.col("u"))).alias("n")).where("n > 0")
+    copies = copies.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    placed = copies.select("row", "copy", uniform(seed, "place", F.col("key"), F.col("copy").cast("string")).alias("place"))
+    # a place is a random number: dealt by its hash, and in its order within a task, rows lie at random;
+    # dealing by ranges would draw everything twice to find the ranges
+    return placed.repartition("place").sortWithinPartitions("place", "copy")
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = 42,
         max_broadcast: int = 10_000) -> DataFrame:
     """The rows of `docs` repeated to the target weights and shuffled globally.
 
-    Columns of `docs`, then ``__copy`` (1, 2, ...) and ``__place`` (0 to 1: the
-    output is in its order). Rows are drawn by doc_id, so rows that share an id
-    (and source) share their number of copies; null ids count as one id. Rows with
-    a null source form a source of their own. An empty table gives an empty result.
+    Columns of `docs`, of any names, then ``__copy`` (1, 2, ...) and ``__place`` (0 to 1),
+    with more underscores in front where `docs` has such columns. Rows are drawn by
+    doc_id and text (by doc_id where there is no text): each null-id row with a text of its
+    own has its own draw, and rows alike in id, text and source share their number of
+    copies. Rows with a null source form a source of their own. An empty table gives an
+    empty result.
     """
-    per = rates(docs, weights, epochs).select(F.col("s").alias("__s"), F.col("cdf").alias("__cdf"))
-    per = materialise(per, "source-rates")
-    # the sources' table is small in practice; its size is checked before it is broadcast
-    some = F.broadcast(per) if per.limit(max_broadcast + 1).count() <= max_broadcast else per
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    joined = docs.join(some, F.col("source").cast("string").eqNullSafe(F.col("__s")))
-    # copies: how many of 0, 1, ... have a distribution function at or below the drawn number
-    drawn = joined.withColumn("__u", uniform(seed, key)).withColumn(
-        "__n", F.size(F.filter("__cdf", lambda c: c <= F.col("__u"))))
-    copies = drawn.where("__n > 0").select(*[F.col(f"`{c}`") for c in docs.columns],
-                                           F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__copy"))
-    placed = copies.withColumn("__place", uniform(seed, "place", key, F.col("__copy").cast("string")))
-    return placed.repartitionByRange("__place").sortWithinPartitions("__place", "__copy")
+    free = {}
+    for c in ("copy", "place"):
+        free[c] = f"__{c}"
+        while free[c] in docs.columns:
+            free[c] = "_" + free[c]
+    out = _drawn(docs, weights, epochs, seed, max_broadcast)
+    return out.select("row.*", *[F.col(c).alias(n) for c, n in free.items()])
 
 
-def mixture(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = 42) -> DataFrame:
+def mixture(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = 42,
+            max_broadcast: int = 10_000) -> DataFrame:
     """mix() with the columns of `docs` only."""
-    return mix(docs, weights, epochs, seed).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _drawn(docs, weights, epochs, seed, max_broadcast).select("row.*")

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from railyard.llm.common import held_out
 
@@ -136,9 +137,10 @@ def train(docs: DataFrame, labels: DataFrame, max_per_label: int = 5000, accept:
         picked = some if picked is None else picked.unionByName(some)
     # at most 2 * max_per_label rows of two numbers: safe to broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(picked.drop("h")), "doc_id").select("quality", "text")
-    # copies of an id could make more rows than ids; the sample stays bounded
-    got = rows.mapInArrow(_featurise, "quality int, f array<double>").limit(4 * max_per_label).collect()
+        F.broadcast(picked.drop("h")), "doc_id")
+    # of several texts of an id the smallest is learned: as many rows as ids, whatever the partitioning
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("quality", "text")
+    got = rows.mapInArrow(_featurise, "quality int, f array<double>").collect()
     if not got:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0, int), accept)
     got.sort(key=lambda r: (r.quality, r.f))
@@ -155,28 +157,25 @@ def _scorer(model: PairwiseModel):
     return run
 
 
-def score_documents(docs: DataFrame, model: PairwiseModel, keep: list[str] | None = None) -> DataFrame:
-    """One row per row of `docs`: the `keep` columns (default doc_id) and score, 0 to 1.
+def score_documents(docs: DataFrame, model: PairwiseModel) -> DataFrame:
+    """One row per row of `docs`: `row` (all its columns, as one struct) and score, 0 to 1.
 
-    Null, empty and white-space texts get the score of the empty text. Repeated
-    rows each get a row, a null id stays null. Columns outside `keep` (but for
-    text) are not read; a kept column may have any name but "score".
+    Null, empty and white-space texts get the score of the empty text. Repeated rows each
+    get a row. Columns may have any names.
     """
-    keep = ["doc_id"] if keep is None else keep
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
-    fields = [f for f in src.schema.fields[:-1]]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "score double"])
-    return src.mapInArrow(_scorer(model), schema)
+    src = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    return src.mapInArrow(_scorer(model), StructType([src.schema["row"], StructField("score", DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame, accept: float = 0.7, max_per_label: int = 5000) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted (1 if score >= accept)."""
-    out = score_documents(docs, train(docs, labels, max_per_label, accept))
+    model = train(docs, labels, max_per_label, accept)
+    out = score_documents(docs.select("doc_id", "text"), model).select("row.doc_id", "score")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                       (F.col("score") >= accept).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, accept: float = 0.7, max_per_label: int = 5000) -> DataFrame:
-    """The rows of `docs` whose score reaches `accept`, with their columns unchanged."""
-    scored = score_documents(docs, train(docs, labels, max_per_label, accept), docs.columns)
-    return scored.where(F.col("score") >= accept).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of `docs` whose score reaches `accept`, with their columns (of any names) unchanged."""
+    scored = score_documents(docs, train(docs, labels, max_per_label, accept))
+    return scored.where(F.col("score") >= accept).select("row.*")

@@ -124,8 +124,8 @@ ORACLE: dict[str, str] = {
         r AS (SELECT s, 1.0::DOUBLE / k * total / n AS t FROM n, total),
         c AS (SELECT s, g.k AS k,
                      sum(exp(-t + g.k * ln(t) - lgamma(g.k + 1))) OVER (PARTITION BY s ORDER BY g.k) AS cdf
-              FROM r, (SELECT range AS k FROM range(0, 200)) g WHERE g.k <= ceil(t + 12 * sqrt(t) + 40)),
-        d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id_text FROM documents),
+              FROM (SELECT s, t, unnest(generate_series(0, CAST(ceil(t + 12 * sqrt(t) + 40) AS BIGINT))) AS k FROM r) g),
+        d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, '')) AS id_text FROM documents),
         u AS (SELECT *, ('0x' || substr(md5('42:' || id_text), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM d)
         SELECT doc_id, text, lang, source, n_chars, CAST(c.k + 1 AS INTEGER) AS copy,
                ('0x' || substr(md5('42:place:' || id_text || ':' || CAST(c.k + 1 AS VARCHAR)), 1, 13))::BIGINT

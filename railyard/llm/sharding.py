@@ -16,6 +16,8 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.llm.common import name
+
 #: Slots of the table; a prime, and over a hundred times the usual number of shards.
 SLOTS = 65537
 
@@ -52,20 +54,21 @@ def place(docs: DataFrame, shards: list[str], slots: int = SLOTS, key_col: str =
     """The rows of `docs` with columns slot and shard (a name of `shards`) added.
 
     Rows with equal keys, null among them, go to the same shard. Columns of
-    `docs` called slot or shard are replaced. No shuffle.
+    `docs` called slot or shard are replaced; others may have any names. No shuffle.
     """
     names = docs.sparkSession.createDataFrame(
-        [(k, shards[i]) for k, i in enumerate(lookup_table(shards, slots))], "__slot int, shard string")
-    src = docs.drop("slot", "shard")
-    slot = F.pmod(F.xxhash64(F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit("null"))), F.lit(slots)).cast("int")
-    # the table has `slots` rows whatever the data: safe to broadcast
-    return src.withColumn("slot", slot).join(F.broadcast(names), F.col("slot") == F.col("__slot")).drop("__slot")
+        [(k, shards[i]) for k, i in enumerate(lookup_table(shards, slots))], "slot int, shard string")
+    kept = [name(c) for c in docs.columns if c not in ("slot", "shard")]
+    slot = F.pmod(F.xxhash64(F.coalesce(name(key_col).cast("string"), F.lit("null"))), F.lit(slots)).cast("int")
+    # the row travels as one struct, so its columns may have any names; the table has `slots` rows whatever
+    # the data: safe to broadcast
+    return docs.select(slot.alias("slot"), F.struct(*kept).alias("row")).join(F.broadcast(names), "slot").select("row.*", "slot", "shard")
 
 
 def write_shards(docs: DataFrame, shards: list[str], path: str, parts: int = 8, slots: int = SLOTS, key_col: str = "doc_id") -> None:
     """Write `docs` as Parquet, a folder for each shard, in up to `parts` files each (a shard is dealt to several tasks)."""
     out = place(docs, shards, slots, key_col)
-    deal = F.pmod(F.xxhash64(F.col(f"`{key_col}`"), F.lit(1)), F.lit(parts))
+    deal = F.pmod(F.xxhash64(name(key_col), F.lit(1)), F.lit(parts))
     out.repartition(len(shards) * parts, "shard", deal).write.partitionBy("shard").parquet(path)
 
 

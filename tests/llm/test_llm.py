@@ -1,6 +1,8 @@
 """The training-data operators against brute force, on small and odd inputs."""
 
+import collections
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -203,16 +205,88 @@ def test_templates_catch_new_parameters(spark):
     docs = docs_of(spark, [
         (1, "Some text. At noon " + ITEM + " before dinner."),
         (2, "At noon " + ITEM.replace("120", "75").replace("60", "50").replace("Anna Miller", "Boris Brown").replace("Oldtown", "Newport")),
-        (3, "At noon " + ITEM.replace("Anna Miller rests", "Carl Miller rests")),  # one name, two values
+        (3, "At noon " + ITEM.replace("Anna Miller rests", "Carl Miller rests")),  # 17 words of the item as they are
         (4, "drives from the coast and rests, nothing else in common with it at all"), (5, None), (6, ""), (None, ITEM)]).withColumn("item_id", F.lit(0))
     bench = spark.createDataFrame([(10, "Once " + ITEM), (11, "too short"), (12, None), (13, "")], "item_id long, text string").withColumn("doc_id", F.lit(0))
     got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()}
-    assert got == {(1, 10), (2, 10), (None, 10)}
-    assert {r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()} == {3, 4, 5, 6}
+    assert got == {(1, 10), (2, 10), (3, 10), (None, 10)}
+    assert {r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()} == {4, 5, 6}
     assert decontaminate.matches(docs.where("false"), bench).count() == 0
     assert decontaminate.matches(docs, bench.where("false")).count() == 0
 
 
+def brute_template_matches(docs, items, window=8, min_words=5):
+    """The rule word by word, for texts of lower-case words and numbers (where all three templates are one)."""
+    number = lambda w: "#" if any(c.isdigit() for c in w) else w
+    out = set()
+    for item_id, item in items:
+        v = item.split()
+        if len(v) < min_words:
+            continue
+        k, hits = min(window, len(v)), collections.defaultdict(dict)
+        of = len(v) - k + 1
+        for doc_id, text in docs:
+            d = (text or "").split()
+            for p in range(len(d) - k + 1):
+                for a in range(of):
+                    x, y = v[a:a + k], d[p:p + k]
+                    t = list(map(number, x))
+                    shown = t if 2 * sum(w != "#" for w in t) >= k else x
+                    if (list(map(number, y)) if shown is t else y) == shown:
+                        hits[doc_id, p - a][a] = None if x == y else {(i, j) for i, j, w in zip(x, y, t) if w == "#"}
+        for (doc_id, _), at in hits.items():
+            own = sum(s is None for s in at.values())
+            other = [s for s in at.values() if s is not None]
+            votes = collections.Counter(pair for s in other for pair in s)
+            chosen = {i: max((n, j) for (i2, j), n in votes.items() if i2 == i)[1] for i, _ in votes}
+            fit = sum(all(chosen[i] == j for i, j in s) for s in other)
+            if own or (2 * fit >= len(other) and fit >= min(2, of) and fit):
+                out.add((doc_id, item_id))
+    return out
+
+
+@pytest.mark.parametrize("seed,limit", [(1, 200_000), (2, 1)])  # by the filter, and by joins
+def test_changed_parameters_equal_brute_force(spark, seed, limit):
+    rng = random.Random(seed)
+    vocabulary = "he she buys sells walks red blue box from to and then the of with near".split()
+    make = lambda n: [str(rng.randrange(1, 6)) if rng.random() < .3 else rng.choice(vocabulary) for _ in range(n)]
+    items = [(100 + i, " ".join(make(rng.choice([4, 5, 7, 8, 12, 25])))) for i in range(12)]
+    docs = []
+    for k in range(60):
+        w = rng.choice(items)[1].split()
+        mapping = {str(i): str(rng.randrange(1, 90)) for i in range(1, 6)}
+        mode = k % 4  # verbatim, renamed, renamed with conflicts, renamed at random
+        new = [x if not x.isdigit() or mode == 0 else mapping[x] if mode == 1 or (mode == 2 and rng.random() < .7) else str(rng.randrange(1, 90)) for x in w]
+        cut = rng.randrange(0, 4)
+        docs.append((k, " ".join(make(5) + new[cut:] + make(5))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_template_matches(docs, items)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs_of(spark, docs), bench, max_broadcast=limit).collect()}
+    assert got == want
+    left = {r.doc_id for r in decontaminate.clean_documents(docs_of(spark, docs), bench, max_broadcast=limit).collect()}
+    assert left == {i for i, _ in docs} - {i for i, _ in want}
+    assert want and left
+
+
+def test_a_name_with_two_values_everywhere_is_another_question(spark):
+    item = "Anna drives the red car 10 km and then Anna walks along the old river 10 km and later Anna swims in the lake"
+    mixed = "Boris drives the red car 21 km and then Carl walks along the old river 32 km and later Doris swims in the lake"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = docs_of(spark, [(1, "so " + item.replace("Anna", "Eva").replace("10", "77")), (2, "so " + mixed)])
+    got = {r.doc_id for r in decontaminate.matches(docs, bench).collect()}
+    assert got == {1}
+
+
+def test_the_filter_is_looked_up_in_place(spark):
+    """Its words are never copied into a row, and no text is shuffled before it is looked up."""
+    bench = decontaminate._Benchmark(spark.createDataFrame([(10, ITEM)], "item_id long, text string"), 8, 5, 1000)
+    flagged = bench.flagged(docs_of(spark, [(1, ITEM), (2, "clean")]).select("text"))
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS filter#" not in plan
+    assert "Exchange" not in flagged._jdf.queryExecution().sparkPlan().toString().split("Subquery")[0]
+    assert {r.text: r.hit for r in flagged.collect()} == {ITEM: True, "clean": False}
+
+
 def test_decontamination_finds_exact_passages(spark):
     sf = "/root/testdata/sf0.01"
     docs = [(r.doc_id, " ".join(r.text.lower().split())) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
@@ -468,6 +542,97 @@ def test_kernel_equals_its_definition():
 
 # --- pipeline -----------------------------------------------------------------
 
+CLASHES = ["score", "__text", "__drop", "__leak", "__digest", "digest", "__s", "s", "__u", "__n", "n", "__copy", "copy", "__place", "place",
+           "__slot", "row", "number", "key", "hit", "cdf", "group", "a`b", "x.y", "a b"]
+
+
+def _clashing(spark, rows):
+    """Documents with columns of the names that the stages use or used, and odd ones."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return docs.select("*", *[F.concat(F.lit(f"{i}:"), F.coalesce("text", F.lit(""))).alias(c) for i, c in enumerate(CLASHES)])
+
+
+def _unharmed(r):
+    return all(r[c] == f"{i}:{r.text or ''}" for i, c in enumerate(CLASHES))
+
+
+def _stage(spark, name, docs):
+    """A stage as a caller runs it: its output written and read again."""
+    import corpus_pipeline as p
+    from railyard.llm.common import materialise
+    return materialise(dict(p.STAGES)[name](spark, docs, SF), "stage")
+
+
+LONG = " ".join(f"word{i}" for i in range(40))
+STAGE_ROWS = [(None, LONG, "a"), (None, LONG, "a"), (None, LONG, "b"), (5, LONG, "a"), (6, LONG, "a"), (6, LONG, None),
+              (7, LONG, "a"), (7, "a text of its own that no other row has in any part of it", "a"),
+              (None, "another text of its own, under no id at all, as it stands", "b"), (8, None, "a"), (9, "", None), (9, " ", "a"), (None, None, None)]
+
+
+@pytest.mark.parametrize("name", ["quality", "near_duplicates", "decontaminate", "mix", "shard"])
+def test_stages_on_odd_rows_and_clashing_names(spark, name):
+    docs = _clashing(spark, STAGE_ROWS).repartition(3)
+    out = _stage(spark, name, docs)
+    got = out.collect()
+    assert all(_unharmed(r) for r in got)
+    assert out.columns == docs.columns + (["slot", "shard"] if name == "shard" else [])
+    key = lambda r: str((r[0], r[1], r[2]))
+    if name in ("decontaminate", "shard"):
+        assert sorted(map(key, got)) == sorted(map(key, STAGE_ROWS))
+    if name == "near_duplicates":  # one row of the group, the smallest id; every other text stays
+        assert sorted(key(r) for r in got if r.text == LONG) == [key((5, LONG, "a"))]
+        assert sorted(key(r) for r in got if r.text != LONG) == sorted(key(r) for r in STAGE_ROWS if r[1] != LONG)
+    empty = _stage(spark, name, docs.where("false"))
+    assert empty.count() == 0 and empty.columns == out.columns
+
+
+def test_near_duplicates_of_null_ids_only(spark):
+    docs = _clashing(spark, [(None, LONG, "a")] * 5 + [(None, LONG + f" tail{i}", "b") for i in range(3)])
+    assert _stage(spark, "near_duplicates", docs.repartition(4)).count() == 1
+
+
+def test_null_ids_do_not_share_one_draw(spark):
+    """1,000 rows without an id, each with its own text: about 1,000 copies whatever the seed, also for small means."""
+    docs = spark.createDataFrame([(None, f"text {i}", "a") for i in range(1000)], "doc_id long, text string, source string")
+    for seed in (1, 2, 3):
+        assert 850 < mixing.mixture(docs, seed=seed).count() < 1150
+        assert 200 < mixing.mixture(docs, seed=seed, epochs=0.3).count() < 400
+
+
+def test_mixture_sql_has_no_cap(spark):
+    """A rare source whose rows repeat hundreds of times: SQL and Spark give the same rows."""
+    import duckdb
+    docs = spark.createDataFrame([(i, f"t{i}", "big") for i in range(3000)] + [(9000 + i, f"u{i}", "rare") for i in range(3)],
+                                 "doc_id long, text string, source string").select("*", F.lit("en").alias("lang"), F.length("text").alias("n_chars"))
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(f"SELECT doc_id, copy FROM ({registry.ORACLE['op7_poisson_mixture']})").fetchall()
+    got = [(r.doc_id, r.copy) for r in mixing.mix(docs).withColumnsRenamed({"__copy": "copy"}).collect()]
+    assert sorted(got) == sorted(want) and max(c for i, c in got if i >= 9000) > 400
+
+
+def test_repeats_keep_the_largest_id_apart_from_null(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(2**63 - 1, words), (None, "x " + words), (1, words + " y")]
+    got = {r.doc_id: r.n_removed for r in recompression.remove_repeats(docs_of(spark, rows)).collect()}
+    assert got == {2**63 - 1: 30, None: 30, 1: 0}
+
+
+def test_quality_learns_one_text_per_id(spark):
+    docs = docs_of(spark, [(i, f"good words number {i}") for i in range(40)] * 5 + [(100 + i, "$$$ ### | |") for i in range(40)])
+    lab = spark.createDataFrame([(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(40)], "doc_id long, quality int")
+    models = {pairwise_quality.train(docs.repartition(n), lab, max_per_label=10) for n in (1, 7)}
+    assert len(models) == 1
+
+
+def test_scratch_goes_with_the_pipeline(spark):
+    import corpus_pipeline as p
+    from railyard.llm import common
+    before = common.scratch()
+    assert p.run(spark, SF).count() > 0
+    assert common.scratch() == before + 1  # the input of the last stage
+
+
 def test_pipeline_against_its_stages(spark):
     import corpus_pipeline as p
     out = p.run(spark, SF).collect()
