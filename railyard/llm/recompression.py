@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -211,27 +212,37 @@ def _first_pass(window: int):
                     keys[k] = np.unique(name[i]).view(np.int64)
                     twice[k] = np.unique(name[i[_own_repeats(pre.hash(i, i + window, 0))]]).view(np.int64)
             lists_ = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
+            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), rb.column("unnamed"), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
                                               pa.array(keys, lists_), pa.array(twice, lists_)],
-                                             ["doc_id", "n_words", "sha", "keys", "twice"])
+                                             ["doc_id", "unnamed", "n_words", "sha", "keys", "twice"])
     return run
 
 
+def _packed(batches):
+    """Texts compressed, as they are dealt to the tasks that look at them again."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for rb in batches:
+        texts = rb.column("text").cast(pa.binary()).to_pylist()
+        yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array([pack.compress(t or b"") for t in texts], pa.binary())], ["doc_id", "packed"])
+
+
 def _second_pass(window: int):
-    """The windows whose anchor's name may repeat: hashes of all words, document, first word.
+    """Per document, the windows whose anchor's name may repeat: hashes of all their words, and first words.
 
     Of windows that a document holds several times only the first is listed by
-    hash; the later ones come with a null hash, as they surely go.
+    hash; the places of the later ones are in `again`, as they surely go.
     """
     def run(batches):
-        words, seen = WordHash(), set()
+        words, seen, unpack = WordHash(), set(), zstandard.ZstdDecompressor()
+        longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
         for rb in batches:
-            texts = rb.column("text").cast(pa.binary()).to_pylist()
+            texts = [unpack.decompress(t) for t in rb.column("packed").to_pylist()]
             first, sha, listed = (rb.column(c).to_pylist() for c in ("first", "sha", "keys"))
             for took, lists, names in _groups(texts, words):
                 flat, doc = _flat(names)
                 valid, name, pre = anchors(flat, doc, window)
                 cut = np.cumsum([0, *map(len, names)])
+                rows: list = []
                 for j, k in enumerate(took):
                     if sha[k] in seen or _digest(lists[j]) != sha[k]:
                         continue
@@ -240,22 +251,23 @@ def _second_pass(window: int):
                     i = i[np.isin(name[i], np.array(listed[k], np.int64).view(np.uint64))]
                     h1 = pre.hash(i, i + window, 0)
                     later = _own_repeats(h1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h1.view(np.int64), mask=later), pa.array(pre.hash(i, i + window, 1).view(np.int64), mask=later),
-                         pa.array(np.full(len(i), first[k], np.int64)), pa.array(np.full(len(i), int(sha[k][:15], 16), np.int64)),
-                         pa.array((i - cut[j]).astype(np.int32))], ["h1", "h2", "first", "row", "at"])
+                    at = (i - cut[j]).astype(np.int32)
+                    rows.append((first[k], int(sha[k][:15], 16), h1[~later].view(np.int64), pre.hash(i[~later], i[~later] + window, 1).view(np.int64),
+                                 at[~later], at[later]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), longs, longs, ints, ints))],
+                    ["first", "row", "h1", "h2", "at", "again"])
     return run
 
 
 def _third_pass(window: int):
     """Documents without the words that the windows at the listed places cover."""
     def run(batches):
-        seen = set()
+        seen, unpack = set(), zstandard.ZstdDecompressor()
         for rb in batches:
-            texts = rb.column("text").cast(pa.binary()).to_pylist()
             rows = []
-            for row, at, t in zip(rb.column("row").to_pylist(), rb.column("at").to_pylist(), texts):
-                w = (t or b"").split()
+            for row, at, t in zip(rb.column("row").to_pylist(), rb.column("at").to_pylist(), rb.column("packed").to_pylist()):
+                w = unpack.decompress(t).split()
                 sha = _digest(w)
                 if sha in seen or int(sha[:15], 16) != row:
                     continue
@@ -284,12 +296,13 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
 
     Defined cases: null and empty texts have no words. Rows that repeat an id with
     the same words are one document; with other words they are not earlier than each
-    other. Null ids come after all others. Other columns are ignored; an
-    empty table gives an empty result.
+    other. Null ids come last, beside the largest possible id: neither is earlier than
+    the other. Other columns are ignored; an empty table gives an empty result.
     """
     last = (1 << 63) - 1
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    seen = materialise(base.mapInArrow(_first_pass(window), "doc_id bigint, n_words bigint, sha string, keys array<bigint>, twice array<bigint>"), "parsed")
+    given = F.col(id_col).cast("long")
+    base = docs.select(F.coalesce(given, F.lit(last)).alias("doc_id"), given.isNull().alias("unnamed"), F.col(text_col).cast("string").alias("text"))
+    seen = materialise(base.mapInArrow(_first_pass(window), "doc_id bigint, unnamed boolean, n_words bigint, sha string, keys array<bigint>, twice array<bigint>"), "parsed")
     # Documents of the same words: the first of them stands for all.
     some = seen.where(F.col("n_words") >= window)
     firsts = some.groupBy("sha").agg(F.min("doc_id").alias("first"))
@@ -304,22 +317,23 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     keys = materialise(found.groupBy("row").agg(F.collect_set("key").alias("keys")), "repeated-names")
 
     chosen = firsts.withColumn("row", short).join(keys, "row").select("first", "sha", "keys")
-    windows = materialise(base.join(chosen, F.col("doc_id") == F.col("first")).select("first", "sha", "keys", "text")
-                          .mapInArrow(_second_pass(window), "h1 bigint, h2 bigint, first bigint, row bigint, at int"), "windows")
-    named = windows.where("h1 is not null")
+    texts = base.select("doc_id", "text").mapInArrow(_packed, "doc_id bigint, packed binary")
+    windows = materialise(texts.join(chosen, F.col("doc_id") == F.col("first")).select("first", "sha", "keys", "packed")
+                          .mapInArrow(_second_pass(window), "first bigint, row bigint, h1 array<bigint>, h2 array<bigint>, at array<int>, again array<int>"), "windows")
+    named = windows.select("first", "row", F.explode(F.arrays_zip("h1", "h2", "at")).alias("w")).select("first", "row", "w.h1", "w.h2", "w.at")
     earliest = named.groupBy("h1", "h2").agg(F.min("first").alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     gone = (named.join(earliest, ["h1", "h2"]).where("first > f").select("first", "row", "at")
-            .unionByName(windows.where("h1 is null").select("first", "row", "at")))
+            .unionByName(windows.select("first", "row", F.explode("again").alias("at"))))
     gone = gone.groupBy("first", "row").agg(F.collect_list("at").alias("at"))
-    cut = (base.join(gone, F.col("doc_id") == F.col("first")).select("row", "at", "text")
+    cut = (texts.join(gone, F.col("doc_id") == F.col("first")).select("row", "at", "packed")
            .mapInArrow(_third_pass(window), "sha string, n_removed bigint, kept_sha256 string, kept string"))
     # rows that repeat a document may lie in several tasks of the third pass
     cut = cut.dropDuplicates(["sha"])
 
     empty = hashlib.sha256(b"").hexdigest()
     copy = F.col("doc_id") > F.col("first")  # a later copy of a whole document
-    return (seen.select("doc_id", "n_words", "sha").join(firsts, "sha", "left").join(cut, "sha", "left")
-            .select(F.when(F.col("doc_id") != last, F.col("doc_id")).alias("doc_id"), "n_words",
+    return (seen.select("doc_id", "unnamed", "n_words", "sha").join(firsts, "sha", "left").join(cut, "sha", "left")
+            .select(F.when(~F.col("unnamed"), F.col("doc_id")).alias("doc_id"), "n_words",
                     F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
                     F.when(copy, F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
                     F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept")))
