@@ -19,7 +19,6 @@ from __future__ import annotations
 import dataclasses
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from railyard.session import delete_path, list_path
@@ -59,11 +58,9 @@ class Manifest:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """One row per commit."""
-        try:
-            rows = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)
-        except AnalysisException:  # nothing published yet
-            rows = spark.createDataFrame([], SCHEMA)
-        return rows.dropDuplicates(["commit"])
+        if not list_path(spark, self.path):  # nothing published yet
+            return spark.createDataFrame([], SCHEMA)
+        return spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(self.path).dropDuplicates(["commit"])
 
     def commits(self, spark: SparkSession) -> list[Row]:
         """All commits in order: one small row for each batch since the last compaction was retired."""
