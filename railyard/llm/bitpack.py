@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railyard.llm.common import materialise
-from railyard.llm.segments import SegmentEncoder, slices
+from railyard.llm.segments import SegmentEncoder, kept, slices
 
 MAGIC = b"IDPACK01"
 #: Ids of a block: a multiple of 64.
@@ -123,7 +123,8 @@ def _writer(path: str, out: str, end_id: int | None, bits: int, file_ids: int):
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(out)
-        enc, part, seq = SegmentEncoder(path), TaskContext.get().partitionId(), 0
+        enc = kept(("segments", path), lambda: SegmentEncoder(path))
+        part, seq = TaskContext.get().partitionId(), 0
         docs, pieces, sizes, held = [], [], [], 0
 
         def flush():
