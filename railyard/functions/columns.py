@@ -34,9 +34,13 @@ def yes_no(text) -> Column:
             .when(t.isin("false", "f", "no", "n", "off", "0", "0.0"), F.lit(False)))
 
 
+def _path(path: str) -> str:
+    return f"$.{path}" if path else "$"
+
+
 def member(value, path: str) -> Column:
-    """A member of a VARIANT as it stands, by its path; null where it is missing."""
-    return F.try_variant_get(_c(value), f"$.{path}", "variant")
+    """A member of a VARIANT as it stands, by its path (empty: the value itself); null where it is missing."""
+    return F.try_variant_get(_c(value), _path(path), "variant") if path else _c(value)
 
 
 def member_kind(value, path: str) -> Column:
@@ -46,7 +50,7 @@ def member_kind(value, path: str) -> Column:
 
 def member_as(value, path: str, dtype: str) -> Column:
     """A member cast to a type; null where it is missing, null or cannot be cast."""
-    return F.try_variant_get(_c(value), f"$.{path}", dtype)
+    return F.try_variant_get(_c(value), _path(path), dtype)
 
 
 def member_time(value, path: str) -> Column:

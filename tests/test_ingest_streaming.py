@@ -315,3 +315,20 @@ def test_q14_cancelled_kept_by_default_excludable(spark):
     df = _responses(spark, resp)
     assert {r["trip_id"] for r in IN.flatten_departures(df).collect()} == {"gone", "runs"}
     assert [r["trip_id"] for r in IN.flatten_departures(df, include_cancelled=False).collect()] == ["runs"]
+
+
+def test_departures_are_taken_apart_once(spark):
+    """Each rule of FL3 and each output column reads the members, none of them goes into the departure by path again."""
+    import json
+    good = {"tripId": "a", "stop": {"id": "s", "name": "n", "location": {"id": "s", "latitude": 1, "longitude": 2}, "products": {}},
+            "plannedWhen": "2024-01-01T10:00:00Z", "direction": "d", "line": {"id": "l", "name": "l", "mode": "m", "product": "bus"}}
+    bad = [{**good, "stop": 5}, {**good, "stop": None}, {k: v for k, v in good.items() if k != "line"}, 7, None, {**good, "tripId": None}, {**good, "delay": True}]
+    text = json.dumps([good, *bad])
+    df = spark.range(1).select(F.lit("s").alias("requested_station_id"), F.current_timestamp().alias("fetched_at"),
+                               F.from_json(F.lit(text), "array<variant>").alias("departures"))
+    assert [r["reason"] for r in IN.quarantine(df).collect()] == [
+        "stop: not a record", "stop: missing", "line: missing", "not a record", "not a record", "tripId: missing"]
+    assert sorted(r["delay_minutes"] for r in IN.flatten_departures(df).collect()) == [0.0, 1 / 60]
+    plan = IN.flatten_departures(df)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Generate")]
+    assert "$.stop" not in above and "$.plannedWhen" not in above
