@@ -8,14 +8,19 @@ raw rows, and in streaming the same plan becomes the stateful aggregate.
 from __future__ import annotations
 
 import math
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railyard.functions import columns as C
 from railyard.schemas import APPROX_RSD, METRIC_COLUMNS, WINDOW_DURATION
 
 
+#: What a window's metrics are grouped by.
+GROUP = ["station_id", "station_name", "latitude", "longitude"]
+
+
 def _distinct(col: str, exact: bool, rsd: float) -> F.Column:
     """Distinct count: exact in batch, a sketch on streams, which refuse the exact one.
 
@@ -27,6 +32,68 @@ def _distinct(col: str, exact: bool, rsd: float) -> F.Column:
     return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(col, k)), F.lit(0)).cast("long")
 
 
+def _micros(spark: SparkSession, duration: str) -> int:
+    """`5 minutes` -> microseconds."""
+    words = duration.lower().removeprefix("interval ")
+    took = spark.sql(f"SELECT timestamp_ntz'1970-01-01 00:00:00' + interval {words} AS t").first()["t"]
+    return (took - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+
+
+def _fresh(value: str, most: int, by: list[str]) -> F.Column:
+    """Panes since the group last had `value`, at most `most`; 0 in the same pane, or without a value.
+
+    A row opens that many of the windows its pane lies in to its value: in the others an
+    earlier row has it. So distinct values are counted by adding up rows.
+    """
+    own = Window.partitionBy(*by, value, F.when(F.col(value).isNull(), F.col("pane"))).orderBy("pane")
+    gap = F.coalesce(F.col("pane") - F.lag("pane").over(own), F.lit(most))
+    return F.when(F.col(value).isNotNull(), F.least(gap, F.lit(most))).otherwise(F.lit(0)).cast("int")
+
+
+def _sliding_windows(enriched: DataFrame, window: str, slide: str, with_last_seen: bool) -> DataFrame:
+    """The aggregate of station_window_metrics over sliding windows, with exact distinct counts.
+
+    Time is cut into panes, of which every window is a whole number. Rows are sorted once by
+    trip; from then on there is a row per (pane, station, line) and number of windows opened, and
+    only these few go into each window. Nothing holds all trips of a window at once.
+    """
+    spark = enriched.sparkSession
+    size = _micros(spark, window)
+    step = _micros(spark, slide)
+    if not 0 < step <= size:
+        raise ValueError(f"a slide of {slide} does not suit windows of {window}")
+    width = math.gcd(size, step)
+    most = size // width
+    us = "unix_micros(collected_at_ts)"
+    pane = F.expr(f"({us} - pmod({us}, {width}L)) div {width}L")
+    rows = (enriched.filter(F.col("collected_at_ts").isNotNull())
+            .select(pane.alias("pane"), *GROUP, "trip_id", "line_id", "delay_minutes", "is_delayed", "is_on_time", "is_significant_delay",
+                    *(["collected_at_ts"] if with_last_seen else []))
+            .withColumn("trips", _fresh("trip_id", most, GROUP)))
+    few = rows.groupBy("pane", *GROUP, "line_id", "trips").agg(
+        F.sum("delay_minutes").alias("delay"), F.count("delay_minutes").alias("delays"), F.max("delay_minutes").alias("max_delay"),
+        F.sum("is_delayed").alias("delayed"), F.sum("is_on_time").alias("on_time"), F.sum("is_significant_delay").alias("significant"),
+        F.count(F.lit(1)).alias("records"), *([F.max("collected_at_ts").alias("last_seen")] if with_last_seen else []))
+    few = few.withColumn("lines", _fresh("line_id", most, GROUP))
+    # the pane is the n-th of the window that starts n panes earlier
+    each = (few.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+            .withColumn("start_us", (F.col("pane") - F.col("n")) * F.lit(width)).filter(F.col("start_us") % step == 0))
+    at = lambda c: F.timestamp_micros(c)
+    opened = lambda c, by: F.sum(F.when(F.col(by) > F.col("n"), F.col(c) if c else F.lit(1)).otherwise(F.lit(0))).cast("long")
+    agg = each.groupBy("start_us", *GROUP).agg(
+        F.try_divide(F.sum("delay"), F.sum("delays")).alias("avg_delay"),
+        F.max("max_delay").alias("max_delay"),
+        opened("records", "trips").alias("total_departures"),
+        F.sum("delayed").cast("long").alias("delayed_departures"),
+        F.sum("on_time").cast("long").alias("on_time_departures"),
+        F.sum("significant").cast("long").alias("significant_delays"),
+        F.sum("records").cast("long").alias("total_records"),
+        opened(None, "lines").alias("unique_lines"),
+        *([F.max("last_seen").alias("last_seen")] if with_last_seen else []))
+    start = F.col("start_us")
+    return agg.withColumn("window", F.struct(at(start).alias("start"), at(start + F.lit(size)).alias("end")))
+
+
 def station_window_metrics(enriched: DataFrame, window: str = WINDOW_DURATION,
                            slide: str | None = None, exact: bool = False,
                            rsd: float = APPROX_RSD, with_last_seen: bool = False) -> DataFrame:
@@ -37,18 +104,21 @@ def station_window_metrics(enriched: DataFrame, window: str = WINDOW_DURATION,
     `with_last_seen` adds the group's latest collection time (`last_seen`),
     which replays use as the write time of the window.
     """
-    win = F.window("collected_at_ts", window, slide) if slide else F.window("collected_at_ts", window)
-    agg = (enriched
-           .groupBy(win.alias("window"), "station_id", "station_name", "latitude", "longitude")
-           .agg(F.avg("delay_minutes").alias("avg_delay"),
-                F.max("delay_minutes").alias("max_delay"),
-                _distinct("trip_id", exact, rsd).alias("total_departures"),
-                F.sum("is_delayed").cast("long").alias("delayed_departures"),
-                F.sum("is_on_time").cast("long").alias("on_time_departures"),
-                F.sum("is_significant_delay").cast("long").alias("significant_delays"),
-                F.count(F.lit(1)).alias("total_records"),
-                _distinct("line_id", exact, rsd).alias("unique_lines"),
-                *([F.max("collected_at_ts").alias("last_seen")] if with_last_seen else [])))
+    if exact and slide:
+        agg = _sliding_windows(enriched, window, slide, with_last_seen)
+    else:
+        win = F.window("collected_at_ts", window, slide) if slide else F.window("collected_at_ts", window)
+        agg = (enriched
+               .groupBy(win.alias("window"), *GROUP)
+               .agg(F.avg("delay_minutes").alias("avg_delay"),
+                    F.max("delay_minutes").alias("max_delay"),
+                    _distinct("trip_id", exact, rsd).alias("total_departures"),
+                    F.sum("is_delayed").cast("long").alias("delayed_departures"),
+                    F.sum("is_on_time").cast("long").alias("on_time_departures"),
+                    F.sum("is_significant_delay").cast("long").alias("significant_delays"),
+                    F.count(F.lit(1)).alias("total_records"),
+                    _distinct("line_id", exact, rsd).alias("unique_lines"),
+                    *([F.max("collected_at_ts").alias("last_seen")] if with_last_seen else [])))
     pct = lambda c: F.try_divide(F.col(c).cast("double"), F.col("total_departures").cast("double")) * 100.0
     return agg.select(
         "station_id", "station_name",
