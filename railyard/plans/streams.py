@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from railyard.functions import columns as C
 from railyard.operators import enrich as EN
@@ -65,23 +66,27 @@ def _run(spark: SparkSession, deliveries: list[DataFrame], label: str, **kw) ->
     return dirs
 
 
+def _dealt(spark: SparkSession, flat: DataFrame, number, n: int) -> list[DataFrame]:
+    """`flat` as `n` deliveries: `number` gives a row's, from its parsed collection time (null: in none).
+
+    The rows are made and their times parsed once and written by delivery; taken from
+    `flat`, each delivery would make all rows again.
+    """
+    path = new_work_dir(spark, "deliveries")
+    rows = flat.withColumn("_ts", C.parse_ts("collected_at"))
+    rows.select(*flat.columns, number(F.col("_ts")).alias("_delivery")).write.partitionBy("_delivery").parquet(path)
+    schema = StructType([*flat.schema, StructField("_delivery", IntegerType())])
+    return [spark.read.schema(schema).parquet(path).filter(F.col("_delivery") == i).drop("_delivery") for i in range(n)]
+
+
 def in_order_run(spark: SparkSession, sf_dir: str) -> J.StreamDirs:
     """Four deliveries of six hours each, in time order (nothing is late)."""
     k = _key(spark, sf_dir, "in_order")
     if k not in _RUNS:
         from railyard.plans.catalog import perturbed_flat
-        flat = perturbed_flat(spark, sf_dir)
-        ts = C.parse_ts("collected_at")
-        parts = []
-        for lo, hi in ((None, 6), (6, 12), (12, 18), (18, None)):
-            cond = F.lit(True)
-            if lo is not None:
-                cond = cond & (ts >= _hour(lo))
-            if hi is not None:
-                cond = cond & (ts < _hour(hi))
-            else:
-                cond = cond | ts.isNull()   # unparseable times travel with the last delivery
-            parts.append(flat.filter(cond))
+        # unparseable times travel with the last delivery
+        hour = lambda ts: F.when(ts < _hour(6), 0).when(ts < _hour(12), 1).when(ts < _hour(18), 2).otherwise(3)
+        parts = _dealt(spark, perturbed_flat(spark, sf_dir), hour, 4)
         _RUNS[k] = _run(spark, parts, "in-order")
     return _RUNS[k]
 
@@ -93,13 +98,9 @@ def late_run(spark: SparkSession, sf_dir: str) -> J.StreamDirs:
     k = _key(spark, sf_dir, "late")
     if k not in _RUNS:
         from railyard.plans.catalog import perturbed_flat
-        flat = perturbed_flat(spark, sf_dir)
-        ts = C.parse_ts("collected_at")
-        early = ts < _hour(12)
         tagged = F.col("event_id") % 25 == 0
-        parts = [flat.filter(early & ~tagged),
-                 flat.filter(~early | ts.isNull()),
-                 flat.filter(early & tagged)]
+        file = lambda ts: (F.when(F.coalesce(ts >= _hour(12), F.lit(True)), 1).when(tagged, 2).when(~tagged, 0))
+        parts = _dealt(spark, perturbed_flat(spark, sf_dir), file, 3)
         _RUNS[k] = _run(spark, parts, "late")
     return _RUNS[k]
 

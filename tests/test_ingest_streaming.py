@@ -332,3 +332,21 @@ def test_departures_are_taken_apart_once(spark):
     plan = IN.flatten_departures(df)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("Generate")]
     assert "$.stop" not in above and "$.plannedWhen" not in above
+
+
+def test_deliveries_are_dealt_from_one_pass(spark):
+    """Every row goes to the delivery of its number, rows without one to none; the rows are made once, not for each delivery."""
+    rows = [dep(trip=str(i), collected=BASE + minutes(i)) for i in range(4)] + [dep(trip="bad", collected="garbage")]
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    flat = flat_df(spark, rows)
+    flat = flat.mapInArrow(count, flat.schema)
+    number = lambda ts: F.when(ts.isNull(), 2).when(F.col("trip_id") == "3", None).otherwise(F.minute(ts) % 2)
+    parts = SM._dealt(spark, flat, number, 4)
+    assert [sorted(r["trip_id"] for r in p.collect()) for p in parts] == [["0", "2"], ["1"], ["bad"], []]
+    assert all(p.columns == flat.columns for p in parts) and made.value == len(rows)
