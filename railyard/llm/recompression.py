@@ -39,6 +39,9 @@ from railyard.llm.common import materialise
 from railyard.llm.minhash_bbit import WordHash, _mix
 
 ROUNDS = 3
+#: Bits of an anchor's name, and hexadecimal digits of a document's digest, that are sent between tasks.
+#: Two that share them only have some more windows named in full.
+NAME_BITS, ROW_DIGITS = 40, 10
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64((1 << 64) - 1)
 #: Beyond the text: what was decided by its beginning or end is not decided within a window.
@@ -195,6 +198,10 @@ def _own_repeats(h: np.ndarray) -> np.ndarray:
     return again
 
 
+def _short(names: np.ndarray) -> np.ndarray:
+    return (names >> np.uint64(64 - NAME_BITS)).view(np.int64)
+
+
 def _first_pass(window: int):
     """Per document: digest, names of its windows' anchors, and those of windows it holds twice."""
     def run(batches):
@@ -209,8 +216,8 @@ def _first_pass(window: int):
                 for j, k in enumerate(took):
                     i = np.flatnonzero(valid[cut[j]:cut[j + 1]]) + cut[j]
                     n[k], sha[k] = len(lists[j]), _digest(lists[j])
-                    keys[k] = np.unique(name[i]).view(np.int64)
-                    twice[k] = np.unique(name[i[_own_repeats(pre.hash(i, i + window, 0))]]).view(np.int64)
+                    keys[k] = np.unique(_short(name[i]))
+                    twice[k] = np.unique(_short(name[i[_own_repeats(pre.hash(i, i + window, 0))]]))
             lists_ = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([rb.column("doc_id"), rb.column("unnamed"), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
                                               pa.array(keys, lists_), pa.array(twice, lists_)],
@@ -248,11 +255,11 @@ def _second_pass(window: int):
                         continue
                     seen.add(sha[k])
                     i = np.flatnonzero(valid[cut[j]:cut[j + 1]]) + cut[j]
-                    i = i[np.isin(name[i], np.array(listed[k], np.int64).view(np.uint64))]
+                    i = i[np.isin(_short(name[i]), np.array(listed[k], np.int64))]
                     h1 = pre.hash(i, i + window, 0)
                     later = _own_repeats(h1)
                     at = (i - cut[j]).astype(np.int32)
-                    rows.append((first[k], int(sha[k][:15], 16), h1[~later].view(np.int64), pre.hash(i[~later], i[~later] + window, 1).view(np.int64),
+                    rows.append((first[k], int(sha[k][:ROW_DIGITS], 16), h1[~later].view(np.int64), pre.hash(i[~later], i[~later] + window, 1).view(np.int64),
                                  at[~later], at[later]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), longs, longs, ints, ints))],
@@ -269,7 +276,7 @@ def _third_pass(window: int):
             for row, at, t in zip(rb.column("row").to_pylist(), rb.column("at").to_pylist(), rb.column("packed").to_pylist()):
                 w = unpack.decompress(t).split()
                 sha = _digest(w)
-                if sha in seen or int(sha[:15], 16) != row:
+                if sha in seen or int(sha[:ROW_DIGITS], 16) != row:
                     continue
                 seen.add(sha)
                 edge = np.zeros(len(w) + 1, np.int64)
@@ -307,9 +314,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     some = seen.where(F.col("n_words") >= window)
     firsts = some.groupBy("sha").agg(F.min("doc_id").alias("first"))
     lists = some.groupBy("sha").agg(F.any_value("keys").alias("keys"), F.any_value("twice").alias("twice"))
-    # 63 bits of the digest stand for a document here; two that share them would
-    # only search each other's names as well
-    short = F.conv(F.substring("sha", 1, 15), 16, 10).cast("bigint")
+    short = F.conv(F.substring("sha", 1, ROW_DIGITS), 16, 10).cast("bigint")
     lists = lists.select(short.alias("row"), "keys", "twice")
     each = lists.select("row", F.explode("keys").alias("key"))
     often = each.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")

@@ -646,3 +646,17 @@ def test_pipeline_against_its_stages(spark):
     key = lambda r: (r.doc_id, r.text, r.lang, r.source, r.n_chars)
     assert sorted(map(key, out)) == sorted(map(key, mixed))
     assert all(r.shard for r in out)
+
+
+def test_recompression_sends_short_names():
+    """What is counted and joined over all windows is a few bytes each, not whole hashes."""
+    import pyarrow as pa
+
+    from railyard.llm import recompression as R
+    text = " ".join(str(i % 30) for i in range(90))
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "unnamed": [False, False], "text": [text, "a b"]})
+    (out,) = R._first_pass(20)([rows])
+    names = out.column("keys").to_pylist()[0]
+    assert names and all(0 <= x < 1 << 40 for x in names)
+    assert out.column("twice").to_pylist()[0] and set(out.column("twice").to_pylist()[0]) <= set(names)
+    assert out.column("keys").to_pylist()[1] == []
